@@ -83,7 +83,8 @@ def central_rows(total: Column, n: Column) -> Column:
 
 def strided(i: Column, start, stop, step) -> Column:
     """True where ``i`` is in ``range(start, stop, step)``."""
-    return (i >= start) & (i < stop) & (F.pmod(i - start, F.lit(step) if isinstance(step, int) else step) == 0)
+    step = F.lit(step) if isinstance(step, int) else step
+    return (i >= start) & (i < stop) & (F.pmod(i - start, step) == 0)
 
 
 def chunk_of(position: Column, size: int = 100) -> Column:
