@@ -1,4 +1,4 @@
 """Registered queries and their check SQL."""
 
-from beamwright.queries import imaging, relational, scalars  # noqa: F401
+from beamwright.queries import imaging, relational, scalars, streams  # noqa: F401
 from beamwright.queries.core import QUERIES, SQL  # noqa: F401
