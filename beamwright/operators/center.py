@@ -93,20 +93,27 @@ def center_entropy(
         frames.filter(F.col("row") == row).select("scan_id", "idx", "values").join(geo, "scan_id")
         .withColumn("angle", F.get("theta", F.col("idx"))).drop("theta")
         .withColumn("values", F.col("values").cast("array<double>"))
+        .withColumn("init", F.coalesce("init", (F.size("values") - 1) / 2))
     )
-    middle = F.coalesce("init", (F.size("values") - 1) / 2)
 
     def score(a, centers, info):
         w = np.full(len(a), np.pi / len(a))
         size = a.shape[1]
-        imgs = [kernels.back_project(a, info["angle"], w, size, c, 0.25, 2) for c in centers]
-        # one histogram range for all candidates of a scan, from the data itself
-        top = np.abs(a).max() or 1.0
-        return [kernels.entropy(i, -top / 4, top, ratio, masked) for i in imgs]
 
-    coarse = _best(_scored(sino, _steps(middle, F.lit(float(reach)), 4 * tol), score, batch, ["angle"]))
+
+        def image(c):
+            return kernels.back_project(a, info["angle"], w, size, c, 0.25, 2)
+
+        # one histogram range for all candidates of a scan: that of its first guess, widened
+        first = image(info["init"][0])
+        span = first.max() - first.min() or 1.0
+        low, high = first.min() - span / 2, first.max() + span / 2
+        return [kernels.entropy(image(c), low, high, ratio, masked) for c in centers]
+
+    extra = ["angle", "init"]
+    coarse = _best(_scored(sino, _steps(F.col("init"), F.lit(float(reach)), 4 * tol), score, batch, extra))
     near = sino.join(coarse.withColumnRenamed("center", "_mid"), "scan_id")
-    return _best(_scored(near, _steps(F.col("_mid"), F.lit(4.0 * tol), tol), score, batch, ["angle"]))
+    return _best(_scored(near, _steps(F.col("_mid"), F.lit(4.0 * tol), tol), score, batch, extra))
 
 
 def find_center(method: str, frames: DataFrame, scans: DataFrame, **options) -> DataFrame:

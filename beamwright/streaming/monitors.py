@@ -25,7 +25,7 @@ class _TaskProcessor(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("task", "first bigint, at bigint, event bigint, verdict string, done boolean")
 
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         first, at, event, verdict, done = self.state.get() if self.state.exists() else (None, None, None, None, False)
         if done:
             return
@@ -51,7 +51,7 @@ class _TaskProcessor(StatefulProcessor):
         elif known is None:
             self.handle.registerTimer((first + self.max_wait) // 1000 + 1)
 
-    def handleExpiredTimer(self, key, timer_values, info) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         first, at, event, verdict, done = self.state.get()
         if not done:
             self.state.update((first, first + self.max_wait, -1, "TIMEOUT", True))
@@ -87,7 +87,7 @@ class _JobProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("job", "misses int, last string, done boolean")
 
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         misses, last, done = self.state.get() if self.state.exists() else (0, None, False)
         batch = pd.concat(list(rows)).sort_values(["ts", "event_id"])
         found = []
@@ -125,46 +125,60 @@ def job_monitor(events: DataFrame, max_retries: int = 5, terminal: list = fixed.
 
 
 class _DueProcessor(StatefulProcessor):
-    """Holds back rows until event time passes their due time."""
+    """Holds back rows until event time passes their due time.
 
-    def __init__(self, columns: list):
-        self.columns = columns
+    One timer per key is set at a time, for the earliest row held.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", "due bigint, location string, source string, target string, created bigint")
+        self.held = handle.getListState("held", "due bigint, path string, location string, source string, target string")
+        self.alarm = handle.getValueState("alarm", "at bigint")
 
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        earliest = None
         for chunk in rows:
-            for r in chunk.itertuples(index=False):
-                target = None if pd.isna(r.check) else r.check
-                self.held.appendValue((int(r.due_ms), r.location, r.source, target, _ms(r.created_at)))
-                self.handle.registerTimer(int(r.due_ms))
+            targets = [None if pd.isna(c) else c for c in chunk["check"]]
+            self.held.appendList(list(zip(
+                chunk["due_ms"].astype(int), chunk["path"], chunk["location"], chunk["source"], targets)))
+            low = int(chunk["due_ms"].min())
+            earliest = low if earliest is None else min(earliest, low)
+        if earliest is not None and (not self.alarm.exists() or earliest < self.alarm.get()[0]):
+            self._set(earliest)
         return iter([])
 
-    def handleExpiredTimer(self, key, timer_values, info) -> Iterator[pd.DataFrame]:
-        now = info.get_expiry_time_in_ms()
-        all_rows = list(self.held.get())
-        due = [r for r in all_rows if r[0] <= now]
-        left = [tuple(r) for r in all_rows if r[0] > now]
+    def _set(self, at: int) -> None:
+        self.alarm.update((at,))
+        self.handle.registerTimer(at)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs()
+        held = [tuple(r) for r in self.held.get()]
+        due, left = [r for r in held if r[0] <= now], [r for r in held if r[0] > now]
         self.held.clear()
+        self.alarm.clear()
         if left:
             self.held.put(left)
+            self._set(min(r[0] for r in left))
         if due:
-            yield pd.DataFrame({
-                "path": [key[0]] * len(due), "location": [r[1] for r in due], "source": [r[2] for r in due],
-                "check": [r[3] for r in due], "due_ms": [r[0] for r in due]})
+            yield pd.DataFrame(due, columns=["due_ms", "path", "location", "source", "check"])
 
     def close(self) -> None:
         pass
 
 
-def deferred_prune(schedule: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Schedule rows, each emitted once event time has passed its ``due_at``."""
+def deferred_prune(schedule: DataFrame, delay: str = "1 hour", bucket_seconds: int = 3600, spread: int = 16) -> DataFrame:
+    """Schedule rows, each emitted once event time has passed its ``due_at``.
+
+    Rows wait in state keyed by a span of due times and a hash of the path, so
+    neither a busy hour nor a busy location ends up under one key.
+    """
+    due_ms = F.unix_millis("due_at")
     rows = schedule.withWatermark("created_at", delay).select(
-        "path", "location", "source", "check", "created_at", F.unix_millis("due_at").alias("due_ms"))
-    return rows.groupBy("path").transformWithStateInPandas(
-        _DueProcessor([]), "path string, location string, source string, check string, due_ms bigint", "Append", "EventTime")
+        F.floor(due_ms / (bucket_seconds * 1000)).alias("bucket"), F.pmod(F.xxhash64("path"), F.lit(spread)).alias("part"),
+        "created_at", due_ms.alias("due_ms"), "path", "location", "source", "check")
+    return rows.groupBy("bucket", "part").transformWithStateInPandas(
+        _DueProcessor(), "due_ms bigint, path string, location string, source string, check string", "Append", "EventTime")
 
 
 class _SinogramProcessor(StatefulProcessor):
@@ -178,7 +192,7 @@ class _SinogramProcessor(StatefulProcessor):
         self.rows = handle.getListState("rows", "idx int, vals array<float>")
         self.seen = handle.getValueState("seen", "n int, want int, done boolean")
 
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         n, want, done = self.seen.get() if self.seen.exists() else (0, 0, False)
         fresh = n == 0
         last = 0
@@ -197,7 +211,7 @@ class _SinogramProcessor(StatefulProcessor):
             self.handle.registerTimer(last + self.wait)
         self.seen.update((n, want, done))
 
-    def handleExpiredTimer(self, key, timer_values, info) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         n, want, done = self.seen.get()
         if not done:
             self.rows.clear()
