@@ -39,7 +39,11 @@ def stem(path: Column) -> Column:
 
 def recon_paths(path: Column) -> Column:
     """All paths a scan file gives rise to."""
-    s, folder = stem(path), parent_name(path)
+    return recon_paths_of(parent_name(path), stem(path))
+
+
+def recon_paths_of(folder: Column, s: Column) -> Column:
+    """The same from a folder name and stem that are columns already."""
     out = F.concat(folder, F.lit("/rec"), s)
     return F.struct(
         s.alias("stem"),

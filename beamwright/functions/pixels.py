@@ -117,35 +117,3 @@ def add(a: Column, b: Column) -> Column:
 def middle(a: Column, b: Column, c: Column) -> Column:
     """Median of three numbers."""
     return F.greatest(F.least(a, b), F.least(F.greatest(a, b), c))
-
-
-def moving_mean(values: Column, size: int) -> Column:
-    """Centred mean of ``size`` neighbours, edge values repeated."""
-    left, n = size // 2, F.size(values)
-
-    def at(i, k):
-        return F.get(values, F.greatest(F.lit(0), F.least(n - 1, i + k)))
-
-    def body(_, i):
-        total = at(i, -left)
-        for k in range(-left + 1, size - left):
-            total = total + at(i, k)
-        return total / size
-
-    return F.transform(values, body)
-
-
-def halve(values: Column, weights: list) -> Column:
-    """Smooth with a centred kernel (edge values repeated) and keep every second pixel."""
-    r, n = len(weights) // 2, F.size(values)
-
-    def at(i, k):
-        return F.get(values, F.greatest(F.lit(0), F.least(n - 1, i * 2 + k))).cast("double")
-
-    def body(i):
-        total = at(i, -r) * F.lit(weights[0])
-        for k in range(-r + 1, r + 1):
-            total = total + at(i, k) * F.lit(weights[k + r])
-        return total
-
-    return F.transform(F.sequence(F.lit(0), F.floor((n - 1) / 2).cast("int")), body)

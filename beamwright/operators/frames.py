@@ -1,10 +1,13 @@
 """The frame model: selection, references, geometry, ordering."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beamwright.functions import pixels, values
 from beamwright.operators import segments
+from beamwright.plans.grouped import from_ray_blocks, grouped_reduce, in_ray_blocks
 
 
 # --------------------------------------------------------------------- angles
@@ -77,8 +80,9 @@ def select_frames(frames: DataFrame, selection: DataFrame) -> DataFrame:
 def frame_counts(frames: DataFrame, declared: DataFrame | None = None) -> DataFrame:
     """Numbers of projections, flats and darks: declared where known, else counted."""
     kinds = {"ntomo": "tomo", "nflat": "flat", "ndark": "dark"}
-    counted = frames.groupBy("scan_id").agg(
-        *[F.countDistinct(F.when(F.col("kind") == k, F.col("idx"))).cast("int").alias(c) for c, k in kinds.items()]
+    each = frames.select("scan_id", "kind", "idx").distinct()
+    counted = each.groupBy("scan_id").agg(
+        *[F.count_if(F.col("kind") == k).cast("int").alias(c) for c, k in kinds.items()]
     )
     if declared is None:
         return counted
@@ -97,16 +101,16 @@ def opposing_pair(frames: DataFrame, scans: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- references
-def reduce_reference(frames: DataFrame, kind: str, how: str = "mean", by: list = ("scan_id", "row")) -> DataFrame:
+def reduce_reference(frames: DataFrame, kind: str, how: str = "mean", by: list = ("scan_id", "row"), ray_block: int = 512) -> DataFrame:
     """One reference row per (scan, row): mean or median of its frames, ray by ray.
 
-    Rays are reduced on the map side, so the number of reference frames is free.
+    Rays are independent, so each task reduces a block of them; whole rows
+    travel as arrays, never as one record per pixel.
     """
-    agg = F.avg("v") if how == "mean" else F.median("v")
-    rays = frames.filter(F.col("kind") == kind).select(*by, F.posexplode("values").alias("px", "v"))
-    flat = rays.withColumn("v", F.col("v").cast("double")).groupBy(*by, "px").agg(agg.alias("v"))
-    ordered = F.sort_array(F.collect_list(F.struct("px", "v")))
-    return flat.groupBy(*by).agg(F.transform(ordered, lambda e: e["v"]).alias("values"))
+    reduce = {"mean": np.mean, "median": np.median}[how]
+    rows = frames.filter(F.col("kind") == kind).select(*by, "values")
+    parts = grouped_reduce(in_ray_blocks(rows, ray_block), [*by, "block"], lambda a: reduce(a, axis=0))
+    return from_ray_blocks(parts, list(by))
 
 
 def attach_references(tomo: DataFrame, flat: DataFrame, dark: DataFrame, bright_scans: DataFrame | None = None) -> DataFrame:
@@ -201,10 +205,23 @@ def with_chunk(table: DataFrame, size: int = 100) -> DataFrame:
 
 
 # ----------------------------------------------------------------- statistics
-def frame_stats(frames: DataFrame, keys: list, quantiles: list = (0.01, 0.5, 0.99)) -> DataFrame:
-    """Minimum, maximum, mean and quantiles of whole frames."""
-    v = F.explode("values").alias("v")
-    rays = frames.select(*keys, v).withColumn("v", F.col("v").cast("double"))
-    aggs = [F.min("v").alias("low"), F.max("v").alias("high"), F.avg("v").alias("mean"), F.count("v").alias("pixels")]
-    aggs += [F.percentile("v", q).alias(f"q{int(q * 100)}") for q in quantiles]
-    return rays.groupBy(*keys).agg(*aggs)
+def frame_stats(frames: DataFrame, quantiles: tuple = (0.01, 0.5, 0.99), low: float | None = None, high: float | None = None,
+                bins: int = 16) -> DataFrame:
+    """Minimum, maximum, mean, quantiles and histogram of each whole frame.
+
+    The histogram spans ``[low, high]``, by default the frame's own extremes.
+    """
+    types = dict(frames.select("scan_id", "idx").dtypes)
+    schema = f"scan_id {types['scan_id']}, idx {types['idx']}, low double, high double, mean double, pixels bigint"
+    schema += "".join(f", q{int(q * 100)} double" for q in quantiles) + ", histogram array<bigint>"
+
+    def run(table: pa.Table) -> pa.Table:
+        v = table.column("values").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("f8")
+        span = (v.min() if low is None else low, v.max() if high is None else high)
+        columns = {c: table.column(c).slice(0, 1) for c in ("scan_id", "idx")}
+        columns |= {"low": [v.min()], "high": [v.max()], "mean": [v.mean()], "pixels": [v.size]}
+        columns |= {f"q{int(q * 100)}": [x] for q, x in zip(quantiles, np.quantile(v, quantiles))}
+        columns["histogram"] = [np.histogram(v, bins, span)[0].tolist()]
+        return pa.table(columns)
+
+    return frames.select("scan_id", "idx", "values").groupBy("scan_id", "idx").applyInArrow(run, schema)

@@ -6,14 +6,13 @@ helper through ``grouped_kernel``.
 """
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beamwright import fixed
 from beamwright.functions import pixels
 from beamwright.operators import kernels
-from beamwright.plans.grouped import PROJECTION, SINOGRAM, grouped_kernel, to_lists, to_matrix, with_halo
+from beamwright.plans.grouped import PROJECTION, SINOGRAM, grouped_kernel, with_halo
 
 
 def _rows(frames: DataFrame) -> DataFrame:
@@ -49,62 +48,16 @@ def angular_median(frames: DataFrame, chunk: int = 1024) -> DataFrame:
 
 
 # --------------------------------------------------------------------- stripes
-def ray_means(frames: DataFrame) -> DataFrame:
-    """Mean over all angles per ray, reduced on the map side: ``(scan_id, row, means)``."""
-    rays = frames.select("scan_id", "row", F.posexplode("values").alias("px", "v"))
-    mean = rays.groupBy("scan_id", "row", "px").agg(F.avg(F.col("v").cast("double")).alias("m"))
-    ordered = F.sort_array(F.collect_list(F.struct("px", "m")))
-    return mean.groupBy("scan_id", "row").agg(F.transform(ordered, lambda e: e["m"]).alias("means"))
-
-
 def stripe_smoothing(frames: DataFrame, size: int = 5) -> DataFrame:
     """Subtract what the mean profile has beyond its own moving mean."""
-    means = ray_means(frames).withColumn("ring", F.zip_with("means", pixels.moving_mean(F.col("means"), size), lambda a, b: a - b))
-    out = F.zip_with("values", "ring", lambda v, r: v.cast("double") - r)
-    return _rows(frames).join(means.select("scan_id", "row", "ring"), ["scan_id", "row"]).select(
-        "scan_id", "idx", "row", out.alias("values"))
-
-
-def _profile_udf(order: int):
-    from pyspark.sql.functions import arrow_udf
-
-    @arrow_udf("array<double>")
-    def profile(means: pa.Array, weight: pa.Array) -> pa.Array:
-        solved = [kernels.ring_profile(np.asarray(m.as_py(), "f8"), w.as_py(), order) for m, w in zip(means, weight)]
-        return pa.array([s.tolist() for s in solved], pa.list_(pa.float64()))
-
-    return profile
+    return grouped_kernel(_rows(frames), SINOGRAM, lambda a, _: kernels.smooth_stripes(a, size)).select(
+        "scan_id", "idx", "row", "values")
 
 
 def stripe_titarenko(frames: DataFrame, nblock: int = 0, alpha: float = 1.5) -> DataFrame:
-    """Regularised flattening of the mean profile, first and second order combined.
-
-    Means, ranges and the final minimum are aggregates; Python only solves one
-    small system per sinogram (or per block of angles).
-    """
-    rows = _rows(frames)
-    if nblock > 0:
-        ends = rows.groupBy("scan_id").agg(F.max("idx").alias("_last"))
-        size = F.greatest(F.floor((F.col("_last") + 1) / nblock), F.lit(1))
-        block = F.least(F.floor(F.col("idx") / size), F.lit(nblock - 1)).cast("int")
-        rows = rows.join(ends, "scan_id").withColumn("block", block).drop("_last")
-    else:
-        rows = rows.withColumn("block", F.lit(0))
-    keys = ["scan_id", "row", "block"]
-    total = F.aggregate("values", F.lit(0.0), lambda a, x: a + x.cast("double"))
-    spans = rows.withColumn("_t", total).groupBy(*keys).agg((1 / (2 * (F.max("_t") - F.min("_t")))).alias("weight"))
-    rays = rows.select(*keys, F.posexplode("values").alias("px", "v"))
-    mean = rays.groupBy(*keys, "px").agg(F.avg(F.col("v").cast("double")).alias("m"))
-    ordered = F.sort_array(F.collect_list(F.struct("px", "m")))
-    means = mean.groupBy(*keys).agg(F.transform(ordered, lambda e: e["m"]).alias("means")).join(spans, keys)
-    weight = F.when(F.col("weight").isNull() | (F.col("weight") > 1e6), F.lit(1e6)).otherwise(F.col("weight"))
-    offsets = means.select(*keys, _profile_udf(1)("means", weight).alias("q1"), _profile_udf(2)("means", weight).alias("q2"))
-    product = F.transform("values", lambda v, i: (v.cast("double") + F.get("q1", i)) * (v.cast("double") + F.get("q2", i)))
-    paired = rows.join(offsets, keys).select(*keys, "idx", product.alias("p"))
-    floor = paired.groupBy("scan_id", "row").agg(F.min(F.array_min("p")).alias("_low"))
-    lift = F.lit(float(alpha)) * F.abs("_low")
-    out = F.transform("p", lambda x: F.sqrt(F.greatest(x + lift, F.lit(0.0))))
-    return paired.join(floor, ["scan_id", "row"]).select("scan_id", "idx", "row", out.alias("values"))
+    """Regularised flattening of the mean profile, first and second order combined."""
+    return grouped_kernel(_rows(frames), SINOGRAM, lambda a, _: kernels.flatten_profile(a, nblock, alpha)).select(
+        "scan_id", "idx", "row", "values")
 
 
 def stripe_fourier_wavelet(frames: DataFrame, sigma: float = 3, level: int = 8) -> DataFrame:

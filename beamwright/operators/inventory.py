@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beamwright.functions import paths, text, values
+from beamwright.session import small_table
 
 PRUNE, TOO_NEW = "PRUNE", "TOO_NEW"
 NO_SECOND_COPY, SOURCE_MISSING = "NO_SECOND_COPY", "SOURCE_MISSING"
@@ -124,7 +125,7 @@ def prune_batch(plan: DataFrame, batch_size: int = 1000) -> DataFrame:
     An endpoint may hold most of all files, so its paths are spread over enough
     hash batches to keep each list near ``batch_size``; no path is dropped.
     """
-    sizes = plan.groupBy("source").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = small_table(plan.groupBy("source").agg(F.count(F.lit(1)).alias("_n")), "batch-sizes")
     batches = F.ceil(F.col("_n") / batch_size)
     return (
         plan.join(sizes, "source")

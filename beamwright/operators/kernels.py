@@ -136,6 +136,25 @@ def ring_profile(mean: np.ndarray, alpha: float, order: int) -> np.ndarray:
     return np.linalg.solve(m + alpha**2 * np.eye(len(mean)), -m @ mean)
 
 
+def flatten_profile(sino: np.ndarray, nblock: int, alpha: float) -> np.ndarray:
+    """First and second order offsets per block of angles, joined by a geometric mean."""
+    edges = np.linspace(0, len(sino), max(1, min(nblock, len(sino))) + 1).astype(int)
+    product = np.empty_like(sino)
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        part = sino[lo:hi]
+        totals = part.sum(axis=1)
+        weight = min(1 / max(2 * np.ptp(totals), 1e-12), 1e6)
+        mean = part.mean(axis=0)
+        product[lo:hi] = (part + ring_profile(mean, weight, 1)) * (part + ring_profile(mean, weight, 2))
+    return np.sqrt(np.maximum(product + alpha * abs(product.min()), 0))
+
+
+def smooth_stripes(sino: np.ndarray, size: int) -> np.ndarray:
+    mean = sino.mean(axis=0)
+    padded = np.pad(mean, (size // 2, size - size // 2 - 1), mode="edge")
+    return sino - (mean - np.convolve(padded, np.full(size, 1 / size), "valid"))
+
+
 # -------------------------------------------------------------- reconstruction
 def ramp(nfft: int, cutoff: float, order: float) -> np.ndarray:
     f = np.fft.rfftfreq(nfft)

@@ -2,10 +2,12 @@
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beamwright.functions import pixels
+from beamwright.operators.recon import add_parts
+from beamwright.plans.grouped import SLICE, grouped_kernel
 from beamwright.session import materialise
 
 
@@ -33,25 +35,27 @@ def _targets(i: Column, n: Column, weights: list) -> Column:
     return F.filter(pairs, lambda p: (p["m"] >= 0) & (p["m"] <= outs) & (p["w"] > 0))
 
 
+def halve_image(img: np.ndarray, weights: list) -> np.ndarray:
+    r, (h, w) = len(weights) // 2, img.shape
+    p = np.pad(img, r, mode="edge")
+    rows = sum(k * p[i:i + h:2] for i, k in enumerate(weights))
+    return sum(k * rows[:, i:i + w:2] for i, k in enumerate(weights))
+
+
 def halve_once(slices: DataFrame, shapes: DataFrame, weights: list | None = None) -> DataFrame:
     """One level: smooth and keep every second pixel along x, y and z.
 
-    x stays inside the row; a row is then sent, already halved, to the few
-    (z, y) outputs it feeds, where at most 25 rows are added.
+    x and y stay inside the slice.  Its rows, by then a quarter of the data,
+    go to the two or three levels of z they feed, where at most five are added.
     """
     weights = weights or kernel()
-    rows = slices.join(shapes, "scan_id").withColumn("values", pixels.halve(F.col("values"), weights))
+    flat = grouped_kernel(slices, SLICE, lambda a, _: halve_image(a, weights), same_rows=False)
     sent = (
-        rows.withColumn("_z", F.explode(_targets(F.col("z"), F.col("nz"), weights)))
-        .withColumn("_y", F.explode(_targets(F.col("y"), F.col("ny"), weights)))
-        .withColumn("_w", F.col("_z.w") * F.col("_y.w"))
-        .select("scan_id", F.col("_z.m").alias("z2"), F.col("_y.m").alias("y2"), "z", "y",
-                F.transform("values", lambda v: v * F.col("_w")).alias("values"))
+        flat.join(shapes.select("scan_id", "nz"), "scan_id")
+        .withColumn("_z", F.explode(_targets(F.col("z"), F.col("nz"), weights)))
+        .select("scan_id", F.col("_z.m").alias("z2"), "y", "z", F.transform("values", lambda v: v * F.col("_z.w")).alias("values"))
     )
-    parts = F.transform(F.sort_array(F.collect_list(F.struct("z", "y", "values"))), lambda e: e["values"])
-    total = F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.get(parts, 0), pixels.add)
-    return sent.groupBy("scan_id", "z2", "y2").agg(total.alias("values")).select(
-        "scan_id", F.col("z2").alias("z"), F.col("y2").alias("y"), "values")
+    return add_parts(sent, ["scan_id", "z2", "y"], "z").select("scan_id", F.col("z2").alias("z"), "y", "values")
 
 
 def shapes_of(slices: DataFrame) -> DataFrame:

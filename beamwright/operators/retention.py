@@ -19,16 +19,17 @@ def scheduled_only(rows: DataFrame) -> DataFrame:
 
 
 def retention_schedule(
-    files: DataFrame, flow: str, settings: dict = fixed.RETENTION_DAYS,
+    files: DataFrame, *flows: str, settings: dict = fixed.RETENTION_DAYS,
     rules: list = fixed.RETENTION_RULES, one_minute: bool = False,
 ) -> DataFrame:
-    """Due deletions of one flow for ``files(path_kind, path, created_at)``.
+    """Due deletions of some flows for ``files(path_kind, path, created_at)``.
 
-    The rules of a flow are a short literal list, so the rule side of the join
+    The rules of all flows are united first, so the files are read and joined
+    once.  They are a short literal list, so the rule side of the join
     has a fixed size and is broadcast.
     """
     spark = files.sparkSession
-    mine = [r for r in rules if r[0] == flow]
+    mine = [r for r in rules if r[0] in flows]
     delays = [(k, 60 if one_minute else d * 86400) for k, d in settings.items()]
     delay = spark.createDataFrame(delays, "delay_key string, delay_s bigint")
     table = rule_table(spark, mine).join(F.broadcast(delay), "delay_key")

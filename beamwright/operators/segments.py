@@ -24,9 +24,30 @@ def prefix_segment(text: Column, length: int) -> Column:
     return F.substring(text, 1, length)
 
 
+def _cut(df: DataFrame, keys: list, segment: Column) -> DataFrame:
+    """Rows with their segment; rows without a key or an order cannot be placed.
+
+    Stating this here gives both uses of the rows below the same plan, so the
+    shuffle by (key, segment) is done once.
+    """
+    df = df.withColumn("_seg", segment)
+    for c in [*keys, "_seg"]:
+        df = df.filter(F.col(c).isNotNull())
+    return df
+
+
+def with_key_minimum(df: DataFrame, keys: list, segment: Column, value: str, name: str) -> DataFrame:
+    """The least value of the row's key, without bringing a key's rows together."""
+    df = _cut(df, keys, segment)
+    every = Window.partitionBy(*keys)
+    lows = df.groupBy(*keys, "_seg").agg(F.min(value).alias("_low"))
+    lows = lows.select(*keys, "_seg", F.min("_low").over(every).alias(name))
+    return df.join(lows, [*keys, "_seg"]).drop("_seg")
+
+
 def with_row_number(df: DataFrame, keys: list, order: list, segment: Column, name: str) -> DataFrame:
     """1-based position of every row inside its key."""
-    df = df.withColumn("_seg", segment)
+    df = _cut(df, keys, segment)
     local = Window.partitionBy(*keys, "_seg").orderBy(*order)
     before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     counts = df.groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("_n"))
@@ -41,7 +62,7 @@ def with_row_number(df: DataFrame, keys: list, order: list, segment: Column, nam
 
 def with_previous(df: DataFrame, keys: list, order: list, segment: Column, value: str, name: str) -> DataFrame:
     """The value of the row before, across segment borders."""
-    df = df.withColumn("_seg", segment)
+    df = _cut(df, keys, segment)
     local = Window.partitionBy(*keys, "_seg").orderBy(*order)
     chain = Window.partitionBy(*keys).orderBy("_seg")
     last = df.groupBy(*keys, "_seg").agg(F.max_by(F.struct(value), F.struct(*order)).alias("_last"))
@@ -57,7 +78,7 @@ def with_previous(df: DataFrame, keys: list, order: list, segment: Column, value
 
 def with_run_length(df: DataFrame, keys: list, order: list, segment: Column, hit: Column, name: str) -> DataFrame:
     """Length of the unbroken run of ``hit`` rows ending at each row (0 off a run)."""
-    df = df.withColumn("_seg", segment).withColumn("_hit", hit.cast("int"))
+    df = _cut(df, keys, segment).withColumn("_hit", hit.cast("int"))
     upto = Window.partitionBy(*keys, "_seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumn("_breaks", F.sum(1 - F.col("_hit")).over(upto))
     run = Window.partitionBy(*keys, "_seg", "_breaks").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

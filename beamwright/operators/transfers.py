@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from beamwright import fixed
 from beamwright.functions import paths, values
+from beamwright.operators import segments
 
 
 def resolve_route(transfers: DataFrame, endpoints: DataFrame) -> DataFrame:
@@ -104,16 +105,17 @@ def event_verdict(elapsed, max_wait: float = 600):
     )
 
 
-def task_timeout(events: DataFrame, max_wait: float = 600) -> DataFrame:
+def task_timeout(events: DataFrame, max_wait: float = 600, seconds: int = 3600) -> DataFrame:
     """Verdict of every task: the first poll that decides.
 
     A finished task counts as completed even when it failed; ``succeeded``
-    tells the two apart.  Only aggregates are grouped by task, so a task with
-    very many polls is reduced before the shuffle.
+    tells the two apart.  A task with very many polls is spread over segments of
+    time and reduced before its polls meet.
     """
-    starts = events.groupBy("task_id").agg(F.min("ts").alias("first_ts"))
+    segment = segments.time_segment(F.col("ts"), seconds)
+    events = segments.with_key_minimum(events, ["task_id"], segment, "ts", "first_ts")
     elapsed = (F.unix_micros("ts") - F.unix_micros("first_ts")) / 1000000
-    judged = events.join(starts, "task_id").withColumn("elapsed", elapsed)
+    judged = events.withColumn("elapsed", elapsed)
     judged = judged.withColumn("verdict", event_verdict(F.col("elapsed"), max_wait))
     order = F.when(F.col("verdict").isNotNull(), F.struct("ts", "event_id"))
     first = F.min_by(F.struct("verdict", "status", "elapsed"), order)

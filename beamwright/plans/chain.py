@@ -178,11 +178,9 @@ def run(frames: DataFrame, scans: DataFrame, settings: Settings = Settings()) ->
         elif name == "stripe_fourier_wavelet":
             numpy_stage(SINOGRAM, lambda a: kernels.damp_stripes(a, s.ring_sigma, s.ring_level))
         elif name == "stripe_titarenko":
-            flush()
-            tomo = imaging.stripe_titarenko(tomo, s.ring_nblock, s.ring_alpha)
+            numpy_stage(SINOGRAM, lambda a: kernels.flatten_profile(a, s.ring_nblock, s.ring_alpha))
         elif name == "stripe_smoothing":
-            flush()
-            tomo = imaging.stripe_smoothing(tomo, s.ring_size)
+            numpy_stage(SINOGRAM, lambda a: kernels.smooth_stripes(a, s.ring_size))
         elif name == "tilt":
             numpy_stage(PROJECTION, lambda a: kernels.rotate(a, s.tilt_degrees, a.shape[0] / 2 - 0.5, a.shape[1] / 2 - 0.5))
         elif name == "lens_distortion":

@@ -74,6 +74,32 @@ def grouped_kernel(
     return rows.groupBy(*keys).applyInArrow(run, schema)
 
 
+def grouped_reduce(df: DataFrame, keys: list, fn: Callable) -> DataFrame:
+    """``fn(matrix) -> vector`` per group: one row of ``values`` per key."""
+    types = dict(df.dtypes)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in keys) + ", `values` array<double>"
+
+    def run(table: pa.Table) -> pa.Table:
+        columns = {k: table.column(k).slice(0, 1) for k in keys}
+        columns["values"] = to_lists(np.asarray(fn(to_matrix(table)))[None, :])
+        return pa.table(columns)
+
+    return df.select(*keys, "values").groupBy(*keys).applyInArrow(run, schema)
+
+
+def in_ray_blocks(df: DataFrame, width: int, block: str = "block") -> DataFrame:
+    """Rows cut into pieces of ``width`` rays, so that a group of very many rows
+    is spread over several tasks."""
+    last = F.floor((F.size("values") - 1) / width).cast("int")
+    cut = df.withColumn(block, F.explode(F.sequence(F.lit(0), last)))
+    return cut.withColumn("values", F.slice("values", F.col(block) * width + 1, F.lit(width)))
+
+
+def from_ray_blocks(df: DataFrame, keys: list, block: str = "block") -> DataFrame:
+    pieces = F.transform(F.sort_array(F.collect_list(F.struct(block, "values"))), lambda e: e["values"])
+    return df.groupBy(*keys).agg(F.flatten(pieces).alias("values"))
+
+
 def with_halo(df: DataFrame, position: str, size: int, half: int, chunk: str = "chunk") -> DataFrame:
     """Cut a long axis into chunks that also hold ``half`` neighbours on each side.
 

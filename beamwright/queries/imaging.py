@@ -11,7 +11,7 @@ from beamwright.plans import chain
 from beamwright.plans.grouped import PROJECTION, grouped_kernel, mean_frame
 from beamwright.queries import bindings as b
 from beamwright.queries.core import query, six
-from beamwright.session import scratch_dir
+from beamwright.session import scratch_dir, small_table
 from beamwright.sources import readers, sinks
 
 W = 64
@@ -22,7 +22,7 @@ def scans(t):
     n = (F.floor((F.max("k") - 12) / 2) + 1).cast("int")
     g = b._numbered(t).groupBy("scan_id", "label").agg(n.alias("numangles"))
     i = F.sequence(F.lit(0), F.col("numangles") - 1)
-    return g.select(
+    rows = g.select(
         "scan_id", "numangles", F.lit(2).alias("numslices"), F.lit(W).alias("numrays"),
         F.when(F.col("label") % 2 == 0, 360.0).otherwise(180.0).alias("angularrange"),
         F.transform(i, lambda k: F.lit(math.pi) * k / F.col("numangles")).alias("theta"),
@@ -30,6 +30,7 @@ def scans(t):
         F.array(F.lit(0), F.floor(F.col("numangles") / 2).cast("int"), F.col("numangles") - 1).alias("flat_locations"),
         F.lit(5.0).alias("distance"), F.lit(25.0).alias("kev"), F.lit(None).cast("double").alias("init"),
     )
+    return small_table(rows, "scans")
 
 
 SCANS = "sc AS (SELECT scan_id, label, CAST((max(k) - 12) // 2 + 1 AS INTEGER) AS n FROM nb GROUP BY scan_id, label)"
@@ -38,11 +39,12 @@ SCANS = "sc AS (SELECT scan_id, label, CAST((max(k) - 12) // 2 + 1 AS INTEGER) A
 def tile_scans(t):
     g = b._numbered(t).groupBy("scan_id").agg((F.max("k") + 1).alias("numangles"))
     i = F.sequence(F.lit(0), F.col("numangles") - 1)
-    return g.select(
+    rows = g.select(
         "scan_id", "numangles", F.lit(8).alias("numslices"), F.lit(1.25).alias("pxsize_um"),
         F.transform(i, lambda k: F.lit(math.pi) * k / F.col("numangles")).alias("theta"),
         F.col("numangles").alias("nz"), F.lit(8).alias("ny"), F.lit(8).alias("nx"),
         F.lit(0.001).alias("pxsize_cm"), F.lit(5.0).alias("distance"), F.lit(25.0).alias("kev"))
+    return small_table(rows, "scans")
 
 
 def tomo(t):
@@ -321,10 +323,11 @@ def _(t):
 
 
 @query("frame_stats", f"""WITH {b.TILES} SELECT scan_id, idx, min(v) AS low, max(v) AS high, round(avg(v), 6) + 0.0 AS mean, count(*) AS pixels,
-  round(quantile_cont(v, 0.01), 6) + 0.0 AS q1, round(quantile_cont(v, 0.5), 6) + 0.0 AS q50, round(quantile_cont(v, 0.99), 6) + 0.0 AS q99 FROM ti GROUP BY scan_id, idx""")
+  round(quantile_cont(v, 0.01), 6) + 0.0 AS q1, round(quantile_cont(v, 0.5), 6) + 0.0 AS q50, round(quantile_cont(v, 0.99), 6) + 0.0 AS q99,
+  count(*) FILTER (v >= 0 AND v <= 50) AS upper FROM ti GROUP BY scan_id, idx""")
 def _(t):
-    s = fr.frame_stats(b.tiles(t), ["scan_id", "idx"])
-    return s.withColumns({c: six(F.col(c)) for c in ("mean", "q1", "q50", "q99")})
+    s = fr.frame_stats(b.tiles(t), low=-50.0, high=50.0, bins=2)
+    return s.withColumns({c: six(F.col(c)) for c in ("mean", "q1", "q50", "q99")}).withColumn("upper", F.get("histogram", 1)).drop("histogram")
 
 
 @query("build_sinograms", f"""WITH {b.FRAMES} SELECT scan_id, row, CAST(row_number() OVER (PARTITION BY scan_id, row, px ORDER BY idx) - 1 AS INTEGER) AS pos, idx, px, v

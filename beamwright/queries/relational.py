@@ -115,8 +115,8 @@ def _(t):
 # ------------------------------------------------------------------ retention
 def stage_paths(t):
     """The paths each scan file leaves behind, by kind; some steps did not run."""
-    f = b.source_files(t)
-    p = paths.recon_paths(F.col("rel_path"))
+    f = b.source_files(t).withColumns({"_stem": paths.stem(F.col("rel_path")), "_folder": paths.parent_name(F.col("rel_path"))})
+    p = paths.recon_paths_of(F.col("_folder"), F.col("_stem"))
     ok = F.col("o_orderkey") % 6 != 0
     kinds = [("raw", p["raw_path"]), ("tiff", p["tiff_path"]), ("zarr", F.when(ok, p["zarr_path"])),
              ("nersc tiff", F.when(~ok, p["tiff_path"])), ("nersc zarr", F.lit("")), ("file", F.col("rel_path"))]
@@ -157,7 +157,7 @@ def _(t):
 @query("union_schedules", _SCHEDULE)
 def _(t):
     p = stage_paths(t)
-    out = retention.union_schedules(*[retention.retention_schedule(p, f) for f in ("alcf", "nersc", "move")])
+    out = retention.union_schedules(retention.retention_schedule(p, "alcf", "nersc"), retention.retention_schedule(p, "move"))
     return out.withColumn("due_at", stamp("due_at")).select(*_SCHED_COLS)
 
 

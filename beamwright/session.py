@@ -5,6 +5,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -45,3 +46,17 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_table(df: DataFrame, purpose: str, limit: int = 32 << 20) -> DataFrame:
+    """A written table, marked for broadcast only if its files are small enough.
+
+    Written once, it is not computed again by every join that uses it; beyond
+    the limit Spark joins it by shuffle.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, purpose)
+    df.write.parquet(path)
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    table = spark.read.schema(df.schema).parquet(path)
+    return F.broadcast(table) if size <= limit else table
