@@ -20,21 +20,33 @@ def storage_path(path: Column, source_root: str, storage_root: str) -> Column:
     return F.replace(path, F.lit(source_root), F.lit(storage_root))
 
 
+def _tidy(path: Column) -> Column:
+    """No double and no trailing slashes."""
+    one = F.when(path.contains("//"), F.regexp_replace(path, "/+", "/")).otherwise(path)
+    return F.rtrim(one, F.lit("/"))
+
+
 def base_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]+)/*$", 1)
+    return F.substring_index(_tidy(path), "/", -1)
 
 
 def parent_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)/+[^/]+/*$", 1)
+    p = _tidy(path)
+    return F.when(p.contains("/"), F.substring_index(F.substring_index(p, "/", -2), "/", 1)).otherwise(F.lit(""))
 
 
 def parent_dir(path: Column) -> Column:
     """Folder part; empty for a bare name."""
-    return F.regexp_extract(path, r"^(.*?)/+[^/]+/*$", 1)
+    p = _tidy(path)
+    return F.substring(p, F.lit(1), F.length(p) - F.length(F.substring_index(p, "/", -1)) - 1)
 
 
 def stem(path: Column) -> Column:
-    return F.regexp_replace(base_name(path), r"(.)\.[^.]+$", "$1")
+    """Base name without its last suffix; a leading dot starts no suffix."""
+    name = base_name(path)
+    suffix = F.substring_index(name, ".", -1)
+    dot = F.length(name) - F.length(suffix)
+    return F.when((dot > 1) & (suffix != ""), F.substring(name, F.lit(1), dot - 1)).otherwise(name)
 
 
 def recon_paths(path: Column) -> Column:

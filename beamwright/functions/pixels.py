@@ -1,8 +1,8 @@
 """Pixelwise steps as element expressions.
 
-A step maps one pixel (a double column) to one pixel.  ``apply`` composes any
-number of steps into the body of a single ``transform``, so a chain of steps
-costs one pass over each detector row and never leaves the JVM.
+A step maps one pixel (a double column) to one pixel.  Every step is one
+``transform`` over the detector row: inside a lambda Spark shares no common
+parts, so a composed expression would compute an input once per mention.
 """
 
 from collections.abc import Callable
@@ -14,26 +14,22 @@ Step = Callable[[Column], Column]
 
 
 def apply(values: Column, *steps: Step) -> Column:
-    def body(x):
-        x = x.cast("double")
-        for step in steps:
-            x = step(x)
-        return x
+    def one(step):
+        return lambda x: step(x.cast("double"))
 
-    return F.transform(values, body)
+    for step in steps:
+        values = F.transform(values, one(step))
+    return values
 
 
 def normalize(values: Column, dark: Column, flat: Column, *steps: Step, floor: float = 1e-6) -> Column:
-    """(v − dark) / max(flat − dark, floor), then any further steps in the same pass."""
+    """(v − dark) / max(flat − dark, floor), then any further steps."""
 
     def body(v, i):
         d = F.get(dark, i).cast("double")
-        x = (v.cast("double") - d) / F.greatest(F.get(flat, i).cast("double") - d, F.lit(floor))
-        for step in steps:
-            x = step(x)
-        return x
+        return (v.cast("double") - d) / F.greatest(F.get(flat, i).cast("double") - d, F.lit(floor))
 
-    return F.transform(values, body)
+    return apply(F.transform(values, body), *steps)
 
 
 def exposure_scale(ratio: float) -> Step:

@@ -173,36 +173,54 @@ def back_project(rays, theta, weight, size, center, cutoff, order) -> np.ndarray
     return img
 
 
-def grid_project(rays, theta, weight, size, center, cutoff, order, width: int = 6) -> np.ndarray:
-    """The same sum done in Fourier space: samples spread on a grid, one inverse FFT."""
-    nfft = 1 << int(np.ceil(np.log2(2 * rays.shape[1])))
-    m = 1 << int(np.ceil(np.log2(2 * size)))
-    beta = np.pi * np.sqrt((width / 2) ** 2 * (1.5**2) - 0.8)
-    f = np.fft.fftfreq(nfft)
-    spec = np.fft.fft(rays, nfft, axis=1) * np.exp(2j * np.pi * f * center)
-    spec *= (np.abs(f) / (1 + (np.abs(f) / cutoff) ** (2 * order)))[None, :] * np.asarray(weight)[:, None] / nfft
-    fx, fy = np.cos(theta)[:, None] * f, np.sin(theta)[:, None] * f
+def fast_length(n: int) -> int:
+    """The next even length with no prime factor above 5."""
+    n += n % 2
+    while True:
+        rest = n
+        for p in (2, 3, 5):
+            while rest % p == 0:
+                rest //= p
+        if rest == 1:
+            return n
+        n += 2
+
+
+def grid_project(rays, theta, weight, size, center, cutoff, order, width: int = 4, block: int = 1 << 18) -> np.ndarray:
+    """The same sum done in Fourier space: samples spread on a grid, one inverse FFT.
+
+    Real input needs positive frequencies only; zero frequency has no weight.
+    """
+    nfft, m = fast_length(2 * rays.shape[1] + size), fast_length(2 * size)
+    f = np.fft.rfftfreq(nfft)[1:]
+    gain = ramp(nfft, cutoff, order)[1:] * 2 / nfft
+    gain[-1] /= 2  # the highest frequency stands for itself only
     half = size // 2 - (size - 1) / 2
-    spec *= np.exp(2j * np.pi * (fx + fy) * half)
-    u, v, s = (fx * m).ravel(), (fy * m).ravel(), spec.ravel()
-    u0, v0 = np.ceil(u - width / 2).astype(int), np.ceil(v - width / 2).astype(int)
-
-    def bell(d):
-        return np.i0(beta * np.sqrt(np.clip(1 - (2 * d / width) ** 2, 0, None))) * (np.abs(d) <= width / 2)
-
-    bx = [bell(u0 + i - u) for i in range(width)]
-    grid = np.zeros(m * m, complex)
-    for j in range(width):
-        by = bell(v0 + j - v)
-        for i in range(width):
-            at = ((v0 + j) % m) * m + (u0 + i) % m
-            part = s * bx[i] * by
-            grid += np.bincount(at, part.real, m * m) + 1j * np.bincount(at, part.imag, m * m)
-    img = np.fft.ifft2(grid.reshape(m, m)) * m * m
+    beta = np.pi * np.sqrt((width / 2) ** 2 * 1.5**2 - 0.8)
+    at_bell = np.linspace(0, width / 2, 2048)
+    bell = np.i0(beta * np.sqrt(np.clip(1 - (2 * at_bell / width) ** 2, 0, None)))
+    real, imag = np.zeros(m * m), np.zeros(m * m)
+    step = max(1, block // len(f))
+    for lo in range(0, len(rays), step):
+        part, a = rays[lo:lo + step], np.asarray(theta)[lo:lo + step, None]
+        fx, fy = np.cos(a) * f, np.sin(a) * f
+        spec = np.fft.rfft(part, nfft, axis=1)[:, 1:] * gain * np.asarray(weight)[lo:lo + step, None]
+        spec *= np.exp(2j * np.pi * (f * center + (fx + fy) * half))
+        u, v, s = (fx * m).ravel(), (fy * m).ravel(), spec.ravel()
+        u0, v0 = np.ceil(u - width / 2).astype(int), np.ceil(v - width / 2).astype(int)
+        across = [np.interp(np.abs(u0 + i - u), at_bell, bell) for i in range(width)]
+        for j in range(width):
+            line = s * np.interp(np.abs(v0 + j - v), at_bell, bell)
+            row = ((v0 + j) % m) * m
+            for i in range(width):
+                at, value = row + (u0 + i) % m, line * across[i]
+                np.add.at(real, at, value.real)
+                np.add.at(imag, at, value.imag)
     pos = np.arange(size) - size // 2
+    img = np.fft.ifft2((real + 1j * imag).reshape(m, m)).real * m * m
     z = np.sqrt((beta**2 - (np.pi * width * pos / m) ** 2).astype(complex))
     bump = (width * np.sinh(z) / z).real
-    return img.real[np.ix_(pos % m, pos % m)] / bump[:, None] / bump[None, :]
+    return img[np.ix_(pos % m, pos % m)] / bump[:, None] / bump[None, :]
 
 
 def polar_smooth(img: np.ndarray, arc: float, width: int, high: float, limit: float, low: float) -> np.ndarray:

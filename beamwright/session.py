@@ -7,6 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Image groups are small in bytes and long in compute: without this, adaptive
+# execution would merge many of them into one task.
+KERNEL_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB"}
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -24,9 +27,16 @@ def local_session(cores: str = "8", app: str = "beamwright") -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    tune(spark)
     return spark
 
 
+def tune(spark: SparkSession) -> None:
+    """Runtime settings the library wants in any session."""
+    for key, value in KERNEL_CONF.items():
+        spark.conf.set(key, value)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared folder the cluster names.
 
