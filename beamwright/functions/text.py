@@ -45,9 +45,11 @@ def access_controls(user: Column, beamline: Column, proposal: Column) -> Column:
 def typed_literal(raw: Column) -> Column:
     """struct(type, int_value, float_value, str_value): integer, float, else text."""
     s = F.trim(raw)
-    whole = F.when(s.rlike(r"^[+-]?\d+\z"), s.try_cast("bigint"))
+    # most words start with a letter no number starts with: no pattern is run on those
+    maybe = F.instr(F.lit("0123456789+-.nNiI"), F.substring(s, 1, 1)) > 0
+    whole = F.when(maybe & s.rlike(r"^[+-]?\d+\z"), s.try_cast("bigint"))
     number = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\z|(?i)^[+-]?(nan|inf|infinity)\z"
-    real = F.when(whole.isNull() & s.rlike(number), s.try_cast("double"))
+    real = F.when(maybe & whole.isNull() & s.rlike(number), s.try_cast("double"))
     kind = F.when(whole.isNotNull(), "int").when(real.isNotNull(), "float")
     return F.struct(
         F.coalesce(kind, F.lit("str")).alias("type"),

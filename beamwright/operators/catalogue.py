@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from beamwright import fixed
 from beamwright.functions import paths, text, values
+from beamwright.operators import segments
 
 
 def distinct_keys(keys: list) -> list:
@@ -111,17 +112,15 @@ def ingest_verdict(scans: DataFrame, issues: DataFrame, strict: bool = True) ->
 def datablocks(files: DataFrame, source_root: str, storage_root: str, block_size: int = 1000) -> DataFrame:
     """Blocks of data files per dataset ``files(scan_id, path, size, last_modified)``.
 
-    A dataset with very many files gets several blocks of about ``block_size``
-    files; every file is in exactly one block.
+    A dataset with very many files gets several blocks of ``block_size`` files;
+    every file is in exactly one block.
     """
-    sizes = files.groupBy("scan_id").agg(F.count(F.lit(1)).alias("_n"))
     stored = paths.storage_path(F.col("path"), source_root, storage_root)
     entry = F.struct(
         stored.alias("path"), F.col("size"), F.col("last_modified").alias("time"), F.lit("RawDatasets").alias("type")
     )
     return (
-        files.join(sizes, "scan_id")
-        .withColumn("block", F.pmod(F.xxhash64("path"), F.ceil(F.col("_n") / block_size)))
+        segments.with_batch(files, ["scan_id"], "path", block_size, "block")
         .groupBy("scan_id", "block")
         .agg(F.sum("size").alias("size"), F.sort_array(F.collect_list(entry)).alias("data_files"))
     )

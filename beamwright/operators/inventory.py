@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beamwright.functions import paths, text, values
-from beamwright.session import small_table
+from beamwright.operators import segments
 
 PRUNE, TOO_NEW = "PRUNE", "TOO_NEW"
 NO_SECOND_COPY, SOURCE_MISSING = "NO_SECOND_COPY", "SOURCE_MISSING"
@@ -120,16 +120,13 @@ def unsafe_paths(source: DataFrame, check: DataFrame) -> DataFrame:
 
 
 def prune_batch(plan: DataFrame, batch_size: int = 1000) -> DataFrame:
-    """Delete batches per endpoint: path count, bytes and the paths themselves.
+    """Delete batches per endpoint: path count and the paths themselves.
 
-    An endpoint may hold most of all files, so its paths are spread over enough
-    hash batches to keep each list near ``batch_size``; no path is dropped.
+    An endpoint may hold most of all files, so its paths are numbered and cut
+    into batches of ``batch_size``; no path is dropped.
     """
-    sizes = small_table(plan.groupBy("source").agg(F.count(F.lit(1)).alias("_n")), "batch-sizes")
-    batches = F.ceil(F.col("_n") / batch_size)
     return (
-        plan.join(sizes, "source")
-        .withColumn("batch", F.pmod(F.xxhash64("rel_path"), batches))
+        segments.with_batch(plan, ["source"], "rel_path", batch_size, "batch")
         .groupBy("source", "batch")
         .agg(F.count(F.lit(1)).alias("files"), F.sort_array(F.collect_list("rel_path")).alias("paths"))
     )

@@ -165,11 +165,13 @@ def back_project(rays, theta, weight, size, center, cutoff, order) -> np.ndarray
     """Filtered back-projection of some angles onto a square image."""
     nfft = 1 << int(np.ceil(np.log2(2 * rays.shape[1])))
     q = np.fft.irfft(np.fft.rfft(rays, nfft, axis=1) * ramp(nfft, cutoff, order), nfft, axis=1)[:, : rays.shape[1]]
-    c = np.arange(size) - (size - 1) / 2
-    img, at = np.zeros((size, size)), np.arange(rays.shape[1])
+    c, last = np.arange(size) - (size - 1) / 2, rays.shape[1] - 1
+    img = np.zeros((size, size))
     for row, a, w in zip(q, theta, weight):
         t = c[None, :] * np.cos(a) + c[:, None] * np.sin(a) + center
-        img += w * np.interp(t.ravel(), at, row, left=0.0, right=0.0).reshape(size, size)
+        i = np.clip(t.astype(int), 0, last - 1)
+        f = t - i
+        img += np.where((t >= 0) & (t <= last), w * (row[i] * (1 - f) + row[i + 1] * f), 0.0)
     return img
 
 
@@ -197,8 +199,13 @@ def grid_project(rays, theta, weight, size, center, cutoff, order, width: int =
     gain[-1] /= 2  # the highest frequency stands for itself only
     half = size // 2 - (size - 1) / 2
     beta = np.pi * np.sqrt((width / 2) ** 2 * 1.5**2 - 0.8)
-    at_bell = np.linspace(0, width / 2, 2048)
-    bell = np.i0(beta * np.sqrt(np.clip(1 - (2 * at_bell / width) ** 2, 0, None)))
+    fine = 1 << 13  # table entries per grid step
+    at_bell = np.arange(width * fine // 2 + 2) / fine
+    table = np.i0(beta * np.sqrt(np.clip(1 - (2 * at_bell / width) ** 2, 0, None)))
+
+    def bell(d):
+        return table[(np.abs(d) * fine + 0.5).astype(int)]
+
     real, imag = np.zeros(m * m), np.zeros(m * m)
     step = max(1, block // len(f))
     for lo in range(0, len(rays), step):
@@ -208,9 +215,9 @@ def grid_project(rays, theta, weight, size, center, cutoff, order, width: int =
         spec *= np.exp(2j * np.pi * (f * center + (fx + fy) * half))
         u, v, s = (fx * m).ravel(), (fy * m).ravel(), spec.ravel()
         u0, v0 = np.ceil(u - width / 2).astype(int), np.ceil(v - width / 2).astype(int)
-        across = [np.interp(np.abs(u0 + i - u), at_bell, bell) for i in range(width)]
+        across = [bell(u0 + i - u) for i in range(width)]
         for j in range(width):
-            line = s * np.interp(np.abs(v0 + j - v), at_bell, bell)
+            line = s * bell(v0 + j - v)
             row = ((v0 + j) % m) * m
             for i in range(width):
                 at, value = row + (u0 + i) % m, line * across[i]

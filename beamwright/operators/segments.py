@@ -99,3 +99,10 @@ def with_run_length(df: DataFrame, keys: list, order: list, segment: Column, hit
         .withColumn(name, F.col("_run") + F.when(first, F.col("_in")).otherwise(0))
         .drop("_seg", "_hit", "_breaks", "_run", "_in")
     )
+
+
+def with_batch(df: DataFrame, keys: list, unique: str, size: int, name: str, spread: int = 256) -> DataFrame:
+    """Number batches of exactly ``size`` rows (the last may be smaller) per key."""
+    part = F.pmod(F.xxhash64(unique), F.lit(spread))
+    out = with_row_number(df, keys, [unique], part, "_pos")
+    return out.withColumn(name, F.floor((F.col("_pos") - 1) / size)).drop("_pos")

@@ -115,13 +115,13 @@ _META = [
      "[case when c_custkey % 4 = 0 then 'bl832' else n_name end]"),
     (_M + "sample/experiment/pi", "s", "case when c_custkey % 9 <> 0 then c_name end", None),
     (_M + "sample/experiment/proposal", "s", "case when c_custkey % 5 = 0 then 'None' else concat('BLS-', lpad(cast(c_custkey as varchar(20)), 5, '0')) end", None),
-    (_M + "sample/experimenter/email", "s", """concat(' "', lower(c_name), case when c_custkey % 6 = 0 then '' else ' @ als.example' end, '", ')""", None),
+    (_M + "sample/experimenter/email", "s", """concat(' "', lower(c_name), case when c_custkey % 6 = 0 then '' else ' @ lab.example' end, '", ')""", None),
     (_M + "sample/file_name", "s", "case when c_custkey % 17 <> 0 then concat(c_mktsegment, '_scan.', cast(c_custkey as varchar(20)), '-x') end", None),
     (_M + "instrument/detector/model", "s", "concat('cam', cast(c_custkey % 3 as varchar(20)))", None),
     (_M + "instrument/detector/temperature", "n", "case when c_custkey % 8 <> 0 then cast(c_custkey % 40 as double) / 4 end", None),
     (_M + "instrument/detector/dimension_x", "N", "array(cast(64 + c_custkey % 100 as double))", "[cast(64 + c_custkey % 100 as double)]"),
     (_M + "instrument/detector/dimension_y", "N", "array(cast(32 + c_custkey % 5 as double))", "[cast(32 + c_custkey % 5 as double)]"),
-    (_M + "instrument/detector/pixel_size", "n", "cast(1 + c_custkey % 4 as double) / 1024", None),
+    (_M + "instrument/detector/pixel_size", "n", "cast(1 + c_custkey % 4 as double) / 64", None),
     (_M + "instrument/camera_motor_stack/setup/camera_distance", "N",
      "case when c_custkey % 4 = 1 then array(0.0D, 75.0D) else array(50.0D) end",
      "case when c_custkey % 4 = 1 then [0.0::double, 75.0::double] else [50.0::double] end"),

@@ -83,11 +83,11 @@ def _(t):
 
 
 @query("expand_directories", f"""WITH {b.SOURCE}, rq AS (SELECT DISTINCT 'raw/BLS-' || lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0')
-  || '_user' || CAST(c_custkey % 50 AS VARCHAR) AS dir_path FROM customer WHERE c_nationkey < 12)
+  || '_user' || CAST(c_custkey % 50 AS VARCHAR) AS dir_path FROM customer)
 SELECT dir_path, rel_path, '/dest/' || regexp_replace(rel_path, '^raw/', '') AS dest_path
 FROM src JOIN rq ON starts_with(rel_path, dir_path || '/')""")
 def _(t):
-    rq = t.customer.filter("c_nationkey < 12").select(
+    rq = t.customer.select(
         F.expr("concat('raw/BLS-', lpad(cast(c_custkey % 100000 as string), 5, '0'), '_user', cast(c_custkey % 50 as string))").alias("dir_path"),
         F.lit("/dest/").alias("dest")).distinct()
     return inventory.expand_directories(rq, b.source_files(t)).select("dir_path", "rel_path", "dest_path")
@@ -373,10 +373,9 @@ def _(t):
 
 @query("scientific_metadata", f"""WITH {b.META} SELECT scan_id, key, CASE WHEN key LIKE '%model' THEN '"' || str_value || '"'
   ELSE CAST(coalesce(num_value, num_list[1]) AS VARCHAR) END AS j FROM meta
-  SEMI JOIN (SELECT DISTINCT key FROM {_keys_sql(fixed.SCIENTIFIC_KEYS)}) USING (key) WHERE key NOT LIKE '%pixel_size'""")
+  SEMI JOIN (SELECT DISTINCT key FROM {_keys_sql(fixed.SCIENTIFIC_KEYS)}) USING (key)""")
 def _(t):
-    m = catalogue.scientific_metadata(b.scan_meta(t)).select("scan_id", F.explode("scientific_metadata").alias("key", "j"))
-    return m.filter(~F.col("key").endswith("pixel_size"))
+    return catalogue.scientific_metadata(b.scan_meta(t)).select("scan_id", F.explode("scientific_metadata").alias("key", "j"))
 
 
 @query("ingest_verdict", f"""WITH {b.META}, {b.SCAN_FILES}, {_PIVOT}, i AS ({_MISSING.format(k=_keys_sql(fixed.CATALOGUE_KEYS))}
@@ -416,18 +415,18 @@ def _(t):
 
 
 def thumbs(t):
-    return t.customer.filter("c_custkey % 2 = 0").select(
+    return t.customer.select(
         F.col("c_custkey").cast("string").alias("scan_id"), F.encode("c_name", "UTF-8").alias("payload"))
 
 
 @query("attachments", f"""SELECT CAST(c_custkey AS VARCHAR) AS scan_id, 'data:image/jpg;base64,' || to_base64(encode(c_name)) AS thumbnail,
-  'raw image' AS caption FROM customer WHERE c_custkey % 2 = 0""")
+  'raw image' AS caption FROM customer""")
 def _(t):
     return catalogue.attachments(thumbs(t), records(t)).select("scan_id", "thumbnail", "caption")
 
 
 @query("catalogue_lineage", f"""WITH {b.SOURCE}, {b.ORDER_FILES} SELECT scan_id, replace(path, '/data/raw', '/store/raw') AS file_path, size AS file_size,
-  CAST(CASE WHEN CAST(scan_id AS BIGINT) % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS attachments FROM of""")
+  CAST(1 AS BIGINT) AS attachments FROM of""")
 def _(t):
     r = records(t)
     out = catalogue.catalogue_lineage(r, blocks(t), catalogue.attachments(thumbs(t), r))

@@ -17,7 +17,7 @@ def local_session(cores: str = "8", app: str = "beamwright") -> SparkSession:
     """A local session for tests and the bench; clusters bring their own."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
-        .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
+        .config("spark.sql.shuffle.partitions", str(4 * int(cores)) if cores.isdigit() else "32")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
