@@ -117,12 +117,15 @@ def attach_references(tomo: DataFrame, flat: DataFrame, dark: DataFrame, bright_
     """Projections with their flat and dark rows.
 
     ``bright_scans(scan_id, bright_scan_id)`` takes the flats from another scan.
+    The references are hashed per partition: the projections are shuffled by
+    (scan, row), which the sinogram stages need too, but not sorted for the join.
     """
     f = flat.withColumnRenamed("values", "flat")
     d = dark.withColumnRenamed("values", "dark")
     if bright_scans is not None:
         f = f.withColumnRenamed("scan_id", "bright_scan_id").join(bright_scans, "bright_scan_id").drop("bright_scan_id")
-    return tomo.join(f.join(d, ["scan_id", "row"]), ["scan_id", "row"])
+    both = f.join(d, ["scan_id", "row"]).hint("shuffle_hash")
+    return tomo.join(both, ["scan_id", "row"])
 
 
 def group_bounds(locations: Column) -> Column:
@@ -156,7 +159,8 @@ def attach_nearest(tomo: DataFrame, frames: DataFrame, scans: DataFrame) -> Data
     flat = reduce_reference(grouped, "flat", "median", ["scan_id", "row", "grp"]).withColumnRenamed("values", "flat")
     dark = reduce_reference(frames, "dark", "median").withColumnRenamed("values", "dark")
     numbered = tomo.join(loc, "scan_id").withColumn("grp", nearest_group(F.col("idx"), F.col("flat_locations")))
-    return numbered.join(flat, ["scan_id", "row", "grp"]).join(dark, ["scan_id", "row"]).drop("flat_locations")
+    both = flat.join(dark, ["scan_id", "row"]).hint("shuffle_hash")
+    return numbered.join(both, ["scan_id", "row", "grp"]).drop("flat_locations")
 
 
 def ignore_projections(frames: DataFrame, listed: DataFrame) -> DataFrame:
