@@ -1,5 +1,7 @@
 """Sources: inventories, frames, metadata, job lists."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,9 @@ def inventory_scan(spark: SparkSession, root: str, endpoint_key: str) -> DataFra
     Names starting with ``_`` or ``.`` are hidden by Spark's file listing.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    rel = F.regexp_replace("path", r"^.*?" + "\\Q" + root.rstrip("/") + "\\E" + "/", "")
+    # the same root may come with "file:", "file://" or no scheme at all
+    place = re.sub(r"^[A-Za-z0-9+.-]+:/*", "/", root).rstrip("/")
+    rel = F.regexp_replace("path", r"^.*?\Q" + place + r"\E/", "")
     return files.select(
         F.lit(endpoint_key).alias("endpoint_key"), rel.alias("rel_path"), paths.base_name(F.col("path")).alias("name"),
         F.lit("file").alias("type"), F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"),
