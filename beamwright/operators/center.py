@@ -5,8 +5,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from beamwright.functions import pixels
 from beamwright.operators import kernels
-from beamwright.operators.frames import opposing_pair
+from beamwright.operators.frames import attach_references, opposing_pair, reduce_reference
 from beamwright.plans.grouped import to_matrix
 
 METHODS = ("pc", "vo", "nm", "skip")
@@ -16,10 +17,11 @@ def center_skip(scans: DataFrame) -> DataFrame:
     return scans.select("scan_id", (F.col("numrays") / 2).alias("center"))
 
 
-def center_phase_corr(frames: DataFrame, scans: DataFrame, tol: float = 0.25) -> DataFrame:
+def center_phase_corr(frames: DataFrame, scans: DataFrame, tol: float = 0.25, normalized: bool = False) -> DataFrame:
     """Sub-pixel registration of the first projection with the mirrored opposing one.
 
-    Only two projections per scan leave the scan; a group is those two frames.
+    Raw frames are normalised first, with their own flats and darks.  Only two
+    projections per scan leave the scan; a group is those two frames.
     """
     upsample = int(round(1 / tol))
 
@@ -31,7 +33,11 @@ def center_phase_corr(frames: DataFrame, scans: DataFrame, tol: float = 0.25) ->
         return pa.table({"scan_id": table.column("scan_id").slice(0, 1), "center": pa.array([center])})
 
     pair = opposing_pair(frames, scans).select("scan_id", "idx", "row", "values")
-    return pair.groupBy("scan_id").applyInArrow(run, "scan_id string, center double")
+    if not normalized:
+        held = attach_references(pair, reduce_reference(frames, "flat"), reduce_reference(frames, "dark"))
+        pair = held.withColumn("values", pixels.normalize(F.col("values"), F.col("dark"), F.col("flat")))
+    rows = pair.select("scan_id", "idx", "row", "values")
+    return rows.groupBy("scan_id").applyInArrow(run, "scan_id string, center double")
 
 
 def _scored(sinos: DataFrame, candidates: Column, score, batch: int, extra: list) -> DataFrame:

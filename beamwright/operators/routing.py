@@ -28,20 +28,21 @@ def route(files: DataFrame, decisions: dict) -> DataFrame:
 def flow_outcome(runs: DataFrame, gated: bool = True) -> DataFrame:
     """Outcome of runs with explicit stage results ``copy_in, recon, pyramid, tiff_back, zarr_back``.
 
-    Gated runs stop at the first failure; ungated ones go on with what they
-    can.  Copy-back results only decide whether the returned copies may be pruned.
+    Gated runs stop at the first failure; copy-back results then only decide
+    whether the returned copies may be pruned.  Ungated runs never stop: they
+    have no copy-in, always try four copies and always schedule all pruning.
     """
     ok = {c: F.coalesce(F.col(c), F.lit(False)) for c in ("copy_in", "recon", "pyramid", "tiff_back", "zarr_back")}
-    stopped = F.when(~ok["copy_in"], "copy_in").when(~ok["recon"], "recon").when(~ok["pyramid"], "pyramid")
-    success = ok["recon"] & ok["pyramid"] & (ok["copy_in"] if gated else F.lit(True))
     if gated:
-        copies = F.when(stopped.isNull(), 3).otherwise(1)
-        prune = stopped.isNull()
+        stopped = F.when(~ok["copy_in"], "copy_in").when(~ok["recon"], "recon").when(~ok["pyramid"], "pyramid")
+        done = stopped.isNull()
+        copies, tiff, zarr = F.when(done, 3).otherwise(1), done & ok["tiff_back"], done & ok["zarr_back"]
+        success = prune = done
     else:
-        copies = 1 + ok["recon"].cast("int") + ok["pyramid"].cast("int")
-        prune = F.lit(True)
+        stopped = F.lit(None).cast("string")
+        success, copies = ok["recon"] & ok["pyramid"], F.lit(4)
+        prune = tiff = zarr = F.lit(True)
     return runs.select(
         "*", stopped.alias("stopped_at"), success.alias("success"), copies.alias("copies"), prune.alias("schedules_prune"),
-        (prune & ok["tiff_back"] & (success | F.lit(not gated))).alias("prune_tiff_copy"),
-        (prune & ok["zarr_back"] & (success | F.lit(not gated))).alias("prune_zarr_copy"),
+        tiff.alias("prune_tiff_copy"), zarr.alias("prune_zarr_copy"),
     )

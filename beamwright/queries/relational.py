@@ -205,10 +205,10 @@ def _(t):
     return routing.flow_outcome(runs(t)).drop("copy_in", "recon", "pyramid", "tiff_back", "zarr_back")
 
 
-@query("flow_outcome_ungated", f"""WITH r AS (SELECT o_orderkey AS k FROM orders) SELECT k AS o_orderkey, {_STOP} AS stopped_at,
-  k % 7 <> 0 AND k % 11 <> 0 AS success, 1 + CAST(k % 7 <> 0 AS INTEGER) + CAST(k % 11 <> 0 AS INTEGER) AS copies FROM r""")
+@query("flow_outcome_ungated", """SELECT o_orderkey, o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 AS success, 4 AS copies, true AS schedules_prune,
+  NULL::VARCHAR AS stopped_at FROM orders""")
 def _(t):
-    return routing.flow_outcome(runs(t), gated=False).select("o_orderkey", "stopped_at", "success", "copies")
+    return routing.flow_outcome(runs(t), gated=False).select("o_orderkey", "stopped_at", "success", "copies", "schedules_prune")
 
 
 # ------------------------------------------------------------------ transfers

@@ -138,7 +138,12 @@ def test_centres(spark, method, cor):
         up, _ = disc_sinogram(cor, 9, 3, -4, span=span)
         blocks = np.stack([sino, sino + up, up], axis=1)
         tomo = to_df(spark, blocks).withColumn("kind", F.lit("tomo"))
-        got = center.find_center("pc", tomo, scan_df(spark, theta, cor)).first().center
+        got = center.find_center("pc", tomo, scan_df(spark, theta, cor), normalized=True).first().center
+        gain = np.linspace(500, 900, W)[None, None, :]
+        flat = to_df(spark, np.repeat(100 + gain, 3, axis=1)).withColumn("kind", F.lit("flat"))
+        dark = to_df(spark, np.full((1, 3, W), 100.0)).withColumn("kind", F.lit("dark"))
+        raw = to_df(spark, 100 + gain * blocks).withColumn("kind", F.lit("tomo")).unionByName(flat).unionByName(dark)
+        assert abs(center.find_center("pc", raw, scan_df(spark, theta, cor)).first().center - got) < 1e-9
     elif method == "vo":
         got = center.find_center("vo", to_df(spark, sino[:, None, :]), None, radius=2, reach=10, drop=2).first().center
     else:
