@@ -169,7 +169,7 @@ def _(t):
 # -------------------------------------------------------------------- routing
 def new_files(t):
     return b.source_files(t).select(
-        F.concat(F.lit("/global/"), "rel_path").alias("file_path"), "o_orderkey", "last_modified",
+        F.concat(F.lit("/global/"), "rel_path").alias("file_path"), "o_orderkey", "last_modified", "size",
         (F.col("o_orderkey") % 4 == 0).alias("is_export_control"), (F.col("o_orderkey") % 9 != 0).alias("send_offsite"))
 
 

@@ -44,3 +44,17 @@ def test_prune_batches_split_a_hot_endpoint_and_lose_nothing(spark):
     b = inventory.prune_batch(plan, 500).collect()
     assert len(b) == 10 and max(r.files for r in b) < 700
     assert len({p for r in b for p in r.paths}) == 5000
+
+
+def test_small_tables_are_broadcast_only_below_the_limit(spark):
+    from beamwright.session import small_table
+
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for limit, kind in ((1 << 20, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+            joined = big.join(small_table(spark.range(10).withColumnRenamed("id", "k"), "t", limit), "k")
+            assert kind in joined._jdf.queryExecution().executedPlan().toString()
+            assert joined.count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
