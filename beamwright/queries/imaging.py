@@ -476,7 +476,11 @@ def _(t):
     return d.select("scan_id", "idx", "row", F.posexplode("values").alias("px", "v"))
 
 
-@query("drift_correction_bilinear")
+@query("drift_correction_bilinear", f"""WITH {b.TILES}, o AS (SELECT unnest([0, 1]) AS d), m AS (SELECT ti.*, row + idx / last * 0.5 AS y, px - idx / last * 1.5 AS x FROM ti {_PART}),
+f AS (SELECT *, floor(y)::BIGINT AS y0, floor(x)::BIGINT AS x0, y - floor(y) AS fy, x - floor(x) AS fx FROM m)
+SELECT f.scan_id, f.idx, f.row, f.px, round(sum(CASE oy.d WHEN 0 THEN 1 - fy ELSE fy END * CASE ox.d WHEN 0 THEN 1 - fx ELSE fx END * coalesce(s.v, 0.0)), 6) + 0.0 AS v
+FROM f JOIN o oy ON true JOIN o ox ON true LEFT JOIN ti s ON s.scan_id = f.scan_id AND s.idx = f.idx AND s.row = y0 + oy.d AND s.px = x0 + ox.d
+GROUP BY f.scan_id, f.idx, f.row, f.px""")
 def _(t):
     offsets = fr.drift_offset(fr.angle_table(tile_scans(t)), 1.5, 0.5)
     return out(imaging.drift_correction(b.tiles(t), offsets, tile_scans(t)), "scan_id", "idx", "row")

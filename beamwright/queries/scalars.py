@@ -9,7 +9,7 @@ from beamwright.queries import bindings as b
 from beamwright.queries.core import NOW, now, query, stamp
 
 
-def _wide(t, key, name):
+def _key(t, key):
     return b.scan_meta(t).filter(F.col("key") == key)
 
 
@@ -20,7 +20,7 @@ _BARE = r"""regexp_replace(regexp_replace(str_value, '^["''\s,]+', ''), '["''\s,
 SELECT scan_id, CASE WHEN c = '' OR upper(c) = 'NONE' OR strpos(c, '@') = 0 THEN 'unknown@example.com'
   ELSE replace(c, ' ', '') END AS email FROM e""")
 def _(t):
-    return _wide(t, fixed.CATALOGUE_KEYS[5], "email").select("scan_id", text.clean_email(F.col("str_value")).alias("email"))
+    return _key(t, fixed.CATALOGUE_KEYS[5]).select("scan_id", text.clean_email(F.col("str_value")).alias("email"))
 
 
 @query("search_terms", """WITH w AS (SELECT doc_id, list_transform(list_filter(string_split_regex(text, '[^a-zA-Z0-9]'),
@@ -32,10 +32,6 @@ def _(t):
     )
 
 
-_ACCESS = """CASE WHEN strpos(coalesce(bl, ''), '') >= 0 AND bl <> '' THEN
-  CASE WHEN bl = 'bl832' THEN 'bl832|8.3.2' ELSE bl || '|8.3.2' END ELSE '' END"""
-
-
 @query("access_controls", f"""WITH {b.META}, p AS (SELECT scan_id,
   max(CASE WHEN key LIKE '%experiment/beamline' THEN str_list[1] END) AS bl,
   max(CASE WHEN key LIKE '%experiment/proposal' THEN str_value END) AS pr FROM meta GROUP BY scan_id)
@@ -143,7 +139,7 @@ def _(t):
 @query("spec_map", f"""WITH {b.SPECS} SELECT conv_id, turn, 'scan' || CAST(conv_id AS VARCHAR) || '.h5' AS filename,
   CASE WHEN conv_id % 3 = 0 THEN '7' ELSE CAST(turn AS VARCHAR) || '.5' END AS cor,
   '-1;' || CAST(turn AS VARCHAR) || ';1' AS sinoused, role AS output, CASE WHEN conv_id % 3 = 0 THEN 'int' ELSE 'float' END AS cor_type,
-  CASE WHEN conv_id % 3 = 0 THEN 4 ELSE 4 END - 1 AS names FROM sp JOIN conversations USING (conv_id, turn)""")
+  3 AS names FROM sp JOIN conversations USING (conv_id, turn)""")
 def _(t):
     m = b.specs(t).withColumn("m", text.spec_map(F.col("line")))
     return m.select(
