@@ -4,9 +4,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from beamwright.llm import bpe
+from beamwright.llm import bpe, vptree, warc
 from beamwright.llm.common import table
+from beamwright.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,3 +28,45 @@ def query(name: str, sql: str | None = None):
 @query("op5_byte_bpe")
 def op5(spark, folder):
     return bpe.digests(table(spark, folder, "documents"), MULTI, public_tokenizers.PATTERN)
+
+
+WARC_SQL = r"""
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT *, octet_length(body) AS n, sha1(body) AS hex, min(page_id) OVER (PARTITION BY body) AS first_page, chr(13) || chr(10) AS nl FROM p),
+b AS (SELECT *, array_to_string(list_transform([0, 1, 2, 3], lambda i: array_to_string(list_transform([35, 30, 25, 20, 15, 10, 5, 0],
+    lambda s: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(((('0x' || substr(hex, 1 + 10 * i::INT, 10))::BIGINT >> s::BIGINT) & 31) + 1)::INT]), '')), '') AS digest,
+    replace('HTTP/1.1 200 OK|Content-Type: text/html; charset=utf-8|Content-Length: ' || n || '||', '|', nl) AS head, page_id = first_page AS own FROM d),
+h AS (SELECT *, replace('WARC/1.1|WARC-Type: ' || CASE WHEN own THEN 'response' ELSE 'revisit' END || '|WARC-Record-ID: <urn:page:' || page_id
+    || '>|WARC-Date: 1970-01-01T00:00:00Z|', '|', nl) || coalesce('WARC-Target-URI: ' || replace(replace(url, chr(13), '%0D'), chr(10), '%0A') || nl, '')
+    || CASE WHEN own THEN '' ELSE 'WARC-Refers-To: <urn:page:' || first_page || '>' || nl || 'WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest' || nl END
+    || replace('WARC-Payload-Digest: sha1:' || digest || '|Content-Type: application/http; msgtype=response|Content-Length: '
+    || (octet_length(encode(head)) + CASE WHEN own THEN n ELSE 0 END) || '||', '|', nl) || head AS header FROM b)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest, CASE WHEN own THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN NOT own THEN first_page END AS refers_to,
+    sha256(encode(header) || CASE WHEN own THEN body ELSE ''::BLOB END || encode(nl || nl)) AS record_sha256
+FROM h
+"""
+
+
+@query("op1_warc_archive", WARC_SQL)
+def op1(spark, folder):
+    archive = scratch_dir(spark, "warc")
+    warc.write_archive(table(spark, folder, "pages"), archive)
+    return warc.describe(warc.read_archive(spark, archive))
+
+
+NEAREST_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE embedding IS NOT NULL),
+ok AS (SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+d AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+        sqrt(list_reduce(list_prepend(0::DOUBLE, list_transform(list_zip(q.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), lambda a, b: a + b)) AS score
+      FROM ok q JOIN ok c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS n FROM d)
+SELECT query_id, n::INT AS rank, vec_id, score FROM r WHERE n <= 10
+"""
+
+
+@query("op10_vp_search", NEAREST_SQL)
+def op10(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return vptree.nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10, factor=1.0)
