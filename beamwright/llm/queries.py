@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beamwright.llm import bpe, vptree, warc
+from beamwright.llm import bpe, lines, vptree, warc
 from beamwright.llm.common import table
 from beamwright.session import scratch_dir
 
@@ -70,3 +70,20 @@ SELECT query_id, n::INT AS rank, vec_id, score FROM r WHERE n <= 10
 def op10(spark, folder):
     vectors = table(spark, folder, "embeddings")
     return vptree.nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10, factor=1.0)
+
+
+LINES_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+l AS (SELECT r, doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+m AS (SELECT *, length(key) >= 10 AND doc_id <> min(doc_id) OVER (PARTITION BY key) AS gone FROM k)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r
+"""
+
+
+@query("op8_line_dedup", LINES_SQL)
+def op8(spark, folder):
+    rows = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.select("doc.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
