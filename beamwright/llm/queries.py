@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beamwright.llm import bpe, lines, vptree, warc
+from beamwright.llm import bpe, jaccard, lines, vptree, warc
 from beamwright.llm.common import table
 from beamwright.session import scratch_dir
 
@@ -87,3 +87,23 @@ FROM m GROUP BY r
 def op8(spark, folder):
     rows = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return rows.select("doc.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT r, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles FROM w),
+e AS (SELECT r, len(shingles) AS size, unnest(shingles) AS shingle FROM s),
+p AS (SELECT a.r AS a, b.r AS b FROM e a JOIN e b ON a.shingle = b.shingle AND a.r < b.r GROUP BY a.r, b.r, a.size, b.size
+    HAVING 100 * count(*) >= 75 * (a.size + b.size - count(*))),
+link AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+reach AS (SELECT r, r AS other FROM s UNION SELECT reach.r, link.b FROM reach JOIN link ON reach.other = link.a)
+SELECT s.doc_id, len(s.shingles) AS n_shingles, c.component_id FROM s
+JOIN (SELECT reach.r, min(o.doc_id) AS component_id FROM reach JOIN s o ON reach.other = o.r GROUP BY reach.r) c ON c.r = s.r
+"""
+
+
+@query("op9_ngram_jaccard", JACCARD_SQL)
+def op9(spark, folder):
+    return jaccard.components(table(spark, folder, "documents").select("doc_id", "text"))
