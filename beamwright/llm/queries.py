@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beamwright.llm import bpe, jaccard, lines, vptree, warc
+from beamwright.llm import bpe, jaccard, lines, mixing, vptree, warc
 from beamwright.llm.common import table
 from beamwright.session import scratch_dir
 
@@ -107,3 +107,10 @@ JOIN (SELECT reach.r, min(o.doc_id) AS component_id FROM reach JOIN s o ON reach
 @query("op9_ngram_jaccard", JACCARD_SQL)
 def op9(spark, folder):
     return jaccard.components(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op3_source_mix")
+def op3(spark, folder):
+    rows = mixing.dealt(mixing.plan(table(spark, folder, "documents").select("doc_id", "source", "text")))
+    words = F.aggregate("units", F.lit(0).cast("long"), lambda total, unit: total + unit["words"])
+    return rows.select("doc_id", "size", "source_size", "target", words.alias("taken"), F.col("units.shard").alias("shards"))
