@@ -47,3 +47,20 @@ def attach_by_key(rows: DataFrame, facts: DataFrame, key: str, count: str, total
     joined = marked.join(cold, F.col(f"jk_{tag}").eqNullSafe(F.col(f"ck_{tag}")), "left")
     value = F.coalesce(F.col(f"hv_{tag}"), F.col(f"cv_{tag}"))
     return joined.select(*rows.columns, *[value[c].alias(c) for c in extra])
+
+
+def held_out(doc_id: Column) -> Column:
+    """The rows no label may be learnt from; a null id is not one of them."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
+    """At most ``rows`` texts with their label (0 or 1), none held out: those whose ids hash lowest.
+
+    A document labelled more than once has the larger label, an id with several texts the least of them. The chosen ids
+    number ``rows`` at most, so they are broadcast.
+    """
+    usable = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
+    chosen = usable.groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    return texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")).select("text", "label")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beamwright.llm import bpe, jaccard, lines, mixing, vptree, warc
+from beamwright.llm import bpe, jaccard, lines, mixing, quality, toxicity, vptree, warc
 from beamwright.llm.common import table
 from beamwright.session import scratch_dir
 
@@ -114,3 +114,16 @@ def op3(spark, folder):
     rows = mixing.dealt(mixing.plan(table(spark, folder, "documents").select("doc_id", "source", "text")))
     words = F.aggregate("units", F.lit(0).cast("long"), lambda total, unit: total + unit["words"])
     return rows.select("doc_id", "size", "source_size", "target", words.alias("taken"), F.col("units.shard").alias("shards"))
+
+
+@query("op6_toxicity")
+def op6(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels"), "toxic"), threshold=0.3)
+
+
+@query("op7_quality_votes")
+def op7(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs, table(spark, folder, "labels"), "quality"), threshold=0.7)
+    return scored.select("doc.doc_id", "held_out", "score", "predicted")
