@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beamwright.llm import bpe, jaccard, lines, mixing, quality, toxicity, vptree, warc
+from beamwright.llm import bpe, jaccard, lines, mixing, quality, spotsigs, toxicity, vptree, warc
 from beamwright.llm.common import table
 from beamwright.session import scratch_dir
 
@@ -127,3 +127,8 @@ def op7(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     scored = quality.score(docs, quality.fit(docs, table(spark, folder, "labels"), "quality"), threshold=0.7)
     return scored.select("doc.doc_id", "held_out", "score", "predicted")
+
+
+@query("op4_spot_signatures")
+def op4(spark, folder):
+    return spotsigs.chained(table(spark, folder, "documents").select("doc_id", "text"))
