@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beamwright.llm import bpe, jaccard, lines, mixing, quality, spotsigs, toxicity, vptree, warc
+from beamwright.llm import bpe, jaccard, lines, mixing, quality, spotsigs, tokencount, toxicity, vptree, warc
 from beamwright.llm.common import table
 from beamwright.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+ENGLISH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -132,3 +133,16 @@ def op7(spark, folder):
 @query("op4_spot_signatures")
 def op4(spark, folder):
     return spotsigs.chained(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op2_token_counts")
+def op2(spark, folder):
+    """Three edits a document, by its length: a passage put in at the middle, a tenth cut out from the first quarter on, and a
+    word written over the third character from the end."""
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    n = F.length("text")
+    change = lambda start, length, text: F.struct(
+        start.cast("int").alias("start"), (start + length).cast("int").alias("end"), F.lit(text).alias("replacement"))
+    edits = F.array(change(F.floor(n / 2), F.lit(0), " an added\n\n passage of 12 words"), change(F.floor(n / 4), F.floor(n / 10), ""), change(n - 3, F.lit(1), "X's "))
+    rows = tokencount.recount(docs.withColumn("edits", edits), ENGLISH, public_tokenizers.PATTERN, whole=False)
+    return rows.select("doc.doc_id", "n_tokens", "n_tokens_edited", "n_chars_reencoded", "edited_sha256")
