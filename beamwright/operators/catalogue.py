@@ -1,6 +1,6 @@
 """Scan metadata to catalogue records and issues."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beamwright import fixed
@@ -113,8 +113,10 @@ def datablocks(files: DataFrame, source_root: str, storage_root: str, block_size
     """Blocks of data files per dataset ``files(scan_id, path, size, last_modified)``.
 
     A dataset with very many files gets several blocks of ``block_size`` files;
-    every file is in exactly one block.
+    every file is in exactly one block, and each block also tells the whole
+    dataset's number of blocks and total size.
     """
+    whole = Window.partitionBy("scan_id")
     stored = paths.storage_path(F.col("path"), source_root, storage_root)
     entry = F.struct(
         stored.alias("path"), F.col("size"), F.col("last_modified").alias("time"), F.lit("RawDatasets").alias("type")
@@ -123,6 +125,8 @@ def datablocks(files: DataFrame, source_root: str, storage_root: str, block_size
         segments.with_batch(files, ["scan_id"], "path", block_size, "block")
         .groupBy("scan_id", "block")
         .agg(F.sum("size").alias("size"), F.sort_array(F.collect_list(entry)).alias("data_files"))
+        .withColumn("total_size", F.sum("size").over(whole))
+        .withColumn("blocks", F.count(F.lit(1)).over(whole))
     )
 
 

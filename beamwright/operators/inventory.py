@@ -74,21 +74,22 @@ def prune_guard(requests: DataFrame, inventory: DataFrame, now: Column, days: Co
     """Verdict for every ``(source, check, rel_path)`` deletion request.
 
     The age is that of the check copy where there is one, else of the source.
-    ``days`` of zero or less switches the age test off.
+    ``days`` of zero or less switches the age test off; otherwise an unknown
+    age or limit counts as too new, so nothing is deleted on a missing value.
     """
     days = F.lit(days) if isinstance(days, int) else days
     originals = inventory.select(
-        F.col("endpoint_key").alias("source"), "rel_path", F.col("last_modified").alias("source_modified"),
+        F.col("endpoint_key").alias("source"), "rel_path", F.col("last_modified").alias("source_modified"), F.lit(True).alias("_there"),
     )
     joined = with_check_copy(requests.join(originals, ["source", "rel_path"], "left"), inventory)
     age = F.when(F.col("check").isNotNull(), F.col("check_modified")).otherwise(F.col("source_modified"))
     verdict = (
-        F.when(F.col("source_modified").isNull(), SOURCE_MISSING)
+        F.when(F.col("_there").isNull(), SOURCE_MISSING)
         .when(F.col("check").isNotNull() & ~F.col("check_found"), NO_SECOND_COPY)
-        .when((days > 0) & ~values.older_than(age, days, now), TOO_NEW)
-        .otherwise(PRUNE)
+        .when((days <= 0) | values.older_than(age, days, now), PRUNE)
+        .otherwise(TOO_NEW)
     )
-    return joined.withColumn("verdict", verdict)
+    return joined.withColumn("verdict", verdict).drop("_there")
 
 
 def sync_plan(source: DataFrame, target: DataFrame) -> DataFrame:

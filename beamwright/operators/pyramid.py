@@ -68,16 +68,17 @@ def size_at(n: Column, level: int) -> Column:
     return F.ceil(n / 2**level).cast("int")
 
 
-def level_count(min_size: int, max_levels: int) -> Column:
+def level_count(min_size: int) -> Column:
     """Halvings until the smallest side is at most ``min_size``."""
-    count = F.lit(0)
-    for level in range(max_levels):
-        smallest = F.least(*[size_at(F.col(c), level) for c in ("nz", "ny", "nx")])
-        count = count + (smallest > min_size).cast("int")
-    return count
+    if min_size < 1:
+        raise ValueError("min_size must be at least 1")
+    smallest = F.least("nz", "ny", "nx").cast("long")
+    # ceil(n / 2**k) <= m exactly when n <= m * 2**k, and 62 halvings bring any size to 1
+    enough = F.filter(F.sequence(F.lit(0), F.lit(62)), lambda k: smallest <= F.lit(min_size).cast("double") * F.pow(F.lit(2.0), k))
+    return F.get(enough, 0)
 
 
-def multires_pyramid(slices: DataFrame, scans: DataFrame, min_size: int = 64, max_levels: int = 8) -> tuple[DataFrame, DataFrame]:
+def multires_pyramid(slices: DataFrame, scans: DataFrame, min_size: int = 64) -> tuple[DataFrame, DataFrame]:
     """Levels and their scales.
 
     ``scans(scan_id, pxsize_um, nz, ny, nx)``, one row per scan.  A scan stops
@@ -85,7 +86,7 @@ def multires_pyramid(slices: DataFrame, scans: DataFrame, min_size: int = 64, ma
     written before the next one reads it, so a lost executor costs one level
     at most; the driver only learns the number of levels.
     """
-    shapes = scans.select("scan_id", "pxsize_um", "nz", "ny", "nx").withColumn("_levels", level_count(min_size, max_levels))
+    shapes = scans.select("scan_id", "pxsize_um", "nz", "ny", "nx").withColumn("_levels", level_count(min_size))
     deepest = shapes.agg(F.max("_levels")).first()[0] or 0
     level = slices.select("scan_id", "z", "y", F.col("values").cast("array<double>").alias("values"))
     levels = level.withColumn("level", F.lit(0))

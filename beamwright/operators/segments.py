@@ -24,80 +24,82 @@ def prefix_segment(text: Column, length: int) -> Column:
     return F.substring(text, 1, length)
 
 
+LINK = ["_key", "_seg"]
+
+
 def _cut(df: DataFrame, keys: list, segment: Column) -> DataFrame:
-    """Rows with their segment; rows without a key or an order cannot be placed.
+    """Rows with their key and segment as structs.
 
-    Stating this here gives both uses of the rows below the same plan, so the
-    shuffle by (key, segment) is done once.
+    A struct is never null and equals another with the same nulls inside, so
+    rows without a key or an order form a key or a (first) segment of their
+    own, as in a plain window, and both uses of the rows below share one
+    shuffle by (key, segment).
     """
-    df = df.withColumn("_seg", segment)
-    for c in [*keys, "_seg"]:
-        df = df.filter(F.col(c).isNotNull())
-    return df
+    return df.withColumn("_key", F.struct(*keys)).withColumn("_seg", F.struct(segment.alias("at")))
 
 
 def with_key_minimum(df: DataFrame, keys: list, segment: Column, value: str, name: str) -> DataFrame:
     """The least value of the row's key, without bringing a key's rows together."""
     df = _cut(df, keys, segment)
-    every = Window.partitionBy(*keys)
-    lows = df.groupBy(*keys, "_seg").agg(F.min(value).alias("_low"))
-    lows = lows.select(*keys, "_seg", F.min("_low").over(every).alias(name))
-    return df.join(lows, [*keys, "_seg"]).drop("_seg")
+    every = Window.partitionBy("_key")
+    lows = df.groupBy(*LINK).agg(F.min(value).alias("_low"))
+    lows = lows.select(*LINK, F.min("_low").over(every).alias(name))
+    return df.join(lows, LINK).drop(*LINK)
 
 
 def with_row_number(df: DataFrame, keys: list, order: list, segment: Column, name: str) -> DataFrame:
     """1-based position of every row inside its key."""
     df = _cut(df, keys, segment)
-    local = Window.partitionBy(*keys, "_seg").orderBy(*order)
-    before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    counts = df.groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(*keys, "_seg", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    local = Window.partitionBy(*LINK).orderBy(*order)
+    before = Window.partitionBy("_key").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    counts = df.groupBy(*LINK).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(*LINK, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return (
         df.withColumn("_rn", F.row_number().over(local))
-        .join(offsets, [*keys, "_seg"])
+        .join(offsets, LINK)
         .withColumn(name, F.col("_rn") + F.col("_off"))
-        .drop("_rn", "_off", "_seg")
+        .drop("_rn", "_off", *LINK)
     )
 
 
 def with_previous(df: DataFrame, keys: list, order: list, segment: Column, value: str, name: str) -> DataFrame:
     """The value of the row before, across segment borders."""
     df = _cut(df, keys, segment)
-    local = Window.partitionBy(*keys, "_seg").orderBy(*order)
-    chain = Window.partitionBy(*keys).orderBy("_seg")
-    last = df.groupBy(*keys, "_seg").agg(F.max_by(F.struct(value), F.struct(*order)).alias("_last"))
-    carry = last.select(*keys, "_seg", F.lag("_last").over(chain)[value].alias("_carry"))
+    local = Window.partitionBy(*LINK).orderBy(*order)
+    chain = Window.partitionBy("_key").orderBy("_seg")
+    last = df.groupBy(*LINK).agg(F.max_by(F.struct(value), F.struct(*order)).alias("_last"))
+    carry = last.select(*LINK, F.lag("_last").over(chain)[value].alias("_carry"))
     return (
         df.withColumn("_rn", F.row_number().over(local))
         .withColumn("_prev", F.lag(value).over(local))
-        .join(carry, [*keys, "_seg"])
+        .join(carry, LINK)
         .withColumn(name, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_prev")))
-        .drop("_rn", "_prev", "_carry", "_seg")
+        .drop("_rn", "_prev", "_carry", *LINK)
     )
 
 
 def with_run_length(df: DataFrame, keys: list, order: list, segment: Column, hit: Column, name: str) -> DataFrame:
-    """Length of the unbroken run of ``hit`` rows ending at each row (0 off a run)."""
-    df = _cut(df, keys, segment).withColumn("_hit", hit.cast("int"))
-    upto = Window.partitionBy(*keys, "_seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    """Length of the unbroken run of ``hit`` rows ending at each row (0 off a run; an unknown hit ends a run)."""
+    df = _cut(df, keys, segment).withColumn("_hit", F.coalesce(hit.cast("int"), F.lit(0)))
+    upto = Window.partitionBy(*LINK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumn("_breaks", F.sum(1 - F.col("_hit")).over(upto))
-    run = Window.partitionBy(*keys, "_seg", "_breaks").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    run = Window.partitionBy(*LINK, "_breaks").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumn("_run", F.sum("_hit").over(run))
-    tails = df.groupBy(*keys, "_seg").agg(
+    tails = df.groupBy(*LINK).agg(
         F.max_by("_run", F.struct(*order)).alias("_tail"),
         F.max("_breaks").alias("_broken"),
     )
-    chain = Window.partitionBy(*keys).orderBy("_seg")
+    chain = Window.partitionBy("_key").orderBy("_seg")
     so_far = chain.rowsBetween(Window.unboundedPreceding, 0)
     tails = tails.withColumn("_isle", F.sum((F.col("_broken") > 0).cast("int")).over(so_far))
-    isle = Window.partitionBy(*keys, "_isle").orderBy("_seg").rowsBetween(Window.unboundedPreceding, 0)
+    isle = Window.partitionBy("_key", "_isle").orderBy("_seg").rowsBetween(Window.unboundedPreceding, 0)
     tails = tails.withColumn("_out", F.sum("_tail").over(isle))
-    carry = tails.select(*keys, "_seg", F.coalesce(F.lag("_out").over(chain), F.lit(0)).alias("_in"))
+    carry = tails.select(*LINK, F.coalesce(F.lag("_out").over(chain), F.lit(0)).alias("_in"))
     first = (F.col("_breaks") == 0) & (F.col("_hit") == 1)
     return (
-        df.join(carry, [*keys, "_seg"])
+        df.join(carry, LINK)
         .withColumn(name, F.col("_run") + F.when(first, F.col("_in")).otherwise(0))
-        .drop("_seg", "_hit", "_breaks", "_run", "_in")
+        .drop(*LINK, "_hit", "_breaks", "_run", "_in")
     )
 
 

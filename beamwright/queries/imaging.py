@@ -11,7 +11,7 @@ from beamwright.plans import chain
 from beamwright.plans.grouped import PROJECTION, grouped_kernel, mean_frame
 from beamwright.queries import bindings as b
 from beamwright.queries.core import query, six
-from beamwright.session import scratch_dir, small_table
+from beamwright.session import scratch_dir
 from beamwright.sources import readers, sinks
 
 W = 64
@@ -30,7 +30,7 @@ def scans(t):
         F.array(F.lit(0), F.floor(F.col("numangles") / 2).cast("int"), F.col("numangles") - 1).alias("flat_locations"),
         F.lit(5.0).alias("distance"), F.lit(25.0).alias("kev"), F.lit(None).cast("double").alias("init"),
     )
-    return small_table(rows, "scans")
+    return rows
 
 
 SCANS = "sc AS (SELECT scan_id, label, CAST((max(k) - 12) // 2 + 1 AS INTEGER) AS n FROM nb GROUP BY scan_id, label)"
@@ -44,7 +44,7 @@ def tile_scans(t):
         F.transform(i, lambda k: F.lit(math.pi) * k / F.col("numangles")).alias("theta"),
         F.col("numangles").alias("nz"), F.lit(8).alias("ny"), F.lit(8).alias("nx"),
         F.lit(0.001).alias("pxsize_cm"), F.lit(5.0).alias("distance"), F.lit(25.0).alias("kev"))
-    return small_table(rows, "scans")
+    return rows
 
 
 def tomo(t):
@@ -556,12 +556,12 @@ def _(t):
 
 @query("center_vo")
 def _(t):
-    return center.center_vo(logged(t), reach=8, radius=2)
+    return center.center_vo(logged(t), reach=31, drop=4)  # half of 64 rays; scans of 18 angles have 17 frequencies
 
 
 @query("center_entropy")
 def _(t):
-    return center.center_entropy(logged(t), scans(t), reach=4)
+    return center.center_entropy(logged(t), scans(t))
 
 
 @query("center_skip", f"WITH {b.NUMBERED} SELECT DISTINCT scan_id, 32.0::DOUBLE AS center FROM nb")

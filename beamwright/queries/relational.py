@@ -408,9 +408,7 @@ def blocks(t, size=5):
 @query("datablocks", f"""WITH {b.SOURCE}, {b.ORDER_FILES} SELECT scan_id, replace(path, '/data/raw', '/store/raw') AS path, size, 'RawDatasets' AS type,
   sum(size) OVER (PARTITION BY scan_id)::BIGINT AS total FROM of""")
 def _(t):
-    bl = blocks(t)
-    total = bl.groupBy("scan_id").agg(F.sum("size").alias("total"))
-    return bl.select("scan_id", F.explode("data_files").alias("f")).join(total, "scan_id").select(
+    return blocks(t).select("scan_id", F.explode("data_files").alias("f"), F.col("total_size").alias("total")).select(
         "scan_id", "f.path", "f.size", "f.type", "total")
 
 
@@ -462,7 +460,7 @@ def _(t):
 def _(t):
     where = scratch_dir(t.spark, "frames")
     sinks.write_frames(b.frames(t), where)
-    inv = readers.inventory_scan(t.spark, where, "scratch").filter(F.col("name").endswith(".parquet"))
+    inv = readers.inventory_scan(t.spark, where, "scratch").filter((F.col("type") == "file") & F.col("name").endswith(".parquet") & ~F.col("name").startswith("."))
     return inv.select(paths.parent_dir(F.col("rel_path")).alias("folder"), "type", (F.col("size") > 0).alias("sized")).distinct()
 
 

@@ -1,11 +1,9 @@
 """Session building and the shared scratch location."""
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Image groups are small in bytes and long in compute: without this, adaptive
 # execution would merge many of them into one task.
@@ -14,7 +12,14 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def local_session(cores: str = "8", app: str = "beamwright") -> SparkSession:
-    """A local session for tests and the bench; clusters bring their own."""
+    """A local session for tests and the bench; clusters bring their own.
+
+    Python workers import this package too, wherever the session was started from.
+    """
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if here not in known:
+        os.environ["PYTHONPATH"] = os.pathsep.join([here, *filter(None, known)])
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
@@ -38,16 +43,8 @@ def tune(spark: SparkSession) -> None:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the shared folder the cluster names.
-
-    Only a local master with no such setting falls back to a temporary folder
-    of this machine, because there the executors share that machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = os.path.join(tempfile.gettempdir(), "beamwright-scratch")
+    """A new folder below the shared folder the cluster names, else below the warehouse, which all executors reach too."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -56,17 +53,3 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def small_table(df: DataFrame, purpose: str, limit: int = 32 << 20) -> DataFrame:
-    """A written table, marked for broadcast only if its files are small enough.
-
-    Written once, it is not computed again by every join that uses it; beyond
-    the limit Spark joins it by shuffle.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
-    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
-    table = spark.read.schema(df.schema).parquet(path)
-    return F.broadcast(table) if size <= limit else table

@@ -1,29 +1,56 @@
 """Sources: inventories, frames, metadata, job lists."""
 
 import re
+from functools import reduce
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beamwright import schemas
-from beamwright.functions import paths, values
+from beamwright.functions import values
 from beamwright.operators import catalogue
+from beamwright.session import materialise
 
 
-def inventory_scan(spark: SparkSession, root: str, endpoint_key: str) -> DataFrame:
-    """Recursive listing below a root; file contents are never read.
+LISTING = "rel_path string, name string, type string, size bigint, last_modified timestamp"
 
-    Names starting with ``_`` or ``.`` are hidden by Spark's file listing.
+
+def _listed(batches):
+    """Entries of each folder, hidden ones too, as the file system of its address tells them."""
+    for batch in batches:
+        for root, below in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            store, base = pafs.FileSystem.from_uri(root)
+            base = base.rstrip("/")
+            found = store.get_file_info(pafs.FileSelector(f"{base}/{below}" if below else base or "/", recursive=False))
+            for low in range(0, len(found), 10_000):
+                some = found[low : low + 10_000]
+                folder = [f.type == pafs.FileType.Directory for f in some]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([f"{below}/{f.base_name}" if below else f.base_name for f in some], pa.string()),
+                    pa.array([f.base_name for f in some], pa.string()), pa.array(["dir" if d else "file" for d in folder], pa.string()),
+                    pa.array([None if d else f.size for f, d in zip(some, folder)], pa.int64()),
+                    pa.array([f.mtime for f in some], pa.timestamp("us", "UTC"))], ["rel_path", "name", "type", "size", "last_modified"])
+
+
+def inventory_scan(spark: SparkSession, root: str, endpoint_key: str, depth: int | None = None) -> DataFrame:
+    """Files and folders below a root, ``depth`` levels of them or all; file contents are never read.
+
+    Each round lists the folders of one level, a task for some of them, and
+    writes what it finds; the driver learns only whether there are more.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    # the same root may come with "file:", "file://" or no scheme at all
-    place = re.sub(r"^[A-Za-z0-9+.-]+:/*", "/", root).rstrip("/")
-    rel = F.regexp_replace("path", r"^.*?\Q" + place + r"\E/", "")
-    return files.select(
-        F.lit(endpoint_key).alias("endpoint_key"), rel.alias("rel_path"), paths.base_name(F.col("path")).alias("name"),
-        F.lit("file").alias("type"), F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"),
-        F.lit(None).cast("string").alias("checksum"),
-    )
+    address = root if "://" in root else "file://" + re.sub(r"^file:/*", "/", root)
+    folders, levels = spark.createDataFrame([("",)], "rel_path string"), []
+    while depth is None or len(levels) < depth:
+        spread = folders.select(F.lit(address.rstrip("/")).alias("root"), "rel_path").repartition("rel_path")
+        level = materialise(spread.mapInArrow(_listed, LISTING), "listing")
+        levels.append(level)
+        folders = level.filter("type = 'dir'").select("rel_path")
+        if folders.isEmpty():
+            break
+    entries = reduce(DataFrame.unionByName, levels) if levels else spark.createDataFrame([], LISTING)
+    return entries.select(F.lit(endpoint_key).alias("endpoint_key"), "*", F.lit(None).cast("string").alias("checksum"))
 
 
 def read_frames(

@@ -46,15 +46,43 @@ def test_prune_batches_split_a_hot_endpoint_and_lose_nothing(spark):
     assert len({p for r in b for p in r.paths}) == 5000
 
 
-def test_small_tables_are_broadcast_only_below_the_limit(spark):
-    from beamwright.session import small_table
-
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        for limit, kind in ((1 << 20, "BroadcastHashJoin"), (1, "SortMergeJoin")):
-            joined = big.join(small_table(spark.range(10).withColumnRenamed("id", "k"), "t", limit), "k")
-            assert kind in joined._jdf.queryExecution().executedPlan().toString()
-            assert joined.count() == 10
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_rows_without_key_or_order_stay(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), (None, 3), (None, None), ("a", 9000), ("b", 2)], "k string, n int")
+    seg, w = segments.number_segment(F.col("n")), Window.partitionBy("k").orderBy("n")
+    same = lambda a, b: a.count() == 6 and a.exceptAll(b.select(a.columns)).count() == 0
+    assert same(segments.with_row_number(df, ["k"], ["n"], seg, "x"), df.withColumn("x", F.row_number().over(w).cast("bigint")))
+    assert same(segments.with_previous(df, ["k"], ["n"], seg, "n", "x"), df.withColumn("x", F.lag("n").over(w)))
+    assert same(segments.with_key_minimum(df, ["k"], seg, "n", "x"), df.withColumn("x", F.min("n").over(Window.partitionBy("k"))))
+    plan = spark.createDataFrame([("ep", "a"), (None, "b"), (None, "c")], "source string, rel_path string")
+    assert sum(r.files for r in inventory.prune_batch(plan, 10).collect()) == 3
+
+
+def test_nothing_of_unknown_age_is_pruned(spark):
+    held = spark.createDataFrame(
+        [("src", "old", 1), ("src", "blank", 1), ("src", "odd", None), ("chk", "old", 1), ("chk", "blank", None)], "endpoint_key string, rel_path string, s long")
+    held = held.withColumn("last_modified", F.timestamp_seconds("s")).drop("s")
+    asked = spark.createDataFrame(
+        [("src", "chk", "old"), ("src", "chk", "blank"), ("src", None, "odd"), ("src", "chk", "gone"), ("src", "nowhere", "old")], "source string, check string, rel_path string")
+    got = inventory.prune_guard(asked, held, F.lit("2020-01-01").cast("timestamp"), 1000).select("check", "rel_path", "verdict").collect()
+    assert {(r.check, r.rel_path): r.verdict for r in got} == {
+        ("chk", "old"): "PRUNE", ("chk", "blank"): "TOO_NEW", (None, "odd"): "TOO_NEW", ("chk", "gone"): "SOURCE_MISSING", ("nowhere", "old"): "NO_SECOND_COPY"}
+
+
+def test_levels_go_on_until_the_side_is_small(spark):
+    from beamwright.operators.pyramid import level_count
+
+    sizes = spark.createDataFrame([(4096, 4096, 4096), (4, 4, 4), (5, 9, 9), (1 << 30, 1 << 30, 1 << 30)], "nz int, ny int, nx int")
+    assert [r[0] for r in sizes.select(level_count(4)).collect()] == [10, 0, 1, 28]
+
+
+def test_listing_tells_hidden_names_and_folders(spark, tmp_path):
+    from beamwright.sources.readers import inventory_scan
+
+    (tmp_path / "a" / ".hidden").mkdir(parents=True)
+    for name in ("top.h5", "a/_started", "a/.dot", "a/.hidden/deep.tif", "a/plain name.tif"):
+        (tmp_path / name).write_text(name)
+    rows = {r.rel_path: r for r in inventory_scan(spark, str(tmp_path), "ep").collect()}
+    assert {p for p, r in rows.items() if r.type == "file"} == {"top.h5", "a/_started", "a/.dot", "a/.hidden/deep.tif", "a/plain name.tif"}
+    assert {p for p, r in rows.items() if r.type == "dir"} == {"a", "a/.hidden"}
+    assert rows["a/.dot"].size == 6 and rows["a/.dot"].name == ".dot" and rows["top.h5"].last_modified is not None
+    assert {r.rel_path for r in inventory_scan(spark, f"file://{tmp_path}", "ep", depth=1).collect()} == {"top.h5", "a"}
