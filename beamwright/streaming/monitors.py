@@ -2,6 +2,7 @@
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -127,41 +128,35 @@ def job_monitor(events: DataFrame, max_retries: int = 5, terminal: list = fixed.
 class _DueProcessor(StatefulProcessor):
     """Holds back rows until event time passes their due time.
 
-    One timer per key is set at a time, for the earliest row held.
+    Rows lie in state by their due time, one timer each, so a timer reads what
+    is due and nothing else.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", "due bigint, path string, location string, source string, target string")
-        self.alarm = handle.getValueState("alarm", "at bigint")
+        row = "struct<path: string, location: string, source: string, target: string>"
+        self.held = handle.getMapState("held", "due bigint", f"rows array<{row}>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        earliest = None
         for chunk in rows:
             targets = [None if pd.isna(c) else c for c in chunk["check"]]
-            self.held.appendList(list(zip(
-                chunk["due_ms"].astype(int), chunk["path"], chunk["location"], chunk["source"], targets)))
-            low = int(chunk["due_ms"].min())
-            earliest = low if earliest is None else min(earliest, low)
-        if earliest is not None and (not self.alarm.exists() or earliest < self.alarm.get()[0]):
-            self._set(earliest)
+            chunk = chunk.assign(check=targets)
+            for due, own in chunk.groupby("due_ms"):
+                at = (int(due),)
+                known = self.held.containsKey(at)
+                more = list(zip(own["path"], own["location"], own["source"], own["check"]))
+                before = [tuple(r) for r in self.held.getValue(at)[0]] if known else []
+                self.held.updateValue(at, (before + more,))
+                if not known:
+                    self.handle.registerTimer(int(due))
         return iter([])
 
-    def _set(self, at: int) -> None:
-        self.alarm.update((at,))
-        self.handle.registerTimer(at)
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs()
-        held = [tuple(r) for r in self.held.get()]
-        due, left = [r for r in held if r[0] <= now], [r for r in held if r[0] > now]
-        self.held.clear()
-        self.alarm.clear()
-        if left:
-            self.held.put(left)
-            self._set(min(r[0] for r in left))
-        if due:
-            yield pd.DataFrame(due, columns=["due_ms", "path", "location", "source", "check"])
+        due = int(expiredTimerInfo.getExpiryTimeInMs())
+        if self.held.containsKey((due,)):
+            rows = [(due, *r) for r in self.held.getValue((due,))[0]]
+            self.held.removeKey((due,))
+            yield pd.DataFrame(rows, columns=["due_ms", "path", "location", "source", "check"])
 
     def close(self) -> None:
         pass
@@ -182,47 +177,51 @@ def deferred_prune(schedule: DataFrame, delay: str = "1 hour", bucket_seconds: i
 
 
 class _SinogramProcessor(StatefulProcessor):
-    """Buffers detector rows until all angles of a sinogram are there."""
+    """Keeps detector rows by angle until all angles of a sinogram are there; a row that comes again replaces the first."""
 
     def __init__(self, wait_ms: int):
         self.wait = wait_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", "idx int, vals array<float>")
+        self.rows = handle.getMapState("rows", "idx int", "vals binary")
         self.seen = handle.getValueState("seen", "n int, want int, done boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         n, want, done = self.seen.get() if self.seen.exists() else (0, 0, False)
-        fresh = n == 0
-        last = 0
+        fresh, last = n == 0, 0
         for chunk in rows:
             if done:
                 continue
-            self.rows.appendList([(int(i), [float(x) for x in v]) for i, v in zip(chunk["idx"], chunk["values"])])
-            n, want = n + len(chunk), int(chunk["want"].iloc[0])
-            last = max(last, _ms(chunk["ts"].max()))
+            for idx, values in zip(chunk["idx"], chunk["values"]):
+                at = (int(idx),)
+                n += not self.rows.containsKey(at)
+                self.rows.updateValue(at, (np.asarray(values, "f4").tobytes(),))
+            want, last = int(chunk["want"].iloc[0]), max(last, _ms(chunk["ts"].max()))
         if not done and n >= want:
-            held = sorted((tuple(r) for r in self.rows.get()), key=lambda r: r[0])
+            held = sorted(((int(k[0]), np.frombuffer(bytes(v[0]), "f4")) for k, v in self.rows.iterator()), key=lambda r: r[0])
             self.rows.clear()
             done = True
             yield self._frame(key, held, None)
-        elif fresh and not done:
+        if fresh and last:
+            # the same timer ends the wait of an incomplete sinogram and the memory of a complete one
             self.handle.registerTimer(last + self.wait)
         self.seen.update((n, want, done))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.seen.exists():
+            return
         n, want, done = self.seen.get()
+        self.rows.clear()
+        self.seen.clear()
         if not done:
-            self.rows.clear()
-            self.seen.update((n, want, True))
             yield self._frame(key, [(-1, [])], f"{n} of {want} projections")
 
     @staticmethod
     def _frame(key, held, issue):
         return pd.DataFrame({
             "scan_id": [key[0]] * len(held), "row": [key[1]] * len(held), "idx": [r[0] for r in held],
-            "values": [list(r[1]) for r in held], "issue": [issue] * len(held)})
+            "values": [np.asarray(r[1], "f8") for r in held], "issue": [issue] * len(held)})
 
     def close(self) -> None:
         pass
@@ -232,8 +231,9 @@ def scan_assembler(rows: DataFrame, wait: float = 3600, delay: str = "1 minute")
     """Complete sinograms from detector rows that arrive in any order.
 
     ``rows(scan_id, row, idx, values, ts, want)`` with ``want`` angles per
-    sinogram.  State is one detector row's projections and is dropped once it
-    is emitted; incomplete ones leave an issue row after ``wait`` seconds.
+    sinogram, complete when that many different angles are there.  State is one
+    detector row's projections; it ends with the sinogram, and the mark that it
+    came after ``wait`` seconds, when incomplete ones leave an issue row.
     """
     marked = rows.withWatermark("ts", delay).select("scan_id", "row", "idx", "values", "ts", "want")
     return marked.groupBy("scan_id", "row").transformWithStateInPandas(

@@ -94,3 +94,21 @@ def test_deferred_rows_wait_for_event_time(spark):
                [("r", "L", "A", "B", at(3 * day), at(5 * day))], [("s", "L", "A", "B", at(3 * day + 60), at(5 * day))]]
     out = streams.run_to_table(monitors.deferred_prune(staged(spark, batches, schema)), "d", 2)
     assert [r.path for r in out.collect()] == ["p"]
+
+
+def test_a_repeated_row_does_not_complete_a_sinogram(spark):
+    schema = "scan_id string, row int, idx int, values array<float>, ts timestamp, want int"
+    row = lambda i, s, v=1.0: ("s", 0, i, [float(i), v], at(s), 3)
+    batches = [[row(0, 0), row(1, 1)], [row(1, 2, 9.0)], [row(2, 3)], [("t", 0, 0, [0.0], at(20_000), 2)], [("t", 0, 0, [0.0], at(20_001), 2)]]
+    out = streams.run_to_table(monitors.scan_assembler(staged(spark, batches, schema)), "s", 2).collect()
+    got = sorted((r.idx, list(r["values"])) for r in out if r.scan_id == "s")
+    assert got == [(0, [0.0, 1.0]), (1, [1.0, 9.0]), (2, [2.0, 1.0])]
+
+
+def test_late_new_files_are_taken_in(spark):
+    schema = "file_path string, arrived_at timestamp, is_export_control boolean, send_offsite boolean"
+    batches = [[("/g/x/a.h5", at(1_000_000), False, True)], [("/g/x/b.h5", at(2_000_000), False, True)], [("/g/x/late.h5", at(0), False, True)], [("/g/x/a.h5", at(5), False, True)]]
+    flows = {f: True for f in (fixed.NEW_FILE_FLOW,)}
+    out = streams.run_to_table(streams.intake_stream(staged(spark, batches, schema), flows), "i", 2).collect()
+    assert sorted({r.file_path for r in out}) == ["/g/x/a.h5", "/g/x/b.h5", "/g/x/late.h5"]
+    assert len({(r.file_path, r.flow) for r in out}) == len(out)
