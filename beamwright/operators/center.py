@@ -76,7 +76,9 @@ def center_vo(
     """Coarse then fine search on one detector row's sinogram per scan."""
     sino = frames.filter(F.col("row") == row).select("scan_id", "idx", "values")
     middle = (F.size("values") - 1) / 2
-    limit = F.least(F.lit(float(reach)), F.size("values") / 4.0)
+    # a centre further out than the detector's edge leaves no overlap to score
+    fits = F.lit(float(reach)) <= middle
+    limit = F.when(fits, F.lit(float(reach))).otherwise(F.raise_error(F.lit("reach is wider than half the detector")).cast("double"))
 
     def score(a, centers, _):
         return kernels.mirror_scores(a, centers, ratio, drop)

@@ -117,6 +117,7 @@ def attach_references(tomo: DataFrame, flat: DataFrame, dark: DataFrame, bright_
     """Projections with their flat and dark rows.
 
     ``bright_scans(scan_id, bright_scan_id)`` takes the flats from another scan.
+    Rows without both references are left out; ``reference_issues`` names their scans.
     The references are hashed per partition: the projections are shuffled by
     (scan, row), which the sinogram stages need too, but not sorted for the join.
     """
@@ -128,6 +129,15 @@ def attach_references(tomo: DataFrame, flat: DataFrame, dark: DataFrame, bright_
     return tomo.join(both, ["scan_id", "row"])
 
 
+def reference_issues(tomo: DataFrame, flat: DataFrame, dark: DataFrame) -> DataFrame:
+    """An error issue for every scan with projections whose detector row has no flat or no dark."""
+    both = flat.select("scan_id", "row").join(dark.select("scan_id", "row"), ["scan_id", "row"])
+    bare = tomo.select("scan_id", "idx", "row").join(both, ["scan_id", "row"], "left_anti").groupBy("scan_id").agg(F.count(F.lit(1)).alias("n"))
+    return bare.select(
+        "scan_id", F.lit("error").alias("severity"), F.concat("n", F.lit(" detector rows without flat or dark")).alias("msg"),
+        F.lit(None).cast("string").alias("exception"))
+
+
 def group_bounds(locations: Column) -> Column:
     """First projection served by each flat group; midpoints round half to even."""
     def start(loc, i):

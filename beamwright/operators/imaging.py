@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from beamwright import fixed
 from beamwright.functions import pixels
 from beamwright.operators import kernels
+from beamwright.operators.frames import numbered_positions
 from beamwright.plans.grouped import PROJECTION, SINOGRAM, grouped_kernel, with_halo
 
 
@@ -19,14 +20,20 @@ def _rows(frames: DataFrame) -> DataFrame:
     return frames.select("scan_id", "idx", "row", "values")
 
 
+def _placed(frames: DataFrame) -> DataFrame:
+    """Rows with their projection's place among those of the scan, whatever selection they come from."""
+    places = numbered_positions(frames.select("scan_id", "idx").distinct())
+    return _rows(frames).join(places, ["scan_id", "idx"])
+
+
 # -------------------------------------------------------------------- outliers
 def remove_outlier_1d(frames: DataFrame, dif: float = 750, size: int = 3, chunk: int = 1024) -> DataFrame:
     """Median over neighbouring angles where a pixel departs by ``dif`` or more.
 
     Sinograms are cut along the angle into chunks with a halo, so a very long
-    scan does not end up in one task.  Indices must be consecutive.
+    scan does not end up in one task.
     """
-    cut = with_halo(_rows(frames), "idx", chunk, size // 2 + 1)
+    cut = with_halo(_placed(frames), "position", chunk, size // 2 + 1)
     out = grouped_kernel(cut, SINOGRAM, lambda a, _: kernels.despike_angles(a, dif, size), ["chunk"], ["core"])
     return out.filter("core").select("scan_id", "idx", "row", "values")
 
@@ -40,7 +47,7 @@ def remove_outlier_2d(frames: DataFrame, dif: float = 750, size: int = 3) -> Dat
 def angular_median(frames: DataFrame, chunk: int = 1024) -> DataFrame:
     """Median of each pixel and its two neighbours along the angle, mirrored at the ends."""
     w = Window.partitionBy("scan_id", "row", "chunk").orderBy("idx")
-    cut = with_halo(_rows(frames), "idx", chunk, 1)
+    cut = with_halo(_placed(frames), "position", chunk, 1)
     near = cut.withColumn("_b", F.lag("values").over(w)).withColumn("_a", F.lead("values").over(w))
     before, after = F.coalesce("_b", "_a", "values"), F.coalesce("_a", "_b", "values")
     med = F.transform("values", lambda v, i: pixels.middle(v, F.get(before, i), F.get(after, i)).cast("double"))

@@ -110,11 +110,13 @@ def _synthesis(low: np.ndarray, high: np.ndarray, axis: int) -> np.ndarray:
 
 def damp_stripes(sino: np.ndarray, sigma: float, level: int) -> np.ndarray:
     """Wavelet bands that hold stripes lose their slow change along the angle."""
-    depth = max(1, min(level, int(np.log2(max(2, min(sino.shape)))) - 1))
-    block = 1 << depth
+    if level < 1:
+        raise ValueError("level must be at least 1")
+    # small sinograms are padded to the size that so many halvings need
+    depth, block = level, 1 << level
     margin = [n // 16 for n in sino.shape]
     pads = [(m, m + (-(n + 2 * m)) % block) for n, m in zip(sino.shape, margin)]
-    low, bands = np.pad(sino, pads, mode="edge"), []
+    low, bands = np.pad(sino, pads, mode="symmetric"), []
     for _ in range(depth):
         left, right = _analysis(low, 1)
         low, across = _analysis(left, 0)
@@ -138,7 +140,9 @@ def ring_profile(mean: np.ndarray, alpha: float, order: int) -> np.ndarray:
 
 def flatten_profile(sino: np.ndarray, nblock: int, alpha: float) -> np.ndarray:
     """First and second order offsets per block of angles, joined by a geometric mean."""
-    edges = np.linspace(0, len(sino), max(1, min(nblock, len(sino))) + 1).astype(int)
+    if nblock > len(sino):
+        raise ValueError(f"{nblock} blocks of {len(sino)} angles")
+    edges = np.linspace(0, len(sino), max(1, nblock) + 1).astype(int)
     product = np.empty_like(sino)
     for lo, hi in zip(edges[:-1], edges[1:]):
         part = sino[lo:hi]
@@ -237,7 +241,7 @@ def polar_smooth(img: np.ndarray, arc: float, width: int, high: float, limit: fl
     angles = np.deg2rad(np.arange(0, 360, 360 / max(8, 4 * len(radii))))
     polar = bilinear(img, c + radii[:, None] * np.sin(angles), c + radii[:, None] * np.cos(angles))
     clipped = np.clip(polar, low, high)
-    size = min(2 * (max(1, min(width, len(radii) // 2)) // 2) + 1, len(radii))
+    size = 2 * (max(1, width) // 2) + 1
     ring = clipped - rank_middle(clipped, (size, 1), "symmetric")
     ring[np.abs(ring) > limit] = 0
     span = max(1, int(round(arc / 360 * len(angles))))
@@ -275,7 +279,9 @@ def mirror_scores(sino: np.ndarray, centers: np.ndarray, ratio: float, drop: int
     # outside the wedge |v| > ratio·π·|u|·w/2 a true full turn has almost no energy
     v = np.abs(np.fft.fftfreq(rows) * rows)[:, None]
     u = np.abs(np.fft.rfftfreq(w))[None, :]
-    mask = (v > ratio * np.pi * w * u) & (v > min(drop, rows // 8))
+    if drop >= rows // 2:
+        raise ValueError(f"dropping {drop} of {rows // 2} frequencies leaves none")
+    mask = (v > ratio * np.pi * w * u) & (v > drop)
     scores = []
     for c in centers:
         by = 2 * c - (w - 1)

@@ -30,13 +30,15 @@ def reconstruct(
     solve = METHODS[method]
     if ignore is not None:
         frames = ignore_projections(frames, ignore)
-    geo = scans.select("scan_id", "theta", "cor", "npad")
+    # each of the scan's projections that take part weighs the same; a selection changes their number
+    used = frames.groupBy("scan_id").agg(F.countDistinct("idx").alias("_used"))
+    geo = scans.select("scan_id", "theta", "cor", "npad").join(used, "scan_id")
     rows = (
         frames.select("scan_id", "idx", "row", "values").join(geo, "scan_id")
         .withColumn("angle", F.get("theta", F.col("idx")))
-        .withColumn("weight", F.lit(float(np.pi)) / F.size("theta"))
+        .withColumn("weight", F.lit(float(np.pi)) / F.col("_used"))
         .withColumn("chunk", F.lit(0) if before else F.floor(F.col("idx") / angle_chunk).cast("int"))
-        .drop("theta")
+        .drop("theta", "_used")
     )
     schema = "scan_id string, z int, chunk int, y int, values array<double>"
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from beamwright.functions import pixels
 from beamwright.operators import center, imaging, kernels, pyramid, recon
+from beamwright.operators import frames as frames_
 from beamwright.plans import chain
 
 W, N = 64, 90
@@ -273,3 +274,40 @@ def test_whole_chain_recovers_the_disc(spark):
     pic = back(out.slices, ("z", "y"))[0]
     assert pic.shape == (W, W) and pic.min() >= 0 and pic.max() <= 255
     assert out.raw is not None and out.normalized.count() == N
+
+
+def test_a_selection_of_projections_keeps_the_scale(spark):
+    sino, theta = disc_sinogram()
+    df, sc = to_df(spark, sino[:, None, :]), scan_df(spark, theta, 31.5)
+    whole = back(recon.reconstruct(df, sc, "fbp"), ("z", "y"))[0]
+    half = back(recon.reconstruct(df.filter("idx % 2 = 0"), sc, "fbp"), ("z", "y"))[0]
+    inner = np.s_[24:40, 24:40]
+    assert abs(half[inner].mean() / whole[inner].mean() - 1) < 0.03
+
+
+@pytest.mark.parametrize("chunk", [8, 1000])
+def test_neighbours_are_those_of_the_selection(spark, chunk):
+    rng = np.random.default_rng(2)
+    a = rng.normal(100, 1, (60, 1, 8))
+    a[::10] += 5000
+    df = to_df(spark, a).filter("idx % 2 = 0")
+    got = np.array([r["values"] for r in imaging.remove_outlier_1d(df, 750, 3, chunk=chunk).orderBy("idx").collect()])
+    assert np.allclose(got, kernels.despike_angles(a[::2, 0], 750, 3))
+
+
+def test_parameters_run_as_asked_or_fail(spark):
+    a = np.random.default_rng(3).normal(10, 1, (40, 48))
+    assert kernels.damp_stripes(a, 3, 8).shape == a.shape
+    assert not np.allclose(kernels.damp_stripes(a, 3, 8), kernels.damp_stripes(a, 3, 3))
+    wide, narrow = (kernels.polar_smooth(a[:40, :40], 30, n, 1e3, 1e3, -1e3) for n in (100, 11))
+    assert not np.allclose(wide, narrow)
+    for call in (lambda: kernels.flatten_profile(a, 41, 1.5), lambda: kernels.mirror_scores(a, [20.0], 0.5, 79)):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_projections_without_reference_leave_an_issue(spark):
+    tomo = spark.createDataFrame([("s", 0, 0, [1.0]), ("t", 0, 0, [1.0]), ("t", 1, 0, [1.0])], "scan_id string, idx int, row int, values array<double>")
+    one = spark.createDataFrame([("s", 0, [1.0])], "scan_id string, row int, values array<double>")
+    issues = frames_.reference_issues(tomo, one, one).collect()
+    assert [(r.scan_id, r.severity) for r in issues] == [("t", "error")] and "2 detector rows" in issues[0].msg
