@@ -76,12 +76,15 @@ def stripe_fourier_wavelet(frames: DataFrame, sigma: float = 3, level: int = 8)
 # -------------------------------------------------------------------- geometry
 def correct_tilt(frames: DataFrame, degrees: float, center_row: float | None = None, center_ray: float | None = None,
                  first_row: int = 0) -> DataFrame:
-    def turn(a, _):
-        cy = (a.shape[0] / 2 if center_row is None else center_row) - 0.5 - first_row
-        cx = (a.shape[1] / 2 if center_ray is None else center_ray) - 0.5
-        return kernels.rotate(a, degrees, cy, cx)
+    """Projections turned about a centre given in detector coordinates; ``first_row`` is the first row that was read."""
+    return grouped_kernel(_rows(frames), PROJECTION, lambda a, _: tilted(a, degrees, center_row, center_ray, first_row)).select(
+        "scan_id", "idx", "row", "values")
+
 
-    return grouped_kernel(_rows(frames), PROJECTION, turn).select("scan_id", "idx", "row", "values")
+def tilted(a: np.ndarray, degrees: float, center_row: float | None = None, center_ray: float | None = None, first_row: int = 0) -> np.ndarray:
+    cy = (a.shape[0] / 2 if center_row is None else center_row) - 0.5 - first_row
+    cx = (a.shape[1] / 2 if center_ray is None else center_ray) - 0.5
+    return kernels.rotate(a, degrees, cy, cx)
 
 
 def lens_distortion(frames: DataFrame, center: tuple = fixed.LENS_CENTER, factors: tuple = fixed.LENS_FACTORS) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from beamwright import fixed
 from beamwright.functions import pixels
+from beamwright.functions import values as values_
 from beamwright.operators import frames as fr
 from beamwright.operators import imaging, kernels, recon
 from beamwright.plans.grouped import PROJECTION, SINOGRAM, grouped_kernel
@@ -61,6 +62,10 @@ class Settings:
     ring_alpha: float = 1.5
     ring_size: int = 5
     tilt_degrees: float = 0
+    tilt_center: tuple = (None, None)
+    first_row: int = 0
+    projections: tuple | None = None
+    rows: tuple | None = None
     lens_center: tuple = fixed.LENS_CENTER
     lens_factors: tuple = fixed.LENS_FACTORS
     phase_alpha: float = 1e-5
@@ -107,13 +112,24 @@ class Result:
     slices: DataFrame | None
 
 
-def run(frames: DataFrame, scans: DataFrame, settings: Settings = Settings()) -> Result:
+def run(
+    frames: DataFrame, scans: DataFrame, settings: Settings = Settings(), ignore: DataFrame | None = None, bright_scans: DataFrame | None = None,
+) -> Result:
     """Run the chain for all scans of ``frames`` at once.
 
+    ``settings.projections`` and ``settings.rows`` are ``(start, stop, step)``
+    selections; flats and darks keep all their frames.  ``ignore(scan_id, idx)``
+    lists projections that count nothing in the slices, and
+    ``bright_scans(scan_id, bright_scan_id)`` takes flats from another scan.
+
     ``scans`` has one row per scan with the columns the chosen stages use
     (theta, cor, pxsize_cm, npad; flat_locations; numslices; overlap; …).
     """
     s, names = settings, stage_names(settings)
+    if s.rows:
+        frames = frames.filter(values_.strided(F.col("row"), *s.rows))
+    if s.projections:
+        frames = frames.filter((F.col("kind") != "tomo") | values_.strided(F.col("idx"), *s.projections))
     tomo = frames.filter(F.col("kind") == "tomo").select("scan_id", "idx", "row", "values")
     raw = frames if "raw_out" in names else None
     slices, pixel_steps, pending = None, [], []
@@ -161,7 +177,7 @@ def run(frames: DataFrame, scans: DataFrame, settings: Settings = Settings()) ->
             flush()
             if name == "normalize":
                 flat, dark = fr.reduce_reference(frames, "flat"), fr.reduce_reference(frames, "dark")
-                joined, floor = fr.attach_references(tomo, flat, dark), 1e-6
+                joined, floor = fr.attach_references(tomo, flat, dark, bright_scans), 1e-6
             else:
                 joined, floor = fr.attach_nearest(tomo, frames, scans), 1e-5
             steps = [pixels.exposure_scale(s.exposure_ratio)]
@@ -182,7 +198,7 @@ def run(frames: DataFrame, scans: DataFrame, settings: Settings = Settings()) ->
         elif name == "stripe_smoothing":
             numpy_stage(SINOGRAM, lambda a: kernels.smooth_stripes(a, s.ring_size))
         elif name == "tilt":
-            numpy_stage(PROJECTION, lambda a: kernels.rotate(a, s.tilt_degrees, a.shape[0] / 2 - 0.5, a.shape[1] / 2 - 0.5))
+            numpy_stage(PROJECTION, lambda a: imaging.tilted(a, s.tilt_degrees, *s.tilt_center, s.first_row))
         elif name == "lens_distortion":
             numpy_stage(PROJECTION, lambda a: kernels.undistort(a, *s.lens_center, s.lens_factors))
         elif name == "half_turn":
@@ -203,7 +219,7 @@ def run(frames: DataFrame, scans: DataFrame, settings: Settings = Settings()) ->
             before = [f for _, f in pending] if same else []
             if not same:
                 flush_kernels()
-            slices = recon.reconstruct(tomo, scans, s.method, s.cutoff, s.order, before=before)
+            slices = recon.reconstruct(tomo, scans, s.method, s.cutoff, s.order, ignore=ignore, before=before)
             if "normalized_out" in names:
                 flush_kernels()
             pending.clear()

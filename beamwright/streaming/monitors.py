@@ -17,7 +17,11 @@ def _ms(ts) -> int:
 
 
 class _TaskProcessor(StatefulProcessor):
-    """Keeps two numbers per task: first poll and earliest deciding poll."""
+    """Keeps two numbers per task: first poll and earliest deciding poll.
+
+    A verdict stays for one more span of waiting, so that later polls of the
+    task stay silent, and then leaves the state.
+    """
 
     def __init__(self, max_wait_us: int):
         self.max_wait = max_wait_us
@@ -47,16 +51,22 @@ class _TaskProcessor(StatefulProcessor):
             at, verdict = first + self.max_wait, "TIMEOUT"
         decided = at is not None
         self.state.update((first, at, event, verdict, decided))
+        if known is None:
+            self.handle.registerTimer((first + self.max_wait) // 1000 + 1)
         if decided:
+            self.handle.registerTimer((first + 2 * self.max_wait) // 1000 + 2)
             yield self._row(key, verdict, (at - first) / 1e6)
-        elif known is None:
-            self.handle.registerTimer((first + self.max_wait) // 1000 + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.state.exists():
+            return
         first, at, event, verdict, done = self.state.get()
         if not done:
             self.state.update((first, first + self.max_wait, -1, "TIMEOUT", True))
+            self.handle.registerTimer((first + 2 * self.max_wait) // 1000 + 2)
             yield self._row(key, "TIMEOUT", self.max_wait / 1e6)
+        elif expiredTimerInfo.getExpiryTimeInMs() > (first + 2 * self.max_wait) // 1000:
+            self.state.clear()
 
     @staticmethod
     def _row(key, verdict, elapsed):

@@ -311,3 +311,16 @@ def test_projections_without_reference_leave_an_issue(spark):
     one = spark.createDataFrame([("s", 0, [1.0])], "scan_id string, row int, values array<double>")
     issues = frames_.reference_issues(tomo, one, one).collect()
     assert [(r.scan_id, r.severity) for r in issues] == [("t", "error")] and "2 detector rows" in issues[0].msg
+
+
+def test_chain_with_selection_and_borrowed_flats(spark):
+    sino, theta = disc_sinogram(31.5)
+    tomo = to_df(spark, 20 + 900 * np.exp(-0.01 * sino)[:, None, :]).withColumn("kind", F.lit("tomo"))
+    flat = to_df(spark, np.full((4, 1, W), 920.0), "bright").withColumn("kind", F.lit("flat"))
+    dark = to_df(spark, np.full((3, 1, W), 20.0)).withColumn("kind", F.lit("dark"))
+    scans = scan_df(spark, theta, 31.5)
+    bright = spark.createDataFrame([("s", "bright")], "scan_id string, bright_scan_id string")
+    s = chain.Settings.of(without=("stripe_fourier_wavelet",), cutoff=0.5, projections=(0, 10_000, 2))
+    img = back(chain.run(tomo.unionByName(flat).unionByName(dark), scans, s, bright_scans=bright).slices, ("z", "y"))[0]
+    y, x = np.indices((W, W)) - 31.5
+    assert abs(img[np.hypot(x, y) < 12].mean() - 0.01) < 4e-4
