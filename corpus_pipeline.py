@@ -30,10 +30,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, that with the group's least doc_id; rows equal in doc_id and text are one document."""
     groups = jaccard.components(docs)
-    stay = written(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id")).distinct(), "groups")
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    copies = W.Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1))
-    return kept.select(F.struct("*").alias("doc"), F.row_number().over(copies).alias("copy")).filter("copy = 1").select("doc.*")
+    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.struct("doc_id").alias("key")).distinct()
+    keyed = docs.select(F.struct("*").alias("doc"), F.struct("doc_id").alias("key"), F.xxhash64("text").alias("text_hash"))
+    # a struct as key meets nulls and serves the join and the window with one shuffle
+    copies = W.Window.partitionBy("key", "text_hash").orderBy(F.lit(1))
+    kept = keyed.join(written(stay, "groups"), "key", "left_semi").withColumn("copy", F.row_number().over(copies))
+    return kept.filter("copy = 1").select("doc.*")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
