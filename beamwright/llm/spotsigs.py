@@ -20,11 +20,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType
 
 from beamwright.llm.common import written
 from beamwright.llm.jaccard import Shingler
@@ -117,52 +117,62 @@ def compared(text: str, own: np.ndarray, following: str, next_own: np.ndarray) -
     return (len(text), hashlib.sha256(changed.encode()).hexdigest(), text_of(own), text_of(other), likeness(own, other), likeness(own, next_own))
 
 
+PER_STRETCH = 20
+WIDE = 512
+
+
+def stretch_of(docs: DataFrame, stretches: int):
+    """A column that numbers ``stretches`` stretches of doc_ids, descending, about equal in rows; nulls are the last.
+
+    The bounds are quantiles of the ids that hash lowest, ``PER_STRETCH`` a stretch. They only balance tasks; no result
+    depends on them. Many bounds are looked up in two steps.
+    """
+    ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(stretches * PER_STRETCH)
+    ids = sorted((r[0] for r in ids.collect()), reverse=True)
+    bounds = sorted(set(ids[PER_STRETCH - 1 :: PER_STRETCH]), reverse=True)
+    kind = docs.schema["doc_id"].dataType
+    listed = lambda values: F.array(*[F.lit(v) for v in values]).cast(ArrayType(kind))
+    over = lambda values: F.size(F.filter(values, lambda b: b > F.col("doc_id")))
+    if len(bounds) <= WIDE:
+        place = over(listed(bounds))
+    else:
+        groups = [bounds[i : i + WIDE] for i in range(0, len(bounds), WIDE)]
+        group = F.greatest(over(listed([g[0] for g in groups])), F.lit(1))
+        place = (group - 1) * WIDE + over(F.element_at(F.array(*map(listed, groups)), group))
+    return F.when(F.col("doc_id").isNull(), len(bounds) + 1).otherwise(place).cast("int")
+
+
+def _row(columns, kinds, names, first):
+    columns = columns or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([first, *[pa.array(c, t) for c, t in zip(columns, kinds)]], names)
+
+
+ARROW = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+
+
 def chained(docs: DataFrame) -> DataFrame:
     """Every document against its edited text and the next document, in descending doc_id.
 
-    The texts are partitioned by ranges of doc_id once and go through in order, each task a document at a time. The first
-    text of a partition and its last, which waits for the first of the next partition, are written apart and meet in a join.
+    Each stretch of doc_ids lies in one task, which goes through it in order, a document at a time; the texts are shuffled
+    once. The last document of a stretch meets the first of the next in a join: two texts a stretch.
     """
     kind = docs.schema["doc_id"].dataType
-    names = ["doc_id", *COLUMNS, "part", "role", "text"]
+    stretches = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("stretch", stretch_of(docs, stretches))
+    fields = f"doc_id {kind.simpleString()}, {TYPES}"
 
     def work(batches):
-        part, held, first = TaskContext.get().partitionId(), None, True
+        held = None
         for batch in batches:
             ids, out = [], []
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                text = text.as_py()
+            for doc_id, text, stretch in zip(batch.column(0), batch.column(1), batch.column(2)):
+                text, stretch = text.as_py(), stretch.as_py()
                 own = signatures(text)
-                if first:
-                    ids.append(doc_id.as_py())
-                    out.append((None,) * len(COLUMNS) + (part, "head", text))
-                    first = False
-                if held is not None:
+                if held is not None and held[3] == stretch:
                     ids.append(held[0])
-                    out.append((*compared(held[1], held[2], text, own), part, "done", None))
-                held = (doc_id.as_py(), text, own)
-            yield _rows(ids, out)
-        if held is not None:
-            yield _rows([held[0]], [(None,) * len(COLUMNS) + (part, "tail", held[1])])
-
-    arrow = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.string(), pa.string()]
-
-    def _rows(ids, out):
-        columns = list(zip(*out)) if out else [()] * len(arrow)
-        return pa.RecordBatch.from_arrays([pa.array(ids, to_arrow_type(kind)), *[pa.array(c, t) for c, t in zip(columns, arrow)]], names)
-
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
-    ranged = texts.repartitionByRange(F.col("doc_id").desc_nulls_last()).sortWithinPartitions(*order)
-    rows = written(ranged.mapInArrow(work, f"doc_id {kind.simpleString()}, {TYPES}, part int, role string, text string"), "spotsigs")
-
-    # one head and one tail a partition: the tail of each meets the head of the next, the last one's that of the first
-    heads = rows.filter("role = 'head'").select(F.col("part").alias("own"))
-    by_part = W.Window.orderBy("own")
-    following = heads.select("own", F.lead("own").over(by_part).alias("later"), F.min("own").over(by_part).alias("lowest"))
-    following = following.select("own", F.coalesce("later", "lowest").alias("next_part"))
-    tails = rows.filter("role = 'tail'").select("doc_id", "text", F.col("part").alias("own")).join(following, "own")
-    next_heads = rows.filter("role = 'head'").select(F.col("part").alias("next_part"), F.col("text").alias("next_text"))
+                    out.append(compared(held[1], held[2], text, own))
+                held = (doc_id.as_py(), text, own, stretch)
+            yield _row(list(zip(*out)), ARROW, ["doc_id", *COLUMNS], pa.array(ids, to_arrow_type(kind)))
 
     def finish(batches):
         for batch in batches:
@@ -170,11 +180,22 @@ def chained(docs: DataFrame) -> DataFrame:
             for text, after in zip(batch.column(1), batch.column(2)):
                 text, after = text.as_py(), after.as_py()
                 out.append(compared(text, signatures(text), after, signatures(after)))
-            columns = list(zip(*out)) if out else [()] * len(COLUMNS)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(columns, arrow)]], ["doc_id", *COLUMNS])
-
-    last = tails.join(next_heads, "next_part").select("doc_id", "text", "next_text").mapInArrow(finish, f"doc_id {kind.simpleString()}, {TYPES}")
-    return rows.filter("role = 'done'").select("doc_id", *COLUMNS).unionByName(last)
+            yield _row(list(zip(*out)), ARROW, ["doc_id", *COLUMNS], batch.column(0))
+
+    order = [F.col("stretch"), F.col("doc_id").desc_nulls_last(), F.col("text")]
+    inner = texts.repartitionByRange(stretches, "stretch").sortWithinPartitions(*order).mapInArrow(work, fields)
+
+    # one row a stretch: its first and last id, and the stretch that follows
+    ends = written(texts.groupBy("stretch").agg(F.max("doc_id").alias("first_id"), F.min("doc_id").alias("last_id")), "stretches")
+    by_number = W.Window.orderBy("stretch")
+    everything = by_number.rowsBetween(W.Window.unboundedPreceding, W.Window.unboundedFollowing)
+    ends = ends.withColumn("following", F.coalesce(F.lead("stretch").over(by_number), F.min("stretch").over(everything)))
+    ends = F.broadcast(written(ends, "stretches"))
+    same = texts.join(ends, "stretch")
+    heads = same.filter(F.col("doc_id").eqNullSafe(F.col("first_id"))).groupBy("stretch").agg(F.min("text").alias("after"))
+    tails = same.filter(F.col("doc_id").eqNullSafe(F.col("last_id"))).groupBy("following").agg(F.first("doc_id").alias("doc_id"), F.max("text").alias("text"))
+    last = tails.join(heads.withColumnRenamed("stretch", "following"), "following").select("doc_id", "text", "after").mapInArrow(finish, fields)
+    return inner.unionByName(last)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

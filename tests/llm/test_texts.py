@@ -244,7 +244,10 @@ def test_splitting_tree_keeps_quotas(spark):
     assert max(shard.values()) - min(shard.values()) <= 6
 
 
-def test_spot_signatures(awkward, nothing):
+@pytest.mark.parametrize("wide", [512, 2])
+def test_spot_signatures(awkward, nothing, monkeypatch, wide):
+    monkeypatch.setattr(spotsigs, "WIDE", wide)
+    monkeypatch.setattr(spotsigs, "PER_STRETCH", 3)
     rows = sorted(texts(awkward), key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
     rows = [(i, t or "") for i, t in rows]
     got = spotsigs.chained(awkward).collect()
