@@ -4,12 +4,14 @@ Shingles are hashed to 64 bits and ordered by how often a fixed-size sketch of t
 first; two sets of likeness 3/4 share one of the first quarter (and one) of their shingles, so only those are indexed. Work on an
 index list uses what is known of other sets, at two levels:
 
-* Every list has a pivot, its least set id. Each set is held against the one pivot it meets in most lists; linked sets
+* Every list has a pivot, the set nearest to the others. Each set is held against the one pivot it meets in most lists; linked sets
   form components, and a list whose sets all lie in one component holds nothing new. That is the whole work for groups of
   copies: one comparison per set, never one per pair.
 * The lists that still join several components are cut into blocks by size and position. Pairs of blocks whose greatest
   possible overlap is too small are skipped whole. For sets with the same pivot, the overlaps already computed
-  bound the overlap of the two: it is accepted or skipped without a look at the sets, and only the rest are compared.
+  bound the overlap of the two: it is accepted or skipped without a look at the sets.
+
+What is left is held against bitmaps of the sets, which bound an overlap from above, and then compared whole.
 
 Sets equal as sets are one class from the start. Set ids are 64-bit digests; a second digest shows a clash, and
 the run starts over with another seed.
@@ -20,6 +22,8 @@ any other and is a component's id only where all its members have none; repeated
 gives an empty table. Of the input only doc_id and the text are read.
 """
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,9 +33,14 @@ from pyspark.sql import window as W
 from beamwright.llm import graph
 from beamwright.llm.common import attach_by_key, written
 
-SKETCH_BITS = 18
+SKETCH_BITS = 22
+SKETCH_PART = 1 << 16
 SUBLIST = 20_000
-"""Sets per part of an index list; longer lists are split by set id."""
+"""Sets per part of an index list; longer lists are split by set id, into ``PARTS`` parts at most."""
+PARTS = 1023
+PART_STEP = 0x1F3D5B79A1B2D
+BITMAP = 1024
+FILTER_BITS = 24
 CHUNK = 1 << 20
 M64 = (1 << 64) - 1
 
@@ -127,52 +136,79 @@ def set_digests(shingles: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)[0]), int(b.view(np.int64)[0])
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """A bitmap of a set: whether an odd number of its members falls on each place.
+
+    Two sets differ in at least as many members as their bitmaps in places.
+    """
+    counts = np.bincount((shingles & np.uint64(BITMAP - 1)).astype(np.int64), minlength=BITMAP)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def describe(docs: DataFrame, words: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """One pass over the texts: per document (doc_id, n_shingles, set_id, digest), and the sketch's counts (bucket, n)."""
+    """One pass over the texts: per document (doc_id, n_shingles, set_id, digest, bits), and each task's part of the sketch (piece, counts)."""
     kind = docs.schema["doc_id"].dataType
+    names = ["doc_id", "n_shingles", "set_id", "digest", "bits", "piece", "counts"]
 
     def work(batches):
-        shingler, counts, held, size = Shingler(words, seed), np.zeros(1 << SKETCH_BITS, np.int64), [], 0
-        names = ["doc_id", "n_shingles", "set_id", "digest", "bucket", "n"]
-        ids = None
+        shingler, counts, held, size = Shingler(words, seed), np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
+        bitmap, ids = pa.list_(pa.int64()), None
+
+        def add():
+            counts[:] += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(counts)).astype(np.uint32)
+
         for batch in batches:
-            ids, out = batch.column(0), []
+            ids, out, bits = batch.column(0), [], []
             for text in batch.column(1):
                 shingles = shingler(text.as_py())
                 out.append((len(shingles), *set_digests(shingles)))
-                held.append(shingles >> np.uint64(64 - SKETCH_BITS))
+                bits.append(parities(shingles))
+                held.append((shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.uint32))
                 size += len(shingles)
-                if size > 1 << 20:
-                    counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=1 << SKETCH_BITS)
+                if size > 1 << 22:
+                    add()
                     held, size = [], 0
             columns = [pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.nulls(0, pa.int64())] * 3
-            yield pa.RecordBatch.from_arrays([ids, *columns, pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.int64())], names)
+            yield pa.RecordBatch.from_arrays([ids, *columns, pa.array(bits, bitmap), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())], names)
         if ids is None:
             return
         if held:
-            counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=1 << SKETCH_BITS)
-        used = np.flatnonzero(counts)
-        empty = pa.nulls(len(used), pa.int64())
+            add()
+        pieces = [(i, c) for i, c in enumerate(counts.reshape(-1, SKETCH_PART)) if c.any()]
+        empty = pa.nulls(len(pieces), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(used), ids.type), empty, empty, empty, pa.array(used.astype(np.int32)), pa.array(counts[used])], names)
+            [pa.nulls(len(pieces), ids.type), empty, empty, empty, pa.nulls(len(pieces), bitmap), pa.array([i for i, _ in pieces], pa.int32()),
+             pa.array([zlib.compress(c.tobytes(), 1) for _, c in pieces], pa.binary())], names)
 
-    fields = f"doc_id {kind.simpleString()}, n_shingles bigint, set_id bigint, digest bigint, bucket int, n bigint"
+    fields = f"doc_id {kind.simpleString()}, n_shingles bigint, set_id bigint, digest bigint, bits array<bigint>, piece int, counts binary"
     both = written(docs.select("doc_id", "text").mapInArrow(work, fields), "sets")
-    return both.filter("bucket IS NULL").drop("bucket", "n"), both.filter("bucket IS NOT NULL").select("bucket", "n")
+    return both.filter("piece IS NULL").drop("piece", "counts"), both.filter("piece IS NOT NULL").select("piece", "counts")
 
 
 def sketch(counts: DataFrame) -> np.ndarray:
-    """The corpus counts of all buckets; the table has one row per bucket at most, whatever the input."""
-    rows = counts.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(1 << SKETCH_BITS, np.int64)
-    total[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
-    return total
+    """The corpus counts of all buckets: pieces add up in tasks as they stream by; the sum has one size, whatever the input."""
+
+    def work(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, some in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = sums.setdefault(piece, np.zeros(SKETCH_PART, np.uint64))
+                own += np.frombuffer(zlib.decompress(some.as_py()), np.uint32)
+        for piece, own in sums.items():
+            own = np.minimum(own, np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["piece", "counts"])
+
+    total = np.zeros((1 << SKETCH_BITS) // SKETCH_PART * SKETCH_PART, np.uint32).reshape(-1, SKETCH_PART)
+    for row in counts.repartition("piece").mapInArrow(work, "piece int, counts binary").toLocalIterator():
+        total[row.piece] = np.frombuffer(bytes(row.counts), np.uint32)
+    return total.ravel()
 
 
 def postings(docs: DataFrame, words: int, seed: int, counts: np.ndarray) -> DataFrame:
-    """The index: token, part (of a long list), set_id, size, pos, for the first shingles of every set in the corpus order.
+    """The index: for the first shingles of every set in the corpus order, list (a shingle, or a part of its list), set_id and place.
 
-    A set met again in one task is not indexed again.
+    ``place`` packs the set's size, the shingle's position and the part, in 27, 26 and 10 bits. A set met again in one task is
+    not indexed again.
     """
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
@@ -180,7 +216,7 @@ def postings(docs: DataFrame, words: int, seed: int, counts: np.ndarray) -> Data
         shingler, often, met = Shingler(words, seed), shared.value, set()
         usual = int(often.mean())
         for batch in batches:
-            tokens, parts, ids, sizes, places = [], [], [], [], []
+            lists, ids, places = [], [], []
             for text in batch.column(0):
                 shingles = shingler(text.as_py())
                 n = len(shingles)
@@ -188,39 +224,77 @@ def postings(docs: DataFrame, words: int, seed: int, counts: np.ndarray) -> Data
                 if not n or set_id in met:
                     continue
                 met.add(set_id)
-                count = often[(shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                count = often[(shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.int64)
                 first = np.lexsort((shingles, count))[: n - (3 * n + 3) // 4 + 1]
-                tokens.append(shingles[first].view(np.int64))
-                split = 1 + np.maximum(0, count[first] - 2 * usual) // SUBLIST
-                parts.append(np.where(split > 1, 1 + set_id % split, 0).astype(np.int32))
+                split = np.minimum(1 + np.maximum(0, count[first] - 2 * usual) // SUBLIST, PARTS)
+                part = np.where(split > 1, 1 + set_id % split, 0)
+                lists.append(shingles[first].view(np.int64) ^ part * PART_STEP)
                 ids.append(np.full(len(first), set_id, np.int64))
-                sizes.append(np.full(len(first), n, np.int32))
-                places.append(np.arange(len(first), dtype=np.int32))
-            if tokens:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in (tokens, parts, ids, sizes, places)], ["token", "part", "set_id", "size", "pos"])
+                places.append((n << 36) | (np.arange(len(first)) << 10) | part)
+            if lists:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (lists, ids, places)], ["list", "set_id", "place"])
+
+    return docs.select("text").mapInArrow(work, "list bigint, set_id bigint, place bigint")
 
-    return docs.select("text").mapInArrow(work, "token bigint, part int, set_id bigint, size int, pos int")
 
+def index_lists(index: DataFrame) -> DataFrame:
+    """The lists that hold sets of like size: list, token, part, set_id, size, pos, pivot (pos, set_id, size).
 
-def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, words: int, seed: int) -> DataFrame:
-    """The stored sets (set_id, shingles) of the wanted classes; each is made again from the text of one of its documents."""
-    first = classes.join(wanted, "set_id", "left_semi").select(F.col("first_doc").alias("id")).distinct()
-    texts = docs.select("doc_id", "text").join(first, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
+    The pivot is the set with the fewest shingles rarer than the list's: in a family of edited copies that is the one nearest
+    to the common original.
+
+    In a whole list a set stays if the next smaller or larger is within the ratio that the likeness needs; parts stay whole.
+    """
+    size, part = F.expr("place >> 36"), F.expr("place & 1023")
+    by_size = W.Window.partitionBy("list").orderBy("place")
+    compared = index.select("list", "set_id", "place", F.lag("place").over(by_size).alias("below"), F.lead("place").over(by_size).alias("above"))
+    meets = compared.filter("(place & 1023) > 0 OR 4 * (below >> 36) >= 3 * (place >> 36) OR 4 * (place >> 36) >= 3 * (above >> 36)")
+    early = F.expr("(place >> 10) & 67108863").cast("int")
+    pivot = F.min(F.struct(early.alias("pos"), "set_id", size.cast("int").alias("size"))).over(W.Window.partitionBy("list"))
+    return meets.select("list", "set_id", "place", pivot.alias("pivot")).select(
+        F.expr(f"list ^ ((place & 1023) * {PART_STEP})").alias("token"), part.cast("int").alias("part"), "set_id", size.cast("int").alias("size"),
+        F.expr("(place >> 10) & 67108863").cast("int").alias("pos"), "pivot")
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, words: int, seed: int) -> DataFrame:
+    """The stored sets (set_id, shingles) of the wanted ids, made again from the texts.
+
+    A bitmap of the wanted ids, of one fixed size, goes to all tasks and holds back nearly all other sets.
+    """
+    place = F.shiftrightunsigned("set_id", 64 - FILTER_BITS)
+    bits = wanted.select(F.shiftrightunsigned("set_id", 64 - FILTER_BITS + 6).cast("int").alias("word"), F.pmod(place, F.lit(64)).cast("int").alias("bit"))
+    bits = bits.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
+    words_ = np.zeros(1 << FILTER_BITS - 6, np.int64)
+    words_[bits.column("word").to_numpy()] = bits.column("bits").to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(words_)
 
     def work(batches):
-        shingler = Shingler(words, seed)
+        shingler, known, met = Shingler(words, seed), shared.value.view(np.uint64), set()
         for batch in batches:
-            sets = [s for s in (shingler(t.as_py()) for t in batch.column(0)) if len(s)]
-            for some in (sets[i : i + 200] for i in range(0, len(sets), 200)):
+            found = []
+            for text in batch.column(0):
+                shingles = shingler(text.as_py())
+                set_id = set_digests(shingles)[0]
+                at = (set_id & M64) >> 64 - FILTER_BITS
+                if len(shingles) and set_id not in met and int(known[at >> 6]) >> (at & 63) & 1:
+                    met.add(set_id)
+                    found.append((set_id, shingles.view(np.int64)))
+            for some in (found[i : i + 200] for i in range(0, len(found), 200)):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_digests(s)[0] for s in some], pa.int64()), pa.array([s.view(np.int64) for s in some], pa.list_(pa.int64()))],
-                    ["set_id", "shingles"])
+                    [pa.array([i for i, _ in some], pa.int64()), pa.array([x for _, x in some], pa.list_(pa.int64()))], ["set_id", "shingles"])
 
-    made = texts.mapInArrow(work, "set_id bigint, shingles array<bigint>").join(wanted, "set_id", "left_semi")
+    made = docs.select("text").mapInArrow(work, "set_id bigint, shingles array<bigint>")
     return written(made.dropDuplicates(["set_id"]), "shingles")
 
 
+def promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose bitmaps allow the likeness: the overlap is at most half of both sizes less the differing places."""
+    left, right = (classes.select(F.col("set_id").alias(c), F.col("bits").alias(f"bits_{c}"), F.col("size").alias(f"size_{c}")) for c in "ab")
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    met = pairs.join(left, "a").join(right, "b").withColumn("apart", apart)
+    return met.filter("7 * (size_a + size_b - apart) >= 6 * (size_a + size_b)").select("a", "b")
+
+
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b, ...) with the sizes of both sets and of their intersection: size_a, size_b, shared."""
     left, right = (sets.select(F.col("set_id").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
@@ -233,12 +307,12 @@ LIKE = "7 * shared >= 3 * (size_a + size_b)"
 
 
 def star_pairs(lists: DataFrame) -> DataFrame:
-    """For every set the pivot it meets in most lists: a (set), b (pivot). Parts of one long list meet by their pivots."""
+    """For every set the pivot it meets in most lists: a (set), b (pivot). Parts of one list meet by their pivots."""
     fits = F.expr("4 * least(size, pivot.size) >= 3 * greatest(size, pivot.size)")
     met = lists.filter(F.col("set_id") != F.col("pivot.set_id")).filter(fits).select(F.col("set_id").alias("a"), F.col("pivot.set_id").alias("b"))
-    heads = lists.filter("part > 0").select("token").distinct()
-    heads = lists.join(heads, "token", "left_semi").select("token", F.col("pivot.set_id").alias("a")).distinct()
-    tops = heads.withColumn("b", F.min("a").over(W.Window.partitionBy("token"))).filter("a <> b").select("a", "b")
+    heads = lists.filter("part > 0").select("token", "pivot").distinct()
+    tops = heads.withColumn("top", F.min("pivot").over(W.Window.partitionBy("token"))).select(F.col("pivot.set_id").alias("a"), F.col("top.set_id").alias("b"))
+    tops = tops.filter("a <> b")
     most = met.union(tops).groupBy("a", "b").agg(F.count("*").alias("n")).groupBy("a").agg(F.max(F.struct("n", "b")).alias("best"))
     return most.select("a", F.col("best.b").alias("b"))
 
@@ -250,7 +324,7 @@ def open_pairs(lists: DataFrame, star: DataFrame, roots: DataFrame) -> DataFrame
     facts = lists.select("set_id", "size").distinct().join(known, "set_id", "left").join(root, "set_id", "left").select(
         "set_id", F.coalesce("root", "set_id").alias("root"), F.coalesce("of", "set_id").alias("of"),
         F.coalesce("shared", "size").alias("shared"), F.coalesce("of_size", "size").alias("of_size"))
-    entries = lists.select("token", "set_id", "size", "pos").distinct().join(written(facts, "facts"), "set_id")
+    entries = lists.select("token", "set_id", "size", "pos").join(written(facts, "facts"), "set_id")
     entries = written(entries.withColumn("rest", F.expr("size - pos")), "entries")
     several = written(entries.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("token"), "tokens")
     entries = entries.join(several, "token").withColumn(
@@ -273,28 +347,29 @@ def classes_and_links(docs: DataFrame, words: int = 5) -> tuple[DataFrame, DataF
     """Per document its set (doc_id, n_shingles, set_id); per set its documents (set_id, n, first_doc); per linked set (id, root)."""
     for seed in range(8):
         described, counts = describe(docs, words, seed)
-        filled = described.filter("n_shingles > 0")
-        classes = filled.groupBy("set_id").agg(
-            F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), F.min("digest").alias("lo"), F.max("digest").alias("hi"))
+        classes = described.filter("n_shingles > 0").groupBy("set_id").agg(
+            F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), F.min("digest").alias("lo"), F.max("digest").alias("hi"),
+            F.first("n_shingles").alias("size"), F.first("bits").alias("bits"))
         classes = written(classes, "classes")
         if classes.filter("lo <> hi").isEmpty():
             break
     else:
         raise RuntimeError("set digests clash for every seed")
-    in_part = W.Window.partitionBy("token", "part")
-    index = postings(docs, words, seed, sketch(counts))
-    lists = index.withColumn("pivot", F.min(F.struct("set_id", "size")).over(in_part)).withColumn("last", F.max("set_id").over(in_part))
-    lists = written(lists.filter("pivot.set_id <> last OR part > 0").drop("last"), "lists")
-    pairs = written(star_pairs(lists), "star-pairs")
-    sets = sets_of(docs, classes, lists.select("set_id").distinct(), words, seed)
-    star = written(overlaps(pairs, sets), "star")
+    lists = written(index_lists(postings(docs, words, seed, sketch(counts))), "lists")
+    pairs = written(promising(star_pairs(lists), classes), "star-pairs")
+    star = written(overlaps(pairs, sets_of(docs, ids_of(pairs), words, seed)), "star")
     roots = graph.components(star.filter(LIKE).select("a", "b"))
     still = written(open_pairs(lists, star, roots), "open-pairs")
-    compared = overlaps(still.filter("NOT sure").select("a", "b").distinct(), sets).filter(LIKE).select("a", "b")
+    unsure = written(promising(still.filter("NOT sure").select("a", "b").distinct(), classes), "unsure-pairs")
+    compared = overlaps(unsure, sets_of(docs, ids_of(unsure), words, seed)).filter(LIKE).select("a", "b")
     links = star.filter(LIKE).select("a", "b").union(still.filter("sure").select("a", "b")).union(compared)
     return described, classes, graph.components(written(links, "links"))
 
 
+def ids_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+
+
 def components(docs: DataFrame, words: int = 5) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the least doc_id reachable over links, its own included)."""
     described, classes, roots = classes_and_links(docs, words)
