@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from beamwright.llm import graph
-from beamwright.llm.common import attach_by_key, written
+from beamwright.llm.common import HOT_SHARE, attach_by_key, written
 
 SKETCH_BITS = 22
 SKETCH_PART = 1 << 16
@@ -257,7 +257,7 @@ def index_lists(index: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int, seed: int) -> DataFrame:
-    """The stored sets (set_id, shingles) of the wanted ids, made again from the texts.
+    """The sets (set_id, shingles) of the wanted ids, made again from the texts and dealt by id.
 
     A bitmap of the wanted ids, of one fixed size, goes to all tasks and holds back nearly all other sets.
     """
@@ -284,7 +284,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int, seed: int) -> DataFr
                     [pa.array([i for i, _ in some], pa.int64()), pa.array([x for _, x in some], pa.list_(pa.int64()))], ["set_id", "shingles"])
 
     made = docs.select("text").mapInArrow(work, "set_id bigint, shingles array<bigint>")
-    return written(made.dropDuplicates(["set_id"]), "shingles")
+    return made.dropDuplicates(["set_id"])
 
 
 def promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -296,10 +296,20 @@ def promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, ...) with the sizes of both sets and of their intersection: size_a, size_b, shared."""
-    left, right = (sets.select(F.col("set_id").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
-    return pairs.join(left, "a").join(right, "b").select(
-        *pairs.columns, F.size("set_a").alias("size_a"), F.size("set_b").alias("size_b"), F.size(F.array_intersect("set_a", "set_b")).alias("shared"))
+    """Written ``pairs`` (a, b) with the sizes of both sets and of their intersection: size_a, size_b, shared.
+
+    Both sides read the one shuffle that deals the sets by their ids. A set that is ``b`` for very many others goes out in
+    several copies, so that those others need not meet in one task.
+    """
+    total = pairs.count()
+    per_copy = max(total // HOT_SHARE, 1000)
+    copies = pairs.groupBy("b").agg(F.count("*").alias("n")).withColumn("copies", F.ceil(F.col("n") / per_copy))
+    dealt = attach_by_key(pairs.select("a", "b"), copies, "b", "n", total, F.xxhash64("a")).withColumn("slot", F.pmod(F.xxhash64("a"), F.col("copies")))
+    left = dealt.drop("copies").join(sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("set_a")), "a")
+    right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("set_b")).join(copies.select("b", "copies"), "b")
+    right = right.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).drop("copies")
+    return left.join(right, ["b", "slot"]).select(
+        "a", "b", F.size("set_a").alias("size_a"), F.size("set_b").alias("size_b"), F.size(F.array_intersect("set_a", "set_b")).alias("shared"))
 
 
 LIKE = "7 * shared >= 3 * (size_a + size_b)"
