@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from beamwright.llm.common import held_out, labelled_sample, written
 
-TERMS = 4096
+TERMS = 3080
 WINDOW = 1 << 18
 BLOCK = 1024
 CACHED_WORDS = 200_000
@@ -111,16 +111,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
                 [batch.column(1), pa.array(at, pa.list_(pa.int32())), pa.array([r[i] for r, i in zip(rows, at)], pa.list_(pa.float64()))], ["label", "at", "value"])
 
     seen = texts.repartition(docs.sparkSession.sparkContext.defaultParallelism).mapInArrow(work, "label int, at array<int>, value array<double>").toArrow()
-    rows = np.zeros((len(seen), TERMS))
-    for row, at, value in zip(rows, seen.column("at").to_pylist(), seen.column("value").to_pylist()):
-        row[at] = value
     marks = seen.column("label").to_numpy().astype(float)
-    if not len(rows):
+    if not len(marks):
         return {"weights": np.ones(TERMS), "basis": np.zeros((TERMS, 1)), "vectors": np.zeros((0, 1)), "labels": marks, "mean": 0.5}
+    at, value = seen.column("at").combine_chunks(), seen.column("value").combine_chunks()
+    rows = np.zeros((len(marks), TERMS))
+    rows[np.repeat(np.arange(len(marks)), at.value_lengths().to_numpy()), at.flatten().to_numpy()] = value.flatten().to_numpy()
     weights = 0.1 + np.log(2 / ((rows > 0).mean(axis=0) + 1e-3))
-    basis = decompose(unit(rows * weights), dims)
-    vectors = unit(unit(rows * weights) @ basis)
-    return {"weights": weights, "basis": basis, "vectors": vectors, "labels": marks, "mean": float(marks.mean())}
+    # in place: the sample's matrix is the largest thing the driver holds
+    rows *= weights
+    rows /= np.maximum(np.sqrt(np.einsum("ij,ij->i", rows, rows)), 1e-12)[:, None]
+    basis = decompose(rows, dims)
+    return {"weights": weights, "basis": basis, "vectors": unit(rows @ basis), "labels": marks, "mean": float(marks.mean())}
 
 
 def votes(model: dict, rows: np.ndarray, k: int = 15, power: float = 8.0) -> np.ndarray:
