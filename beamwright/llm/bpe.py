@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 WINDOW = 1 << 18
 CACHED_PIECES = 300_000
 CACHED_LENGTH = 48
+PART = 128
+"""Rows whose ids are held at a time."""
 # White space as the pattern's library defines it.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -122,23 +124,30 @@ def _batches(column: pa.Array):
     return [t or "" for t in column.to_pylist()]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """``docs`` as it is, under ``doc``, with ``ids`` and the characters where the tokens start, ``starts``."""
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False) -> DataFrame:
+    """``docs`` as it is, under ``doc``, with ``ids`` and the characters where the tokens start, ``starts``.
+
+    With ``decoded`` the ids are decoded again in the same task, which then needs the vocabulary once only.
+    """
 
     def work(batches):
         c = codec(path, pattern)
         for batch in batches:
-            texts = _batches(batch.column(1))
-            ids: list[list[int]] = [[] for _ in texts]
-            for i, some in c.encode(texts):
-                ids[i] += some
-            starts = [char_offsets(c, k, t) for k, t in zip(ids, texts)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(starts, pa.list_(pa.int64()))], ["doc", "ids", "starts"])
-
+            for part in (batch.slice(at, PART) for at in range(0, batch.num_rows, PART)):
+                texts = _batches(part.column(1))
+                ids: list[list[int]] = [[] for _ in texts]
+                for i, some in c.encode(texts):
+                    ids[i] += some
+                starts = [char_offsets(c, k, t) for k, t in zip(ids, texts)]
+                columns = [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(starts, pa.list_(pa.int64()))]
+                if decoded:
+                    columns.append(pa.array([c.decode(k).decode("utf-8", "replace") for k in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["doc", "ids", "starts", *(["decoded"] if decoded else [])]
     source = docs.select(F.struct("*").alias("doc"), F.col(text).alias("text"))
     row = source.schema["doc"].dataType.simpleString()
-    return source.mapInArrow(work, f"doc {row}, ids array<int>, starts array<bigint>")
+    return source.mapInArrow(work, f"doc {row}, ids array<int>, starts array<bigint>" + (", decoded string" if decoded else ""))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -48,7 +48,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's token ids, the characters they start at, and the text they decode to as a digest."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    rows = bpe.decode(bpe.encode(docs, path, pattern), path, pattern)
+    rows = bpe.encode(docs, path, pattern, decoded=True)
     return rows.select(
         "doc.doc_id", "doc.source", F.size("ids").cast("long").alias("n_tokens"), "ids", "starts",
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

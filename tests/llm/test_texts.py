@@ -45,6 +45,8 @@ def test_bpe_digests(awkward, nothing):
 
 def test_bpe_round_trip_and_offsets(awkward):
     rows = bpe.decode(bpe.encode(awkward, MULTI, PATTERN), MULTI, PATTERN).collect()
+    together = bpe.encode(awkward, MULTI, PATTERN, decoded=True)
+    assert Counter(map(str, together.select("doc.doc_id", "decoded").collect())) == Counter(str(r) for r in awkward.selectExpr("doc_id", "coalesce(text, '') AS decoded").collect())
     enc = tiktoken_of(MULTI)
     for r in rows:
         text = r.doc.text or ""
