@@ -1,8 +1,9 @@
 """SpotSigs fingerprints: chains of content words that follow common words.
 
 Each common word of a text is an anchor; its signature is the anchor and the next ``chain`` content words, ``gap`` apart. The
-fingerprint is the sorted list of the hashes of a text's signatures, a repeated one counted as often as it occurs. A text
-with fewer than ``least`` anchors takes the chain that starts at each of its words, so short texts have a fingerprint too.
+fingerprint is the sorted list of the hashes of a text's signatures, a repeated one counted as often as it occurs. A word with
+no anchor within ``reach`` words before or after it starts a chain too, so passages and texts without anchors have signatures.
+No count over the text decides, so a passage has the same signatures in any text, but for those near its ends.
 
 Sets are compared by Jaccard likeness. Sets whose sizes lie in the ratio r cannot be more alike than r, so comparisons go by
 classes of size: ``likeness`` does not look into sets too unequal to reach ``floor``, and ``near_pairs`` joins neighbouring
@@ -58,7 +59,7 @@ def _codes() -> tuple[WordCodes, np.ndarray]:
     return codes, np.unique(np.concatenate([codes(w) for w in COMMON]))
 
 
-def signatures(text: str, chain: int = 2, gap: int = 1, least: int = 4) -> np.ndarray:
+def signatures(text: str, chain: int = 2, gap: int = 1, reach: int = 8) -> np.ndarray:
     """Sorted 64-bit hashes of a text's signatures and their occurrences; the last chains are cut short by the end of the text."""
     words, anchors = _codes()
     codes = words(text)
@@ -80,8 +81,9 @@ def signatures(text: str, chain: int = 2, gap: int = 1, least: int = 4) -> np.nd
         out = (out + nth.astype(np.uint64) * _A) * _B
         return np.unique(out ^ (out >> np.uint64(31)))
 
-    anchored = np.flatnonzero(common)
-    return chains(anchored if len(anchored) >= least else np.arange(len(codes)))
+    at, before = np.arange(len(codes)), np.append(0, np.cumsum(common))
+    near = before[np.minimum(at + reach + 1, len(codes))] - before[np.maximum(at - reach, 0)]
+    return chains(np.flatnonzero(common | (near == 0)))
 
 
 def text_of(fingerprint: np.ndarray) -> str:

@@ -278,3 +278,23 @@ def test_spot_pairs(awkward):
     want = {(min(i, j), max(i, j)) for i, a in rows for j, b in rows if i != j and a and b and len(a & b) / len(a | b) >= 0.5}
     got = [(min(r.a, r.b), max(r.a, r.b)) for r in spotsigs.near_pairs(printed, "doc_id", 0.5).collect()]
     assert set(got) == want and len(got) == len(want) and want
+
+
+def test_spot_signatures_go_by_the_passage():
+    """Near copies on both sides of any number of anchors are alike, and a passage keeps its signatures in any text."""
+    import random
+
+    rng = random.Random(5)
+    bare = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    like = lambda x, y: spotsigs.likeness(spotsigs.signatures(x), spotsigs.signatures(y))
+    for anchors in range(6):
+        passage = " the ".join(bare(100) for _ in range(anchors + 1))
+        own = set(spotsigs.signatures(passage).tolist())
+        assert len(own) >= 80 * (anchors + 1)
+        for more in range(1, 6):
+            assert like(passage, passage + (" of " + bare(1)) * more) > 0.8
+        for others in (bare(30), "this is the end of it and that was all " * 5):
+            held = set(spotsigs.signatures(f"{others} {passage} {others}").tolist())
+            # those of the 8 words at each end, and the last chains, may differ
+            assert len(own - held) <= 2 * (8 + 2)
+    assert len(spotsigs.signatures(bare(9))) == 9 and len(spotsigs.signatures("the")) == 1
