@@ -2,7 +2,8 @@
 
 Targets: the weights share all words; a source stops at ``most`` times its size and what is left over goes to the others by
 weight. A source's target is met by whole passes over its documents in a permuted order, then by the first documents of one
-more pass; the last of these is cut, so the words taken are the target to the word.
+more pass. With ``cut`` the last of these is cut, so the words taken are the target to the word. Without it all are whole: the one
+at the border is taken if that lands nearer the target (or as near), and does not pass ``most``.
 
 Dealing: the permuted documents of a source lie in blocks of ``block_docs``; its number of blocks is its exact quota. A tree
 splits the quotas of all sources among the output shards: each node draws, by a multivariate hypergeometric, how many blocks
@@ -126,14 +127,23 @@ def place(light: DataFrame, goal: DataFrame, seed: int) -> DataFrame:
         "words_before", F.coalesce("inner", F.lit(0)) + F.col("bucket_words")).drop("row", "inner", "docs_before", "bucket_words", "draw", "bucket")
 
 
-def plan(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, seed: int = 17, text: str = "text") -> DataFrame:
-    """Per document what the mix takes of it: whole ``passes``, then ``extra`` words of one more; (source_key, pos) names a document."""
+def plan(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, seed: int = 17, text: str = "text", cut: bool = True) -> DataFrame:
+    """Per document what the mix takes of it: whole ``passes``, then ``extra`` words of one more; (source_key, pos) names a document.
+
+    ``extra`` is 0 or the document's size where ``cut`` is off.
+    """
     light = sizes(docs, text)
     goal = written(targets(light, weights, most), "mix-targets")
     rows = place(light, goal, seed).withColumn("quota", F.round("target").cast("long"))
     rows = rows.withColumn("passes", F.when(F.col("source_size") > 0, F.expr("quota div source_size")).otherwise(F.lit(0)).cast("long"))
     rest = F.col("quota") - F.col("passes") * F.col("source_size")
-    rows = rows.withColumn("extra", F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest - F.col("words_before"))))
+    if cut:
+        extra = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest - F.col("words_before")))
+    else:
+        upto = F.col("words_before") + F.col("size")
+        nearer = (F.col("words_before") + upto <= 2 * rest) & (F.col("passes") * F.col("source_size") + upto <= most * F.col("source_size"))
+        extra = F.when(nearer, F.col("size")).otherwise(F.lit(0).cast("long"))
+    rows = rows.withColumn("extra", extra)
     return written(rows.drop("words_before", "quota"), "mix-plan")
 
 
@@ -160,12 +170,12 @@ def first_words(text: Column, words: Column) -> Column:
     return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*+[^\x20\x09-\x0D]++)"), 1), 1, words.cast("int")), "")
 
 
-def mixed(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, shards: int = 16, seed: int = 17, text: str = "text") -> DataFrame:
+def mixed(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, shards: int = 16, seed: int = 17, text: str = "text", cut: bool = True) -> DataFrame:
     """The mix itself: under ``doc`` each document as often as it is taken, its text cut where only its first words are, with shard and place.
 
     Rows equal in doc_id, source and text are told apart by number; they are interchangeable.
     """
-    units = dealt(plan(docs, weights, most, seed, text), shards, seed=seed)
+    units = dealt(plan(docs, weights, most, seed, text, cut), shards, seed=seed)
     keys = ["k_id", "k_source", "k_hash"]
     taken = units.groupBy(F.struct("doc_id").alias("k_id"), F.col("source_key").alias("k_source"), F.col("text_hash").alias("k_hash")).agg(
         F.array_sort(F.collect_list(F.struct("pos", "size", "units"))).alias("copies"))
@@ -174,5 +184,7 @@ def mixed(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, shards: int = 1
     numbered = whole.withColumn("copy", F.row_number().over(W.Window.partitionBy(*keys).orderBy(F.lit(1))))
     met = numbered.join(taken, keys).withColumn("mine", F.element_at("copies", F.col("copy")))
     rows = met.withColumn("unit", F.explode("mine.units"))
-    cut = F.when(F.col("unit.words") < F.col("mine.size"), first_words(F.col("doc")[text], F.col("unit.words"))).otherwise(F.col("doc")[text])
-    return rows.select(F.col("doc").withField(text, cut).alias("doc"), "unit.shard", "unit.place")
+    if cut:
+        part = F.when(F.col("unit.words") < F.col("mine.size"), first_words(F.col("doc")[text], F.col("unit.words"))).otherwise(F.col("doc")[text])
+        rows = rows.withColumn("doc", F.col("doc").withField(text, part))
+    return rows.select("doc", "unit.shard", "unit.place")

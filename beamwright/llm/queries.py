@@ -112,7 +112,7 @@ def op9(spark, folder):
 
 @query("op3_source_mix")
 def op3(spark, folder):
-    rows = mixing.dealt(mixing.plan(table(spark, folder, "documents").select("doc_id", "source", "text")))
+    rows = mixing.dealt(mixing.plan(table(spark, folder, "documents").select("doc_id", "source", "text"), cut=False))
     words = F.aggregate("units", F.lit(0).cast("long"), lambda total, unit: total + unit["words"])
     return rows.select("doc_id", "size", "source_size", "target", words.alias("taken"), F.col("units.shard").alias("shards"))
 

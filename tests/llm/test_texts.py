@@ -298,3 +298,32 @@ def test_spot_signatures_go_by_the_passage():
             # those of the 8 words at each end, and the last chains, may differ
             assert len(own - held) <= 2 * (8 + 2)
     assert len(spotsigs.signatures(bare(9))) == 9 and len(spotsigs.signatures("the")) == 1
+
+
+def test_whole_documents_in_the_mix(spark, awkward, nothing):
+    """Without the cut a document is taken whole or not, and each source ends at the border nearest its target."""
+    small = spark.createDataFrame([(i, f"s{i}", "one two three four") for i in range(9)], "doc_id bigint, source string, text string")
+    for docs, most in ((awkward, 3.0), (small, 3.0), (awkward, 1.5)):
+        sizes, largest, taken = defaultdict(int), defaultdict(int), defaultdict(int)
+        rows = [(r.source, len(WORD.findall(r.text or ""))) for r in docs.collect()]
+        for s, n in rows:
+            sizes[s] += n
+            largest[s] = max(largest[s], n)
+        planned = mixing.dealt(mixing.plan(docs, most=most, cut=False), shards=5).collect()
+        for r in planned:
+            assert all(u.words == r["size"] for u in r.units)
+            taken[None if r.source_key == "~" else r.source_key[1:]] += sum(u.words for u in r.units)
+        for s, target in water(sizes, most=most).items():
+            assert taken[s] <= most * sizes[s]
+            assert abs(taken[s] - target) <= largest[s] / 2 + 1 or taken[s] + largest[s] > most * sizes[s]
+    got = Counter((r.doc.doc_id, r.doc.text) for r in mixing.mixed(awkward, shards=5, cut=False).collect())
+    assert set(got) <= {(r.doc_id, r.text) for r in awkward.collect()}
+    assert sum(len(WORD.findall(t or "")) * n for (_, t), n in got.items()) == sum(u.words for r in mixing.dealt(mixing.plan(awkward, cut=False)).collect() for u in r.units)
+    assert mixing.dealt(mixing.plan(nothing, cut=False)).count() == 0
+
+
+def test_mix_query_takes_whole_documents(spark):
+    from beamwright.llm.queries import QUERIES
+
+    rows = QUERIES["op3_source_mix"](spark, "/root/testdata/sf0.001").collect()
+    assert rows and all(r.taken % r["size"] == 0 if r["size"] else r.taken == 0 for r in rows)
