@@ -28,12 +28,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, that with the group's least doc_id; rows equal in doc_id and text are one document."""
-    groups = jaccard.components(docs)
-    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.struct("doc_id").alias("key")).distinct()
-    keyed = docs.select(F.struct("*").alias("doc"), F.struct("doc_id").alias("key"), F.xxhash64("text").alias("text_hash"))
-    # a struct as key meets nulls and serves the join and the window with one shuffle
-    copies = W.Window.partitionBy("key", "text_hash").orderBy(F.lit(1))
+    """One document of each group, that with the group's least doc_id, nulls last, and of those the one whose text has the least hash.
+
+    Rows equal in doc_id and text are one document; rows that share a doc_id, or have none, but differ in text are not.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text_hash"))
+    # the struct stands for the document, so that a group's least one is a single document; it meets nulls, and serves the
+    # join and the window with one shuffle
+    groups = jaccard.components(docs.select(key.alias("doc_id"), "text"))
+    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("key")).distinct()
+    keyed = docs.select(F.struct("*").alias("doc"), key.alias("key"))
+    copies = W.Window.partitionBy("key").orderBy(F.lit(1))
     kept = keyed.join(written(stay, "groups"), "key", "left_semi").withColumn("copy", F.row_number().over(copies))
     return kept.filter("copy = 1").select("doc.*")
 

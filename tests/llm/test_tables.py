@@ -193,3 +193,27 @@ def test_pipeline_stage_by_stage(spark):
     enc = tiktoken_of(MULTI)
     ids = Counter((r["doc_id"], tuple(enc.encode_ordinary(r["text"])), sha(r["text"])) for r in rows[4])
     assert Counter((r["doc_id"], tuple(r["ids"]), r["decoded_sha256"]) for r in rows[5]) == ids
+
+
+def test_near_duplicates_without_or_with_repeated_ids(spark):
+    """One document a group, whatever ids its members lack or share with documents of other groups."""
+    import random
+
+    import corpus_pipeline as p
+
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10**6)}"
+
+    def family(n):
+        words = [word() for _ in range(80)]
+        return [" ".join(words[:-1] + [word()]) for _ in range(n)]
+
+    a, b, c, d, e, f = (family(n) for n in (4, 1, 3, 1, 2, 2))
+    rows = [(None, a[0]), (None, a[1]), (5, a[2]), (7, a[3]), (7, d[0]), (None, b[0]), (None, c[0]), (None, c[1]), (None, c[2]),
+            (None, c[2]), (9, e[0]), (9, e[1]), (None, f[0]), (11, f[1]), (11, f[1]), (None, ""), (None, None), (12, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = [tuple(r) for r in p.near_duplicates(spark, docs, FOLDER).collect()]
+    assert set(got) <= set(rows)
+    groups = {t: k for k, texts in enumerate((a, b, c, d, e, f)) for t in texts}
+    kept = Counter((i, groups.get(t, t)) for i, t in got)
+    assert kept == Counter([(5, 0), (None, 1), (None, 2), (7, 3), (9, 4), (11, 5), (None, ""), (None, None), (12, "")])
