@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beamwright.llm import bpe, jaccard, lines, mixing, quality, spotsigs, tokencount, toxicity, vptree, warc
+from beamwright.llm import align, bpe, decontam, jaccard, lines, mixing, periodic, quality, spotsigs, tokencount, toxicity, vptree, warc
 from beamwright.llm.common import table
 from beamwright.session import scratch_dir
 
@@ -146,3 +146,50 @@ def op2(spark, folder):
     edits = F.array(change(F.floor(n / 2), F.lit(0), " an added\n\n passage of 12 words"), change(F.floor(n / 4), F.floor(n / 10), ""), change(n - 3, F.lit(1), "X's "))
     rows = tokencount.recount(docs.withColumn("edits", edits), ENGLISH, public_tokenizers.PATTERN, whole=False)
     return rows.select("doc.doc_id", "n_tokens", "n_tokens_edited", "n_chars_reencoded", "edited_sha256")
+
+
+@query("op11_token_alignment")
+def op11(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return align.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
+DECONTAM_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+s AS (SELECT item_id, words, least(10, len(words)) AS l, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i FROM b WHERE len(words) > 0),
+bw AS (SELECT DISTINCT item_id, l, array_to_string(words[i:i + l - 1], ' ') AS w FROM s),
+p AS (SELECT r, words, l, unnest(range(1, len(words) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM bw) WHERE len(words) >= l),
+hit AS (SELECT r, i, p.l, item_id FROM p JOIN bw ON p.l = bw.l AND array_to_string(words[i:i + p.l - 1], ' ') = bw.w),
+n AS (SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(i, i + l)) AS at FROM hit) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hit) GROUP BY r)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN t USING (r)
+"""
+
+
+@query("op12_benchmark_windows", DECONTAM_SQL)
+def op12(spark, folder):
+    rows = decontam.marked(table(spark, folder, "documents"), table(spark, folder, "benchmark"), size=10)
+    ids = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return rows.select("doc_id", "n_words", "n_hit", "n_items", ids.alias("items_sha256"), "contaminated")
+
+
+@query("op13_periodic_runs")
+def op13(spark, folder):
+    """Documents whose id has a checksum divisible by 10 repeat a passage of theirs up to their end."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.withColumn("h", h).withColumn("w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
+    docs = docs.withColumn("a", F.expr("case when size(w) > 0 then h div 10 % size(w) end"))
+    docs = docs.withColumn("p", F.expr("1 + (size(w) - a) div (3 + h div 10 % 8)"))
+    repeated = F.expr("array_join(transform(sequence(0, size(w) - 1), i -> w[cast(if(i < a, i, a + (i - a) % p) as int)]), ' ')")
+    docs = docs.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(repeated).alias("text"))
+    rows = periodic.periodic_runs(docs).withColumn("best", periodic.strongest(F.col("runs")))
+    return rows.select(
+        "doc.doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(periodic.listing(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
