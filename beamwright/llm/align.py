@@ -14,6 +14,8 @@ clash. A task holds one block and a run of documents, or one longer document.
 """
 
 import hashlib
+import os
+import re
 from functools import lru_cache
 from itertools import chain
 
@@ -23,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beamwright.llm.bpe import SPACE, Codec, byte_alphabet
+from beamwright.llm.bpe import SPACE
 from beamwright.llm.common import written
 
 LINKS = 1 << 21
@@ -31,102 +33,63 @@ BLOCK_DOCUMENTS = (1 << 16) - 1
 RUN = 1 << 19
 """Characters whose tokens are laid out at a time."""
 CACHED_UNITS = 300_000
+CACHED_LINKS = 1 << 22
 CACHED_LENGTH = 48
 WORD_MARK = "▁"
 
 
-class ByteLevel(Codec):
-    """The byte-level tokenizer of a ``tokenizers`` file; pieces of its pattern are encoded once each."""
+class ByteLevel:
+    """The byte-level tokenizer of a ``tokenizers`` file; its pattern begins a piece at every lone space between two other characters."""
 
-    def __init__(self, path: str, pattern: str):
-        import regex
-        from tokenizers import Tokenizer, pre_tokenizers
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks fill the cores already
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
-        self.model.pre_tokenizer = pre_tokenizers.Sequence([])
-        alphabet = byte_alphabet()
-        self.letters = dict(enumerate(alphabet))
-        byte = {c: b for b, c in enumerate(alphabet)}
         vocab = self.model.get_vocab(with_added_tokens=False)
         self.lengths = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
-            self.lengths[i] = sum(c in byte for c in token)
-        pattern = pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"(?!\S)", f"(?![^{SPACE}])").replace(r"\s", f"[{SPACE}]")
-        self.pattern = regex.compile(pattern)
-        self.safe_cut = regex.compile(f"[^{SPACE}](?= [^{SPACE}])")
-        self.seen = {}
+            self.lengths[i] = len(token)  # one character a byte
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text after a space."""
+        return [e.ids for e in self.model.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
 
 
 class WordPieces:
     """A piece tokenizer that puts a space before the text and has no piece with a space after another character.
 
-    A text is then cut before each run of spaces, and each unit is encoded once; a model for which this does not hold is refused.
+    Its texts can then be cut before a space that follows another character; a model for which this does not hold is refused.
     """
 
     def __init__(self, path: str):
-        import re
-
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
-        n = self.model.vocab_size()
-        pieces = [self.model.id_to_piece(i) for i in range(n)]
-        if any(WORD_MARK in p.lstrip(WORD_MARK) for p in pieces) or self.model.encode("a  b ", out_type=str).count(WORD_MARK) == 0:
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
+        if any(WORD_MARK in p.lstrip(WORD_MARK) for p in pieces) or "".join(self.model.encode("a  b ", out_type=str)) != "▁a▁▁b▁":
             raise ValueError("the model joins words or drops spaces: its texts cannot be cut into words")
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(WORD_MARK, " ").encode() for i, p in enumerate(pieces)]
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
-        self.space = (self.model.piece_to_id(WORD_MARK),)
-        self.units = re.compile(" +[^ ]*")
-        self.seen: dict[str, tuple[int, ...]] = {}
-        self.wrong: set[str] = set()
-
-    def cut(self, text: str) -> list[str]:
-        """Units of the text after a space, each without its first space."""
-        if "  " not in text and text[0] != " " and text[-1] != " ":
-            return text.split(" ")
-        return [u[1:] for u in self.units.findall(" " + text)]
-
-    def encode_units(self, units: list[list[str]]) -> list[tuple[list[int], bool]]:
-        """Ids of each list of units, and whether they spell it."""
-        if len(self.seen) > CACHED_UNITS:
-            self.seen.clear()
-            self.wrong.clear()
-        new = list({u for some in units for u in some}.difference(self.seen))
-        for u, ids in zip(new, self.model.encode(new, num_threads=1) if new else []):
-            self.seen[u] = tuple(ids) if u else self.space
-            if b"".join(map(self.bytes.__getitem__, self.seen[u])) != b" " + u.encode():
-                self.wrong.add(u)
-        out = [(list(chain.from_iterable(map(self.seen.__getitem__, some))), not self.wrong or self.wrong.isdisjoint(some)) for some in units]
-        for u in new:
-            if len(u) > CACHED_LENGTH:
-                del self.seen[u]
-        return out
 
-
-@lru_cache(maxsize=2)
-def tokenizers(a_path: str, b_path: str, pattern: str):
-    a, b = ByteLevel(a_path, pattern), WordPieces(b_path)
-    separators = [(len(a.lengths), (",", "|")), (len(b.lengths), (",", ";", "\n"))]
-    texts = np.array([f"{i}{s}" for n, some in separators for i in range(n) for s in some], "S")
-    return a, b, texts
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text after a space; none for texts that they do not spell."""
+        some = self.model.encode(texts, num_threads=1) if texts else []
+        return [ids if b"".join(map(self.bytes.__getitem__, ids)) == b" " + t.encode() else [] for ids, t in zip(some, texts)]
 
 
 def lay_out(a, b, texts: list[str]):
-    """(ids, bytes ends) of both sides for texts laid end to end, and the texts' own ends in bytes; None for texts without tokens.
+    """(ids, ends in bytes, tokens per text) of both sides for texts laid end to end, each after a space, and the texts' own ends.
 
     A text whose tokens do not spell it is laid out as no bytes.
     """
-    units = b.encode_units([b.cut(t) if t and WORD_MARK not in t else [] for t in texts])
-    ids_a: list[list[int]] = [[] for _ in texts]
-    spelt = [ok and bool(ids) for ids, ok in units]
-    for i, some in a.encode([" " + t if ok else "" for t, ok in zip(texts, spelt)]):
-        ids_a[i] += some
-    ids_b = [ids if ok else [] for (ids, _), ok in zip(units, spelt)]
+    ids_b = b.encode(texts)
+    ids_a = [ids if spelt else [] for ids, spelt in zip(a.encode(texts), ids_b)]
     n_a, n_b = np.array([len(x) for x in ids_a]), np.array([len(x) for x in ids_b])
     flat_a = np.fromiter(chain.from_iterable(ids_a), np.int64, int(n_a.sum()))
     flat_b = np.fromiter(chain.from_iterable(ids_b), np.int64, int(n_b.sum()))
-    sizes = np.array([len(t.encode()) + 1 if ok else 0 for t, ok in zip(texts, spelt)], np.int64)
+    sizes = np.array([len(t.encode()) + 1 if ids else 0 for t, ids in zip(texts, ids_b)], np.int64)
     end_a, end_b, end = np.cumsum(a.lengths[flat_a]), np.cumsum(b.lengths[flat_b]), np.cumsum(sizes)
     last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
     if (np.append(0, end_a)[last_a] != end).any() or (np.append(0, end_b)[last_b] != end).any():
@@ -162,6 +125,65 @@ def aligned(a, b, table, texts: list[str]):
     return n_a, n_b, n_groups, n_links, groups, pairs, text_of
 
 
+class Units:
+    """Texts cut before lone spaces between two other characters, where both tokenizers always begin a token: what lies between is aligned once."""
+
+    def __init__(self, a_path: str, b_path: str):
+        self.a, self.b = ByteLevel(a_path), WordPieces(b_path)
+        separators = [(len(self.a.lengths), (",", "|")), (len(self.b.lengths), (",", ";", "\n"))]
+        self.table = np.array([f"{i}{s}" for n, some in separators for i in range(n) for s in some], "S")
+        self.lone_space = re.compile(f"(?<=[^{SPACE}]) (?=[^{SPACE}])")
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.counts = np.zeros((0, 4), np.int64)
+        self.starts, self.pairs, self.groups = np.zeros(1, np.int64), np.zeros(0, np.int64), []
+
+    def cut(self, text: str) -> list[str]:
+        """Units of the text, each without the space before it."""
+        units = text.split(" ")
+        return units if "" not in units and list(map(str.strip, units)) == units else self.lone_space.split(text)
+
+    def learn(self, units: list[str]) -> None:
+        *counts, groups, pairs, _ = aligned(self.a, self.b, self.table, units)
+        self.number.update(zip(units, range(len(self.groups), len(self.groups) + len(units))))
+        self.counts = np.concatenate([self.counts, np.stack(counts, 1)])
+        self.starts = np.append(0, np.cumsum(self.counts[:, 3]))
+        self.pairs = np.concatenate([self.pairs, pairs])
+        self.groups += groups
+
+    def align(self, texts: list[str]):
+        """As ``aligned``, with each unit looked up."""
+        if len(self.groups) > CACHED_UNITS or len(self.pairs) > CACHED_LINKS:
+            self.forget()
+        cut = [self.cut(t) if t else [] for t in texts]
+        new = list({u for some in cut for u in some}.difference(self.number))
+        if new:
+            self.learn(new)
+        n = np.array([len(c) for c in cut], np.int64)
+        unit = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cut)), np.int64, int(n.sum()))
+        for u in new:
+            if len(u) > CACHED_LENGTH:
+                del self.number[u]
+        ends = np.cumsum(n)
+        unspelt = np.append(0, np.cumsum(self.counts[unit, 1] == 0))
+        spelt = unspelt[ends] == unspelt[ends - n]  # one unit that is not spelt leaves its text without tokens
+        groups = [b";".join(map(self.groups.__getitem__, unit[e - k : e].tolist())) if ok else b"" for e, k, ok in zip(ends.tolist(), n.tolist(), spelt)]
+        unit, n = unit[np.repeat(spelt, n)], np.where(spelt, n, 0)
+        ends = np.cumsum(n)
+        sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(self.counts[unit], 0)])
+        counts = sums[ends] - sums[ends - n]
+        links = self.counts[unit, 3]
+        at = np.repeat(self.starts[unit] - (np.cumsum(links) - links), links) + np.arange(links.sum())
+        return *counts.T, groups, self.pairs[at], np.repeat(np.arange(len(texts)), counts[:, 3])
+
+
+@lru_cache(maxsize=2)
+def units(a_path: str, b_path: str) -> Units:
+    return Units(a_path, b_path)
+
+
 def to_gaps(ordinals: np.ndarray, starts: np.ndarray) -> bytes:
     """Set bits of bitmaps laid one after another as gaps, a byte each; 255 stands for 255 unset bits and is followed by more."""
     gaps = np.diff(ordinals, prepend=0)
@@ -195,7 +217,7 @@ def postings(pairs: np.ndarray, ordinals: np.ndarray):
     return pair[starts], np.diff(np.append(starts, len(keys))), np.add.reduceat(times, starts), planes
 
 
-def index_rows(docs: DataFrame, a_path: str, b_path: str, pattern: str, text: str = "text", groups: bool = False) -> DataFrame:
+def index_rows(docs: DataFrame, a_path: str, b_path: str, text: str = "text", groups: bool = False) -> DataFrame:
     """Rows of two kinds: one per document (``ordinal`` is set; ``groups`` has its groups as text, if asked for), one per block of the
     inverted index (``pairs`` is set)."""
     source = docs.select("doc_id", F.coalesce(text, F.lit("")).alias("text"))
@@ -205,7 +227,7 @@ def index_rows(docs: DataFrame, a_path: str, b_path: str, pattern: str, text: st
     names = [field.split()[0] for field in schema.split(", ")]
 
     def work(batches):
-        a, b, table = tokenizers(a_path, b_path, pattern)
+        known = units(a_path, b_path)
         types = {}
         block, gathered, n_docs, n_links = TaskContext.get().partitionId() << 32, [], 0, 0
 
@@ -230,7 +252,7 @@ def index_rows(docs: DataFrame, a_path: str, b_path: str, pattern: str, text: st
                     if n_links:
                         yield index()
                     block, gathered, n_docs, n_links = block + 1, [], 0, 0
-                n_a, n_b, n_groups, links, listed, pairs, text_of = aligned(a, b, table, texts[start:stop])
+                n_a, n_b, n_groups, links, listed, pairs, text_of = known.align(texts[start:stop])
                 yield rows(
                     stop - start, block=np.full(stop - start, block), ordinal=np.arange(n_docs, n_docs + stop - start), doc_id=batch.column(0).slice(start, stop - start),
                     n_a=n_a, n_b=n_b, n_groups=n_groups, n_links=links, groups_sha256=[hashlib.sha256(g).hexdigest() if g else "" for g in listed],
@@ -277,12 +299,12 @@ def document_scores(index: DataFrame, n_b: int) -> DataFrame:
     return groups.applyInArrow(add_up, "block bigint, ordinal int, n_best bigint, count_sum bigint")
 
 
-def align(docs: DataFrame, a_path: str, b_path: str, pattern: str, text: str = "text", groups: bool = False) -> DataFrame:
+def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", groups: bool = False) -> DataFrame:
     """Per document: doc_id, n_a and n_b (tokens), n_groups, n_links, groups_sha256 (of `a,a|b;a|b,b`; empty without tokens), groups if asked
     for, n_best (links whose pair has the most links of all pairs of its second id, ties included) and count_sum (pairs' links over the links)."""
     from sentencepiece import SentencePieceProcessor
 
-    index = written(index_rows(docs, a_path, b_path, pattern, text, groups), "pair-index")
+    index = written(index_rows(docs, a_path, b_path, text, groups), "pair-index")
     scores = document_scores(index, SentencePieceProcessor(model_file=b_path).vocab_size())
     rows = index.filter("ordinal is not null").join(scores, ["block", "ordinal"], "left")
     zero = F.lit(0).cast("long")

@@ -151,7 +151,7 @@ def op2(spark, folder):
 @query("op11_token_alignment")
 def op11(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return align.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+    return align.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 DECONTAM_SQL = r"""

@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from beamwright.llm import align, decontam, periodic
+from beamwright.llm import align, bpe, decontam, periodic
 from beamwright.llm.queries import QUERIES
 from tests.llm.conftest import prose
 
@@ -37,7 +37,7 @@ def token_spans(texts):
 
     a, b = Tokenizer.from_file(A_PATH), SentencePieceProcessor(model_file=B_PATH)
     a.encode_special_tokens = True
-    alphabet = {c: n for n, c in enumerate(align.byte_alphabet())}
+    alphabet = {c: n for n, c in enumerate(bpe.byte_alphabet())}
     spell_a = {i: bytes(alphabet[c] for c in t) for t, i in a.get_vocab(with_added_tokens=False).items()}
     spell_b = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in range(b.vocab_size())]
     for t in texts:
@@ -94,12 +94,12 @@ def odd_texts(spark):
 def test_alignment_matches_brute_force(awkward, odd_texts, nothing):
     docs = awkward.select("doc_id", "text").union(odd_texts)
     rows = [tuple(r) for r in docs.collect()]
-    got = align.align(docs.withColumn("pairs", F.lit(1)).withColumn("block", F.lit("x")), A_PATH, B_PATH, public_tokenizers.PATTERN)
+    got = align.align(docs.withColumn("pairs", F.lit(1)).withColumn("block", F.lit("x")), A_PATH, B_PATH)
     assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     assert sorted(map(key, got.collect())) == sorted(map(str, alignment_of(rows)))
-    assert align.align(nothing, A_PATH, B_PATH, public_tokenizers.PATTERN).count() == 0
+    assert align.align(nothing, A_PATH, B_PATH).count() == 0
     nulls = awkward.select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text"))
-    assert {tuple(r) for r in align.align(nulls, A_PATH, B_PATH, public_tokenizers.PATTERN).collect()} == {(None, 0, 0, 0, 0, 0, 0, "")}
+    assert {tuple(r) for r in align.align(nulls, A_PATH, B_PATH).collect()} == {(None, 0, 0, 0, 0, 0, 0, "")}
 
 
 def test_alignment_over_many_blocks(monkeypatch, spark, odd_texts):
@@ -107,13 +107,13 @@ def test_alignment_over_many_blocks(monkeypatch, spark, odd_texts):
     monkeypatch.setattr(align, "LINKS", 200)
     monkeypatch.setattr(align, "RUN", 100)
     rows = [tuple(r) for r in odd_texts.collect()]
-    got = align.align(odd_texts.coalesce(1), A_PATH, B_PATH, public_tokenizers.PATTERN, groups=True)
+    got = align.align(odd_texts.coalesce(1), A_PATH, B_PATH, groups=True)
     assert sorted(map(key, got.drop("groups").collect())) == sorted(map(str, alignment_of(rows)))
     assert all(r.groups_sha256 == (sha(r.groups) if r.groups else "") for r in got.collect())
 
 
 def test_pair_counts(awkward):
-    index = align.index_rows(awkward, A_PATH, B_PATH, public_tokenizers.PATTERN)
+    index = align.index_rows(awkward, A_PATH, B_PATH)
     want_docs, want_links = Counter(), Counter()
     for spans in token_spans([r.text or "" for r in awkward.collect()]):
         if spans:
