@@ -2,8 +2,8 @@
 
 Targets: the weights share all words; a source stops at ``most`` times its size and what is left over goes to the others by
 weight. A source's target is met by whole passes over its documents in a permuted order, then by the first documents of one
-more pass. With ``cut`` the last of these is cut, so the words taken are the target to the word. Without it all are whole: the one
-at the border is taken if that lands nearer the target (or as near), and does not pass ``most``.
+more pass. All are whole: the one at the border is taken if that lands nearer the target (or as near), and does not pass ``most``.
+With ``cut``, which is off by default, the last one is cut instead, so the words taken are the target to the word.
 
 Dealing: the permuted documents of a source lie in blocks of ``block_docs``; its number of blocks is its exact quota. A tree
 splits the quotas of all sources among the output shards: each node draws, by a multivariate hypergeometric, how many blocks
@@ -26,8 +26,8 @@ from beamwright.llm.common import attach_by_key, written
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_DOCS = 1024
 """Documents per stretch of a permuted order; stretches are numbered apart and then joined by their sums."""
-EXACT_POPULATION = 1_000_000_000
-"""Beyond this the drawing routine takes no population; a normal draw with the same mean and variance stands in."""
+PLACES = 1 << 14
+"""The most blocks that are drawn place by place."""
 FAN_OUT = 16
 
 
@@ -70,17 +70,21 @@ def targets(light: DataFrame, weights=(1, 2, 3), most: float = 3.0) -> DataFrame
     return per.select("source_key", "docs", F.col("docs").alias("n_docs"), "source_size", target.alias("target"))
 
 
-def _split(left: int, counts: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """How many of ``left`` drawn blocks come from each source."""
-    if counts.sum() < EXACT_POPULATION:
-        return rng.multivariate_hypergeometric(counts, left, method="marginals")
-    out, rest, draw = np.zeros_like(counts), int(counts.sum()), left
-    for i, n in enumerate(map(int, counts)):
-        p = draw / rest if rest else 0.0
-        spread = (n * p * (1 - p) * (rest - n) / max(rest - 1, 1)) ** 0.5
-        out[i] = min(max(round(rng.normal(n * p, spread)), draw - (rest - n), 0), n, draw)
-        rest, draw = rest - n, draw - int(out[i])
-    return out
+def drawn(left: int, counts: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """How many of ``left`` blocks drawn without replacement come from each source: a multivariate hypergeometric, at any size.
+
+    Every block is taken with the same probability, which gives a binomial per source; whatever their number, those taken are a
+    fair sample of their size, and so stay one when blocks are drawn from them and put back, or drawn from the rest and added,
+    until there are ``left``. The correction is about the root of ``left``, so few rounds end at a small draw by places.
+    """
+    total = int(counts.sum())
+    if 2 * left > total:
+        return counts - drawn(total - left, counts, rng)
+    if left <= PLACES:
+        return np.bincount(np.searchsorted(np.cumsum(counts), rng.choice(total, left, replace=False), "right"), minlength=len(counts)) if left else np.zeros_like(counts)
+    taken = rng.binomial(counts, left / total)
+    over = int(taken.sum()) - left
+    return taken - drawn(over, taken, rng) if over > 0 else taken + drawn(-over, counts - taken, rng)
 
 
 def deal(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -96,7 +100,7 @@ def deal(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
         middle = (low + high) // 2
         total = int(counts.sum())
         rng = np.random.default_rng([seed, low, high])
-        left = _split(total * (middle - low) // (high - low), counts, rng)
+        left = drawn(total * (middle - low) // (high - low), counts, rng)
         yield from halves(low, middle, left, leaves // 2)
         yield from halves(middle, high, counts - left, leaves // 2)
 
@@ -127,7 +131,7 @@ def place(light: DataFrame, goal: DataFrame, seed: int) -> DataFrame:
         "words_before", F.coalesce("inner", F.lit(0)) + F.col("bucket_words")).drop("row", "inner", "docs_before", "bucket_words", "draw", "bucket")
 
 
-def plan(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, seed: int = 17, text: str = "text", cut: bool = True) -> DataFrame:
+def plan(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, seed: int = 17, text: str = "text", cut: bool = False) -> DataFrame:
     """Per document what the mix takes of it: whole ``passes``, then ``extra`` words of one more; (source_key, pos) names a document.
 
     ``extra`` is 0 or the document's size where ``cut`` is off.
@@ -170,7 +174,7 @@ def first_words(text: Column, words: Column) -> Column:
     return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*+[^\x20\x09-\x0D]++)"), 1), 1, words.cast("int")), "")
 
 
-def mixed(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, shards: int = 16, seed: int = 17, text: str = "text", cut: bool = True) -> DataFrame:
+def mixed(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, shards: int = 16, seed: int = 17, text: str = "text", cut: bool = False) -> DataFrame:
     """The mix itself: under ``doc`` each document as often as it is taken, its text cut where only its first words are, with shard and place.
 
     Rows equal in doc_id, source and text are told apart by number; they are interchangeable.

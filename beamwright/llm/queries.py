@@ -112,7 +112,7 @@ def op9(spark, folder):
 
 @query("op3_source_mix")
 def op3(spark, folder):
-    rows = mixing.dealt(mixing.plan(table(spark, folder, "documents").select("doc_id", "source", "text"), cut=False))
+    rows = mixing.dealt(mixing.plan(table(spark, folder, "documents").select("doc_id", "source", "text")))
     words = F.aggregate("units", F.lit(0).cast("long"), lambda total, unit: total + unit["words"])
     return rows.select("doc_id", "size", "source_size", "target", words.alias("taken"), F.col("units.shard").alias("shards"))
 
@@ -163,7 +163,7 @@ s AS (SELECT item_id, words, least(10, len(words)) AS l, unnest(range(1, len(wor
 bw AS (SELECT DISTINCT item_id, l, array_to_string(words[i:i + l - 1], ' ') AS w FROM s),
 p AS (SELECT r, words, l, unnest(range(1, len(words) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM bw) WHERE len(words) >= l),
 hit AS (SELECT r, i, p.l, item_id FROM p JOIN bw ON p.l = bw.l AND array_to_string(words[i:i + p.l - 1], ' ') = bw.w),
-n AS (SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(i, i + l)) AS at FROM hit) GROUP BY r),
+n AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + l)) AS place FROM hit) GROUP BY r),
 t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hit) GROUP BY r)
 SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
     n_hit IS NOT NULL AS contaminated

@@ -6,11 +6,11 @@ no anchor within ``reach`` words before or after it starts a chain too, so passa
 No count over the text decides, so a passage has the same signatures in any text, but for those near its ends.
 
 Sets are compared by Jaccard likeness. Sets whose sizes lie in the ratio r cannot be more alike than r, so comparisons go by
-classes of size: ``likeness`` does not look into sets too unequal to reach ``floor``, and ``near_pairs`` joins neighbouring
-classes only, over the rarest part of each set.
+classes of size: ``near_pairs`` joins neighbouring classes only, over the rarest part of each set, after equal fingerprints
+have become one class.
 
 Defined results: a null text is the empty text, whose fingerprint is empty; two empty fingerprints are alike (1), an empty
-and another are not (0); a likeness below ``floor`` is given as 0. In ``chained`` a document's next is the one before it by
+and another are not (0). In ``chained`` a document's next is the one before it by
 doc_id, nulls last, rows with equal doc_id by text; the last one's next is the first; a lone document is its own next. An
 empty table gives an empty table. Of the input only doc_id and the text are read.
 """
@@ -91,7 +91,7 @@ def text_of(fingerprint: np.ndarray) -> str:
     return base64.urlsafe_b64encode(fingerprint.astype(">u8").tobytes()).decode().rstrip("=")
 
 
-def likeness(a: np.ndarray, b: np.ndarray, floor: float = 0.05) -> float:
+def likeness(a: np.ndarray, b: np.ndarray, floor: float = 0.0) -> float:
     """Jaccard likeness; sets whose sizes alone keep it below ``floor`` are not looked at."""
     small, large = sorted((len(a), len(b)))
     if not large:
@@ -212,14 +212,18 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(work, f"doc {source.schema['doc'].dataType.simpleString()}, signatures array<bigint>")
 
 
-def near_pairs(printed: DataFrame, id_col: str, threshold: float = 0.75) -> DataFrame:
-    """Pairs (a, b, likeness) of different fingerprints with a likeness of ``threshold`` or more; ``id_col`` names each.
+def near_pairs(printed: DataFrame, id_col: str, threshold: float = 0.75) -> tuple[DataFrame, DataFrame]:
+    """Membership (id, class_id) of all rows, and pairs (a, b, likeness) of classes with a likeness of ``threshold`` or more.
 
-    Fingerprints fall into classes of size, each 1/threshold times as wide as the one before, and only meet in their own and the
+    Rows with equal fingerprints are one class, so copies are not paired with each other; null and repeated ids are members like any other. Classes
+    fall into size classes, each 1/threshold times as wide as the one before, and only meet in their own and the
     next. There a pair must share one of the first signatures of both, in the order of rarity, and have lengths that
-    allow the threshold from where they meet on.
+    allow the threshold from where they meet on. Empty fingerprints are one class that pairs with none.
     """
-    sets = printed.select(F.col(id_col).alias("id"), F.col("signatures").alias("s")).filter(F.size("signatures") > 0)
+    class_id = F.concat(F.hex(F.xxhash64("signatures")), F.hex(F.xxhash64(F.lit(1), "signatures")))
+    named = printed.select(F.col(id_col).alias("id"), class_id.alias("class_id"), F.col("signatures").alias("s"))
+    members = named.select("id", "class_id")
+    sets = named.filter(F.size("s") > 0).select(F.col("class_id").alias("id"), "s").dropDuplicates(["id"])
     sets = written(sets.withColumn("size", F.size("s")).withColumn("cls", F.floor(F.log("size") / F.log(F.lit(1 / threshold))).cast("int")), "spot-sets")
     each = sets.select("id", "size", "cls", F.explode("s").alias("sig"))
     often = each.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1")
@@ -237,4 +241,4 @@ def near_pairs(printed: DataFrame, id_col: str, threshold: float = 0.75) -> Data
     left, right = (sets.select(F.col("id").alias(c), F.col("s").alias(f"s_{c}")) for c in "ab")
     shared = F.size(F.array_intersect("s_a", "s_b"))
     found = pairs.join(left, "a").join(right, "b").withColumn("likeness", shared / (F.size("s_a") + F.size("s_b") - shared))
-    return found.filter(F.col("likeness") >= threshold).select("a", "b", "likeness")
+    return members, found.filter(F.col("likeness") >= threshold).select("a", "b", "likeness")
