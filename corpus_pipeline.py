@@ -15,8 +15,10 @@ SHARDS = 16
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose labelled neighbours vote for them; the others go."""
+    """Documents whose labelled neighbours vote for them; the others go. Without labels of both classes there is nothing to judge by: all stay."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality")
+    if not quality.can_judge(model):
+        return docs
     return quality.score(docs, model, threshold=0.7).filter("predicted = 1").select("doc.*")
 
 
@@ -44,10 +46,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: sources weigh 1, 2, 3 in turn, documents as often as they are taken, dealt to shards and shuffled there."""
+    """The mix: sources weigh 1, 2, 3 in turn, whole documents as often as they are taken, dealt to shards and shuffled there."""
     rows = mixing.mixed(docs, weights=(1, 2, 3), most=3.0, shards=SHARDS)
-    lengths = F.col("doc").withField("n_chars", F.length("doc.text").cast("long"))
-    return rows.select(lengths.alias("doc"), "shard", "place").repartition("shard").sortWithinPartitions("shard", "place").select("doc.*")
+    return rows.repartition("shard").sortWithinPartitions("shard", "place").select("doc.*")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +68,7 @@ STAGES = [
     ("byte-level BPE encoding", token_ids),
 ]
 
-# The votes of the first stage and the draws of the fourth have no form in SQL; tests/llm/test_pipeline.py has the brute-force version.
+# The votes of the first stage and the draws of the fourth have no form in SQL; tests/llm/test_tables.py has the brute-force version.
 ORACLE_SQL = None
 
 
