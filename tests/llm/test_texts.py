@@ -297,7 +297,8 @@ def test_spot_signatures(awkward, nothing, monkeypatch, wide):
 
 def test_spot_pairs(spark, awkward):
     """Classes and the pairs between them, with null and repeated ids and sixty copies, are those of all pairs."""
-    copies = spark.createDataFrame([(1000 + i, "this is the text that was copied and copied again for all of them") for i in range(60)], "doc_id bigint, text string")
+    copies = spark.createDataFrame([(1000 + i, "this is the text that was copied and copied again for all of them") for i in range(60)]
+                                   + [(2000 + i, " ".join(f"the w{k if k != 60 * i else -i} v{k}" for k in range(250))) for i in range(4)], "doc_id bigint, text string")
     printed = spotsigs.fingerprints(awkward.select("doc_id", "text").union(copies)).select("doc.doc_id", "signatures")
     rows = [(r.doc_id, tuple(r.signatures)) for r in printed.collect()]
     members, pairs = (d.collect() for d in spotsigs.near_pairs(printed, "doc_id", 0.5))
