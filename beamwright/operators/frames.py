@@ -208,10 +208,15 @@ def output_number(table: DataFrame, start: int, step: int) -> DataFrame:
     return numbered_positions(table).withColumn("number", F.col("position") * step + start)
 
 
-def ordered_stack(files: DataFrame, prefix: int = 24) -> DataFrame:
-    """``files(scan_id, path)``: lexicographic path order gives z."""
-    out = segments.with_row_number(files, ["scan_id"], ["path"], segments.prefix_segment(F.col("path"), prefix), "_p")
-    return out.withColumn("z", (F.col("_p") - 1).cast("int")).drop("_p")
+def ordered_stack(files: DataFrame) -> DataFrame:
+    """``files(scan_id, path)``: lexicographic path order gives z.
+
+    All scans are cut together into even stretches by sampled splitters; a stretch numbers its own paths and
+    starts where the scan's stretches before it end.
+    """
+    cut = segments.with_range_segment(files, ["scan_id"], ["path"])
+    out = segments.with_row_number(cut, ["scan_id"], ["path"], F.col("_range"), "_p")
+    return out.withColumn("z", (F.col("_p") - 1).cast("bigint")).drop("_p", "_range")
 
 
 def with_chunk(table: DataFrame, size: int = 100) -> DataFrame:

@@ -10,6 +10,8 @@ result is the same as that of the plain window.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from beamwright.session import materialise
+
 
 def time_segment(ts: Column, seconds: int = 3600) -> Column:
     return F.floor(F.unix_micros(ts) / (seconds * 1000000))
@@ -24,6 +26,15 @@ def prefix_segment(text: Column, length: int) -> Column:
     return F.substring(text, 1, length)
 
 
+def with_range_segment(df: DataFrame, keys: list, order: list, name: str = "_range") -> DataFrame:
+    """Number the stretches of the whole table in the order of (keys, order).
+
+    Spark samples the rows and takes splitters that cut the table into partitions of about equal size, whatever the values look
+    like; rows that tie stay together. The numbers are written down, as a partition computed again may be cut elsewhere.
+    """
+    return materialise(df.repartitionByRange(*keys, *order).withColumn(name, F.spark_partition_id()), "ranges")
+
+
 LINK = ["_key", "_seg"]
 
 

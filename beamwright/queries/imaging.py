@@ -316,10 +316,18 @@ def _(t):
 
 
 @query("ordered_stack", f"""WITH {b.SOURCE} SELECT split_part(rel_path, '/', 2) AS scan_id, rel_path AS path,
-  CAST(row_number() OVER (PARTITION BY split_part(rel_path, '/', 2) ORDER BY rel_path) - 1 AS INTEGER) AS z FROM src""")
+  row_number() OVER (PARTITION BY split_part(rel_path, '/', 2) ORDER BY rel_path) - 1 AS z FROM src""")
 def _(t):
     files = b.source_files(t).select(F.split("rel_path", "/")[1].alias("scan_id"), F.col("rel_path").alias("path"))
-    return fr.ordered_stack(files, 28)
+    return fr.ordered_stack(files)
+
+
+@query("ordered_stack_deep", f"""WITH {b.SOURCE}, deep AS (SELECT 'one scan' AS scan_id, repeat('deep/', 40) || rel_path AS path FROM src)
+  SELECT scan_id, path, row_number() OVER (ORDER BY path) - 1 AS z FROM deep""")
+def _(t):
+    """All files in one scan, below a folder of 200 characters."""
+    deep = F.concat(F.repeat(F.lit("deep/"), 40), "rel_path")
+    return fr.ordered_stack(b.source_files(t).select(F.lit("one scan").alias("scan_id"), deep.alias("path")))
 
 
 @query("frame_stats", f"""WITH {b.TILES} SELECT scan_id, idx, min(v) AS low, max(v) AS high, round(avg(v), 6) + 0.0 AS mean, count(*) AS pixels,

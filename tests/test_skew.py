@@ -35,7 +35,7 @@ def test_prefix_segments_keep_text_order(spark):
     df = spark.range(500).select(F.lit("s").alias("scan_id"), F.md5(F.col("id").cast("string")).alias("path"))
     from beamwright.operators.frames import ordered_stack
 
-    got = [r.path for r in ordered_stack(df, 2).orderBy("z").collect()]
+    got = [r.path for r in ordered_stack(df).orderBy("z").collect()]
     assert got == sorted(got) and len(got) == 500
 
 
