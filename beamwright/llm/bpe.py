@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from beamwright.llm.common import give_back
+
 WINDOW = 1 << 18
 CACHED_PIECES = 300_000
 CACHED_LENGTH = 48
@@ -143,6 +145,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded
                 if decoded:
                     columns.append(pa.array([c.decode(k).decode("utf-8", "replace") for k in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names)
+        c.seen.clear()
+        give_back()
 
     names = ["doc", "ids", "starts", *(["decoded"] if decoded else [])]
     source = docs.select(F.struct("*").alias("doc"), F.col(text).alias("text"))

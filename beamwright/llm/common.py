@@ -1,7 +1,10 @@
 """Helpers shared by the corpus operators."""
 
+import ctypes
+import gc
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +67,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
     chosen = usable.groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
     return texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")).select("text", "label")
+
+
+def give_back() -> None:
+    """Return freed memory to the machine. Workers live on after a task, beside executors whose heaps have grown meanwhile."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
