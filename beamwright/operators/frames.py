@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beamwright.functions import pixels, values
-from beamwright.operators import segments
+from beamwright.operators import segments, selection
 from beamwright.plans.grouped import from_ray_blocks, grouped_reduce, in_ray_blocks
 
 
@@ -104,12 +104,15 @@ def opposing_pair(frames: DataFrame, scans: DataFrame) -> DataFrame:
 def reduce_reference(frames: DataFrame, kind: str, how: str = "mean", by: list = ("scan_id", "row"), ray_block: int = 512) -> DataFrame:
     """One reference row per (scan, row): mean or median of its frames, ray by ray.
 
-    Rays are independent, so each task reduces a block of them; whole rows
-    travel as arrays, never as one record per pixel.
+    Rays are independent, so each task averages a block of them; medians are found by narrowing histograms,
+    whatever the number of frames.
     """
-    reduce = {"mean": np.mean, "median": np.median}[how]
     rows = frames.filter(F.col("kind") == kind).select(*by, "values")
-    parts = grouped_reduce(in_ray_blocks(rows, ray_block), [*by, "block"], lambda a: reduce(a, axis=0))
+    if how == "median":
+        return selection.ray_quantiles(rows, list(by))
+    if how != "mean":
+        raise ValueError(f"how is 'mean' or 'median', not {how!r}")
+    parts = grouped_reduce(in_ray_blocks(rows, ray_block), [*by, "block"], lambda a: np.mean(a, axis=0))
     return from_ray_blocks(parts, list(by))
 
 

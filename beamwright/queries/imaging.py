@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from beamwright.functions import pixels, values
-from beamwright.operators import catalogue, center, imaging, pyramid, recon
+from beamwright.operators import catalogue, center, imaging, pyramid, recon, selection
 from beamwright.operators import frames as fr
 from beamwright.plans import chain
 from beamwright.plans.grouped import PROJECTION, grouped_kernel, mean_frame
@@ -173,6 +173,20 @@ def _(t):
     return out(fr.reduce_reference(b.frames(t), "dark", "median"), "scan_id", "row")
 
 
+_MEASURED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query("ray_quantiles", "WITH px AS (" + " UNION ALL ".join(
+    f"SELECT l_returnflag AS scan_id, {i} AS px, CAST({c} AS DOUBLE) AS v FROM lineitem" for i, c in enumerate(_MEASURED)) + """)
+  SELECT scan_id, px, round(quantile_cont(v, 0.25), 4) + 0.0 AS v FROM px GROUP BY ALL""")
+def _(t):
+    """Quartiles of very long series: every line item is a frame of four rays, in three scans."""
+    frames = t.lineitem.select(F.col("l_returnflag").alias("scan_id"), F.array(*[F.col(c).cast("double") for c in _MEASURED]).alias("values"))
+    found = selection.ray_quantiles(frames, ["scan_id"], 0.25)
+    rays = found.select("scan_id", F.posexplode("values").alias("px", "v"))
+    return rays.withColumn("v", F.round("v", 4) + F.lit(0.0))
+
+
 @query("mean_frame", f"WITH {b.FRAMES} SELECT scan_id, row, px, round(avg(v), 6) + 0.0 AS v FROM px WHERE kind = 'dark' GROUP BY ALL")
 def _(t):
     g = b.frames(t).filter("kind = 'dark'").groupBy("scan_id", "row").agg(mean_frame()("values").alias("values"))
