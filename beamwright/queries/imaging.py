@@ -5,8 +5,9 @@ import math
 from pyspark.sql import functions as F
 
 from beamwright.functions import pixels, values
-from beamwright.operators import catalogue, center, imaging, pyramid, recon, selection
+from beamwright.operators import catalogue, center, imaging, pyramid, recon
 from beamwright.operators import frames as fr
+from beamwright.operators.selection import ray_quantiles
 from beamwright.plans import chain
 from beamwright.plans.grouped import PROJECTION, grouped_kernel, mean_frame
 from beamwright.queries import bindings as b
@@ -182,7 +183,7 @@ _MEASURED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 def _(t):
     """Quartiles of very long series: every line item is a frame of four rays, in three scans."""
     frames = t.lineitem.select(F.col("l_returnflag").alias("scan_id"), F.array(*[F.col(c).cast("double") for c in _MEASURED]).alias("values"))
-    found = selection.ray_quantiles(frames, ["scan_id"], 0.25)
+    found = ray_quantiles(frames, ["scan_id"], 0.25)
     rays = found.select("scan_id", F.posexplode("values").alias("px", "v"))
     return rays.withColumn("v", F.round("v", 4) + F.lit(0.0))
 

@@ -378,17 +378,27 @@ def _(t):
     return catalogue.scientific_metadata(b.scan_meta(t)).select("scan_id", F.explode("scientific_metadata").alias("key", "j"))
 
 
-@query("ingest_verdict", f"""WITH {b.META}, {b.SCAN_FILES}, {_PIVOT}, i AS ({_MISSING.format(k=_keys_sql(fixed.CATALOGUE_KEYS))}
+_VERDICT = f"""WITH {b.META}, {b.SCAN_FILES}, {_PIVOT}, i AS ({_MISSING.format(k=_keys_sql(fixed.CATALOGUE_KEYS))}
   UNION ALL {_MISSING.format(k=_keys_sql(fixed.SCIENTIFIC_KEYS))}),
 e AS (SELECT scan_id FROM sf LEFT JOIN pv USING (scan_id) WHERE fn IS NULL)
 SELECT sf.scan_id, (SELECT count(*) FROM i WHERE i.scan_id = sf.scan_id) AS warnings,
   (SELECT count(*) FROM e WHERE e.scan_id = sf.scan_id) AS errors,
-  (SELECT count(*) FROM e WHERE e.scan_id = sf.scan_id) = 0 AS ok FROM sf""")
+  (SELECT count(*) FROM e WHERE e.scan_id = sf.scan_id) = 0 AS ok FROM sf"""
+
+
+@query("ingest_verdict", _VERDICT)
 def _(t):
     _, issues = registry.run_ingestor("scan", b.scan_meta(t), b.scan_files(t))
     return catalogue.ingest_verdict(b.scan_files(t), issues, strict=False)
 
 
+@query("ingest_verdict_strict", f"SELECT scan_id, warnings, errors, ok AND warnings = 0 AS ok FROM ({_VERDICT})")
+def _(t):
+    """As the batch ingestor judges by default: a warning fails a scan too."""
+    _, issues = registry.run_ingestor("scan", b.scan_meta(t), b.scan_files(t))
+    return catalogue.ingest_verdict(b.scan_files(t), issues)
+
+
 @query("register_ingestor", f"""WITH {b.META}, {b.SCAN_FILES}, {_PIVOT}
 SELECT scan_id, 'dataset not found ' || key AS msg FROM sf JOIN {_keys_sql(fixed.CATALOGUE_KEYS)} ON true ANTI JOIN meta USING (scan_id, key)
 UNION ALL SELECT scan_id, 'no file name' FROM sf LEFT JOIN pv USING (scan_id) WHERE fn IS NULL""")

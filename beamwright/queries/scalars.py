@@ -96,13 +96,16 @@ def _(t):
     return t.embeddings.select("vec_id", values.json_safe(noisy).alias("js"))
 
 
-@query("decimate", f"""WITH {b.META}, e AS (SELECT scan_id, num_list AS a, len(num_list) AS n,
-  greatest(1, len(num_list) // 10) AS step FROM meta WHERE key LIKE '%exposure_time')
-SELECT scan_id, array_to_string(list_transform(list_filter(range(n), lambda i: i % step = 0),
-  lambda i: CAST(CAST(a[i + 1] AS INTEGER) AS VARCHAR)), ',') AS sample FROM e""")
+_SAMPLED = ", ".join(f"'{k}'" for k in fixed.SAMPLE_KEYS)
+
+
+@query("decimate", f"""WITH {b.META}, e AS (SELECT scan_id, key, num_list AS a, len(num_list) AS n,
+  greatest(1, len(num_list) // 10) AS step FROM meta WHERE key IN ({_SAMPLED}) AND num_list IS NOT NULL)
+SELECT scan_id, key, array_to_string(list_transform(list_filter(range(n), lambda i: i % step = 0),
+  lambda i: CAST(CAST(round(1000 * a[i + 1]) AS BIGINT) AS VARCHAR)), ',') AS sample FROM e""")
 def _(t):
-    s = catalogue.data_sample(b.scan_meta(t), keys=[fixed.SAMPLE_KEYS[9]])
-    return s.select("scan_id", F.array_join(F.transform("sample", lambda x: x.cast("int").cast("string")), ",").alias("sample"))
+    s = catalogue.data_sample(b.scan_meta(t))
+    return s.select("scan_id", "key", F.array_join(F.transform("sample", lambda x: F.round(1000 * x).cast("bigint").cast("string")), ",").alias("sample"))
 
 
 @query("coerce_value", f"""WITH {b.META} SELECT scan_id, key,
