@@ -241,3 +241,24 @@ def test_pipeline_with_awkward_documents(spark, awkward, nothing, tmp_path):
         assert {(r.doc_id, r.text) for r in now.collect()} <= before
         out = p.run(spark, folder)
         assert (out.count() == 0) == (k == 2)
+
+
+def test_votes_match_a_plain_loop():
+    """Nearest neighbours and their votes, one cosine at a time; word terms tell texts of equal shapes apart."""
+    rng = np.random.default_rng(4)
+    vectors = quality.unit(rng.normal(size=(60, 5)))
+    labels = rng.integers(0, 2, 60).astype(float)
+    model = {"weights": rng.random(quality.TERMS).astype(np.float32), "basis": rng.normal(size=(quality.TERMS, 5)), "vectors": vectors, "labels": labels, "mean": 0.25}
+    texts = ["the good results were found", "xqz kjhg zzzzzzz qwer plmok", "", "A line\nA line\n12 34", "x" * 300, "the good results were found the good"]
+    rows = quality.matrix(quality.Terms(), texts)
+    assert not (rows[0, quality.STYLE :] == rows[1, quality.STYLE :]).all() and rows[0].sum() > 0
+    got = quality.votes(model, rows, k=7, power=3.0)
+    for row, score in zip(rows.astype(float), got):
+        place = [float(sum(row[i] * model["weights"][i] * model["basis"][i, j] for i in np.flatnonzero(row))) for j in range(5)]
+        length = sum(x * x for x in place) ** 0.5
+        near = sorted(((sum(a * b for a, b in zip(place, v)) / length if length else 0.0, y) for v, y in zip(vectors, labels)), key=lambda x: -x[0])[:7]
+        weight = [max(c, 0.0) ** 3 for c, _ in near]
+        want = sum(w * y for w, (_, y) in zip(weight, near)) / sum(weight) if sum(weight) else 0.25
+        assert score == pytest.approx(want, abs=1e-4)
+    counts = rows[5, quality.STYLE :] ** 2  # the root is undone
+    assert counts.sum() == pytest.approx(7) and sorted(counts[counts > 0].round().tolist()) == [1, 1, 1, 2, 2]
