@@ -42,9 +42,23 @@ def tune(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+def shared(master: str, folder: str) -> bool:
+    """Whether all executors reach the folder: they are threads of one machine, or it is in a store."""
+    one_machine = master == "local" or master.startswith("local[")
+    return one_machine or ("://" in folder and not folder.startswith("file:"))
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the shared folder the cluster names, else below the warehouse, which all executors reach too."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    """A new folder below the shared folder the cluster names, else below the warehouse.
+
+    A warehouse on a machine's own disk serves a local session only: elsewhere each executor would write to its own.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not shared(spark.conf.get("spark.master", "local"), warehouse):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"{warehouse}/scratch"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

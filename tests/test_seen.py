@@ -9,7 +9,7 @@ from test_streams import staged
 
 from beamwright import fixed
 from beamwright.operators import frames, segments
-from beamwright.session import scratch_dir
+from beamwright.session import scratch_dir, shared
 from beamwright.streaming import seen
 
 
@@ -73,3 +73,8 @@ def test_ranks_with_long_common_prefixes_and_a_hot_scan(spark):
     assert Counter(tuple(r) for r in frames.ordered_stack(files).collect()) == Counter(want)
     sizes = [r["count"] for r in segments.with_range_segment(files, ["scan_id"], ["path"]).groupBy("_range").count().collect()]
     assert len(sizes) > 2 and max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
+def test_scratch_folders_are_shared_or_refused():
+    assert shared("local[8]", "/home/w") and shared("local", "file:/home/w") and shared("spark://host:7077", "hdfs://nn/w")
+    assert not shared("spark://host:7077", "file:/home/w") and not shared("yarn", "/home/w") and not shared("local-cluster[3,2,1000]", "/home/w")
