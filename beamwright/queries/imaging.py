@@ -377,11 +377,12 @@ def _(t):
     return t.spark.read.parquet(where).select("scan_id", "file_name", "row")
 
 
-@query("pyramid_sink", f"""WITH {b.NUMBERED}, s AS (SELECT scan_id, max(k) + 1 AS n FROM nb GROUP BY scan_id), l AS (SELECT scan_id, n, unnest([0, 1]) AS level FROM s)
-SELECT scan_id, CAST(level AS INTEGER) AS level, CAST(CASE level WHEN 0 THEN n * 8 ELSE (n + 1) // 2 * 4 END AS BIGINT) AS lines, 1.25 * pow(2, level) AS scale_um FROM l""")
+@query("pyramid_sink", f"""WITH {b.NUMBERED}, s AS (SELECT scan_id, max(k) + 1 AS n FROM nb GROUP BY scan_id),
+l AS (SELECT scan_id, n, level FROM s JOIN (SELECT unnest(range(4)) AS level) ON level = 0 OR least(n, 8) > pow(2, level - 1))
+SELECT scan_id, CAST(level AS INTEGER) AS level, CAST(ceil(n / pow(2, level)) * 8 / pow(2, level) AS BIGINT) AS lines, 1.25 * pow(2, level) AS scale_um FROM l""")
 def _(t):
     where = scratch_dir(t.spark, "pyramid")
-    levels, scales = pyramid.multires_pyramid(volume(t), tile_scans(t), min_size=4)
+    levels, scales = pyramid.multires_pyramid(volume(t), tile_scans(t), min_size=1)
     sinks.write_pyramid(levels, scales, where)
     back = t.spark.read.parquet(f"{where}/levels").groupBy("scan_id", "level").agg(F.count(F.lit(1)).alias("lines"))
     sc = t.spark.read.parquet(f"{where}/scales").filter("axis = 'x'").select("scan_id", "level", "scale_um")
@@ -610,15 +611,29 @@ def volume(t):
 _KERNEL = "(VALUES " + ", ".join(f"({k - 2}, {w!r}::DOUBLE)" for k, w in enumerate(pyramid.kernel())) + ") w{a}(d{a}, w{a})"
 
 
-@query("multires_pyramid", f"""WITH {b.TILES}, s AS (SELECT scan_id, max(k) AS last FROM nb GROUP BY scan_id),
-x AS (SELECT scan_id, idx, row, m AS x, sum(v * wx) AS v FROM (SELECT unnest(range(4)) AS m) JOIN {_KERNEL.format(a='x')} ON true JOIN ti ON ti.px = greatest(0, least(7, 2 * m + dx)) GROUP BY ALL),
-y AS (SELECT scan_id, idx, m AS y, x, sum(v * wy) AS v FROM (SELECT unnest(range(4)) AS m) JOIN {_KERNEL.format(a='y')} ON true JOIN x ON x.row = greatest(0, least(7, 2 * m + dy)) GROUP BY ALL),
-zm AS (SELECT scan_id, last, unnest(range(last // 2 + 1)) AS m FROM s),
-z AS (SELECT zm.scan_id, m AS z, y, x, sum(v * wz) AS v FROM zm JOIN {_KERNEL.format(a='z')} ON true JOIN y ON y.scan_id = zm.scan_id AND y.idx = greatest(0, least(last, 2 * m + dz)) GROUP BY ALL)
-SELECT scan_id, 1 AS level, CAST(z AS INTEGER) AS z, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS px, round(v, 6) + 0.0 AS v FROM z
-UNION ALL SELECT scan_id, 0, idx, CAST(row AS INTEGER), CAST(px AS INTEGER), round(v, 6) + 0.0 FROM ti""")
+def _level_sql(k):
+    """Level ``k`` from the level before it, of the scans whose smallest side was still above one."""
+    side, sides = 8 >> (k - 1), 8 >> k
+
+    def halved(name, source, axis, others, last):
+        return (f"{name}{k} AS (SELECT {others}, m AS {axis}, sum(v * w{axis}) AS v FROM (SELECT unnest(range({sides})) AS m) "
+                f"JOIN {_KERNEL.format(a=axis)} ON true JOIN {source} p ON p.{axis} = greatest(0, least({last}, 2 * m + d{axis})) GROUP BY ALL)")
+
+    return f""",
+h{k} AS (SELECT scan_id, unnest(range(last // 2 + 1)) AS m, last FROM (SELECT scan_id, CAST(ceil(n / {2 ** (k - 1)}) AS BIGINT) - 1 AS last FROM s WHERE least(n, 8) > {2 ** (k - 1)})),
+{halved("x", f"l{k - 1}", "x", "scan_id, z, y", side - 1)},
+{halved("y", f"x{k}", "y", "scan_id, z, x", side - 1)},
+l{k} AS (SELECT h.scan_id, m AS z, y, x, sum(v * wz) AS v FROM h{k} h JOIN {_KERNEL.format(a='z')} ON true
+  JOIN y{k} p ON p.scan_id = h.scan_id AND p.z = greatest(0, least(last, 2 * m + dz)) GROUP BY ALL)"""
+
+
+@query("multires_pyramid", f"""WITH {b.TILES}, s AS (SELECT scan_id, max(k) + 1 AS n FROM nb GROUP BY scan_id),
+l0 AS (SELECT scan_id, idx AS z, row AS y, px AS x, v FROM ti)""" + "".join(_level_sql(k) for k in (1, 2, 3)) + " UNION ALL ".join(
+    f" SELECT scan_id, {k} AS level, CAST(z AS INTEGER) AS z, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS px, round(v, 6) + 0.0 AS v FROM l{k}"
+    for k in range(4)))
 def _(t):
-    levels, _ = pyramid.multires_pyramid(volume(t), tile_scans(t), min_size=4)
+    """Every level down to a single line."""
+    levels, _ = pyramid.multires_pyramid(volume(t), tile_scans(t), min_size=1)
     return out(levels, "scan_id", "level", "z", "y")
 
 

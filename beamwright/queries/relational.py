@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from beamwright import fixed
 from beamwright.functions import paths, text, values
-from beamwright.operators import catalogue, inventory, jobs, retention, routing, transfers
+from beamwright.operators import catalogue, digests, inventory, jobs, retention, routing, transfers
 from beamwright.plans import registry
 from beamwright.queries import bindings as b
 from beamwright.queries.core import NOW, now, query, stamp
@@ -82,6 +82,13 @@ def _(t):
     return inventory.sync_plan(b.source_files(t), b.check_files(t)).select("rel_path", "action")
 
 
+@query("sync_plan_tree", f"""WITH {b.SOURCE}, {b.CHECK}, pl AS (SELECT src.rel_path, CASE WHEN chk.rel_path IS NULL THEN 'COPY_NEW'
+  WHEN src.checksum IS NOT DISTINCT FROM chk.checksum THEN 'SKIP_SAME' ELSE 'COPY_CHANGED' END AS action FROM src LEFT JOIN chk USING (rel_path))
+SELECT rel_path, action, bool_or(action <> 'SKIP_SAME') OVER (PARTITION BY regexp_replace(rel_path, '/[^/]*$', '')) AS compared FROM pl""")
+def _(t):
+    return digests.tree_sync_plan(b.source_files(t), b.check_files(t)).select("rel_path", "action", "compared")
+
+
 @query("expand_directories", f"""WITH {b.SOURCE}, rq AS (SELECT DISTINCT 'raw/BLS-' || lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0')
   || '_user' || CAST(c_custkey % 50 AS VARCHAR) AS dir_path FROM customer)
 SELECT dir_path, rel_path, '/dest/' || regexp_replace(rel_path, '^raw/', '') AS dest_path
@@ -378,7 +385,7 @@ def _(t):
     return catalogue.scientific_metadata(b.scan_meta(t)).select("scan_id", F.explode("scientific_metadata").alias("key", "j"))
 
 
-_VERDICT = f"""WITH {b.META}, {b.SCAN_FILES}, {_PIVOT}, i AS ({_MISSING.format(k=_keys_sql(fixed.CATALOGUE_KEYS))}
+_INGEST = f"""WITH {b.META}, {b.SCAN_FILES}, {_PIVOT}, i AS ({_MISSING.format(k=_keys_sql(fixed.CATALOGUE_KEYS))}
   UNION ALL {_MISSING.format(k=_keys_sql(fixed.SCIENTIFIC_KEYS))}),
 e AS (SELECT scan_id FROM sf LEFT JOIN pv USING (scan_id) WHERE fn IS NULL)
 SELECT sf.scan_id, (SELECT count(*) FROM i WHERE i.scan_id = sf.scan_id) AS warnings,
@@ -386,13 +393,13 @@ SELECT sf.scan_id, (SELECT count(*) FROM i WHERE i.scan_id = sf.scan_id) AS warn
   (SELECT count(*) FROM e WHERE e.scan_id = sf.scan_id) = 0 AS ok FROM sf"""
 
 
-@query("ingest_verdict", _VERDICT)
+@query("ingest_verdict", _INGEST)
 def _(t):
     _, issues = registry.run_ingestor("scan", b.scan_meta(t), b.scan_files(t))
     return catalogue.ingest_verdict(b.scan_files(t), issues, strict=False)
 
 
-@query("ingest_verdict_strict", f"SELECT scan_id, warnings, errors, ok AND warnings = 0 AS ok FROM ({_VERDICT})")
+@query("ingest_verdict_strict", f"SELECT scan_id, warnings, errors, ok AND warnings = 0 AS ok FROM ({_INGEST})")
 def _(t):
     """As the batch ingestor judges by default: a warning fails a scan too."""
     _, issues = registry.run_ingestor("scan", b.scan_meta(t), b.scan_files(t))
@@ -466,22 +473,45 @@ def _(t):
     return meta.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("num_value").alias("total"))
 
 
-@query("inventory_scan", f"""WITH {b.FRAMES} SELECT DISTINCT 'scan_id=' || scan_id || '/kind=' || kind AS folder, 'file' AS type, true AS sized FROM fr""")
+@query("inventory_scan", f"""WITH {b.FRAMES}, k AS (SELECT DISTINCT 'scan_id=' || scan_id AS scan, '/kind=' || kind AS kind FROM fr)
+SELECT DISTINCT scan AS path, 'dir' AS type, 1::BIGINT AS entries, 0::BIGINT AS sized FROM k
+UNION ALL SELECT scan || kind, 'dir', 1, 0 FROM k UNION ALL SELECT scan || kind, 'file', 1, 1 FROM k
+UNION ALL SELECT * FROM (VALUES ('.hidden', 'dir', 1, 0), ('.hidden', 'file', 2, 1), ('', 'file', 1, 0))""")
 def _(t):
+    """Folders of every level by path, hidden ones too, and the files in each; the writer's empty marker is a file as well.
+    The checksum files that some file systems put beside each file are not counted."""
     where = scratch_dir(t.spark, "frames")
     sinks.write_frames(b.frames(t), where)
-    inv = readers.inventory_scan(t.spark, where, "scratch").filter((F.col("type") == "file") & F.col("name").endswith(".parquet") & ~F.col("name").startswith("."))
-    return inv.select(paths.parent_dir(F.col("rel_path")).alias("folder"), "type", (F.col("size") > 0).alias("sized")).distinct()
-
-
-@query("catalogue_sink", _DATASET.replace("SELECT scan_id, coalesce(nullif(pi", "SELECT strftime(last_modified, '%Y-%m-%d') AS ingest_date, scan_id, coalesce(nullif(pi").split(", coalesce(nullif(inst")[0] + " FROM t")
-def _(t):
-    where = scratch_dir(t.spark, "catalogue")
-    recs = records(t)
-    dated = recs.withColumn("ingest_date", F.to_date("creation_time"))
-    sinks.write_catalogue({"datasets": dated}, where)
-    back = t.spark.read.parquet(f"{where}/datasets")
-    return back.select(F.col("ingest_date").cast("string").alias("ingest_date"), "scan_id", "owner")
+    t.region.coalesce(1).write.parquet(f"{where}/.hidden")
+    inv = readers.inventory_scan(t.spark, where, "scratch").filter("type = 'dir' or not name like '.%.crc'")
+    path = F.when(F.col("type") == "dir", F.col("rel_path")).otherwise(paths.parent_dir(F.col("rel_path")))
+    return inv.groupBy(path.alias("path"), "type").agg(F.count(F.lit(1)).alias("entries"), F.count_if(F.col("size") > 0).alias("sized"))
+
+
+_DATED = "ds AS (SELECT *, substr(creation_time, 1, 10) AS ingest_date FROM (" + _DATASET + "))"
+
+
+@query("catalogue_sink", f"""WITH {b.SOURCE}, {b.ORDER_FILES}, {_DATED}
+SELECT 'datasets' AS "table", * FROM ds
+UNION ALL BY NAME SELECT 'datablocks' AS "table", scan_id, ingest_date, of.size, replace(path, '/data/raw', '/store/raw') AS file FROM of JOIN ds USING (scan_id)
+UNION ALL BY NAME SELECT 'attachments' AS "table", scan_id, ingest_date, owner_group, access_groups, 'raw image' AS caption,
+  'data:image/jpg;base64,' || to_base64(encode(c_name)) AS thumbnail FROM customer JOIN ds ON scan_id = CAST(c_custkey AS VARCHAR)""")
+def _(t):
+    """All three tables, written by ingest date and read back whole."""
+    where, recs = scratch_dir(t.spark, "catalogue"), records(t)
+    days = recs.select("scan_id", F.to_date("creation_time").alias("ingest_date"))
+    tables = {"datasets": recs, "datablocks": blocks(t), "attachments": catalogue.attachments(thumbs(t), recs)}
+    sinks.write_catalogue({name: df.join(days, "scan_id") for name, df in tables.items()}, where)
+    groups = F.array_join("access_groups", "|").alias("access_groups")
+    back = {name: t.spark.read.parquet(f"{where}/{name}").withColumn("table", F.lit(name)) for name in tables}
+    head = ("table", "scan_id", F.col("ingest_date").cast("string").alias("ingest_date"))
+    datasets = back["datasets"].select(
+        *head, "owner", "creation_location", "dataset_name", "type", "proposal_id", "data_format", "source_folder", "size", "description",
+        "is_published", stamp("creation_time").alias("creation_time"), "owner_group", groups)
+    files = back["datablocks"].select(*head, F.explode("data_files").alias("f")).select(
+        "table", "scan_id", "ingest_date", F.col("f.size").alias("size"), F.col("f.path").alias("file"))
+    pictures = back["attachments"].select(*head, "owner_group", groups, "caption", "thumbnail")
+    return datasets.unionByName(files, allowMissingColumns=True).unionByName(pictures, allowMissingColumns=True)
 
 
 @query("metric_sink", f"WITH {_ROUTED} SELECT machine, count(*) AS n, sum(bytes)::BIGINT AS total FROM ro WHERE bytes > 0 GROUP BY machine")
@@ -491,13 +521,25 @@ def _(t):
     return t.spark.read.parquet(where).groupBy("machine").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes_transferred").alias("total"))
 
 
-@query("plan_sink", f"""WITH {b.SOURCE}, {b.CHECK} SELECT 'A' AS endpoint_key, rel_path, CASE WHEN chk.rel_path IS NULL THEN 'COPY_NEW' ELSE 'COPY_CHANGED' END AS action
-  FROM src LEFT JOIN chk USING (rel_path) WHERE chk.rel_path IS NULL OR src.checksum <> chk.checksum""")
+@query("plan_sink", f"""WITH {b.SOURCE}, {b.CHECK}, sy AS (SELECT rel_path, CASE WHEN chk.rel_path IS NULL THEN 'COPY_NEW'
+  WHEN src.checksum IS DISTINCT FROM chk.checksum THEN 'COPY_CHANGED' END AS action FROM src LEFT JOIN chk USING (rel_path))
+SELECT 'A' AS endpoint_key, rel_path, action, NULL::VARCHAR AS verdict, NULL::VARCHAR AS due_at, NULL::VARCHAR AS run_name FROM sy WHERE action IS NOT NULL
+UNION ALL SELECT location, rel_path, 'PRUNE', {_VERDICT}, strftime(CAST(src.last_modified + to_days(days) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S'),
+  'delete ' || location || ': ' || split_part(rel_path, '/', 3)
+FROM src LEFT JOIN chk USING (rel_path) JOIN (VALUES ('spot832', 2), ('data832', 3)) v(location, days) ON true""".replace(
+    "chk.rel_path IS NULL THEN 'NO", "chk.last_modified IS NULL THEN 'NO"))
 def _(t):
+    """What to copy, and what to delete by the rule table: when it is due and what the guard says now."""
     where = scratch_dir(t.spark, "plan")
-    plan = inventory.sync_plan(b.source_files(t), b.check_files(t)).filter(F.col("action") != "SKIP_SAME")
-    sinks.write_plan(plan, where)
-    return t.spark.read.parquet(where).select("endpoint_key", "rel_path", "action")
+    copies = inventory.sync_plan(b.source_files(t), b.check_files(t)).filter(F.col("action") != "SKIP_SAME").select("endpoint_key", "rel_path", "action")
+    kinds = b.source_files(t).select(F.lit("file").alias("path_kind"), F.col("rel_path").alias("path"), F.col("last_modified").alias("created_at"))
+    requests = retention.retention_schedule(kinds, "move").select(
+        F.col("path").alias("rel_path"), F.col("location").alias("endpoint_key"), "due_at", "run_name", F.lit("A").alias("source"), F.lit("B").alias("check"))
+    prunes = inventory.prune_guard(requests, both(t), now(), 1000).select(
+        "endpoint_key", "rel_path", F.lit("PRUNE").alias("action"), "verdict", "due_at", "run_name")
+    sinks.write_plan(copies.unionByName(prunes, allowMissingColumns=True), where)
+    back = t.spark.read.parquet(where)
+    return back.select("endpoint_key", "rel_path", "action", "verdict", stamp("due_at").alias("due_at"), "run_name")
 
 
 @query("scan_geometry", f"""WITH {b.META}, g AS (SELECT scan_id, max(CASE WHEN key LIKE '%num_angles' THEN num_value END) AS n,

@@ -18,9 +18,12 @@ def write_frames(frames: DataFrame, path: str, rows_per_file: int = 0) -> None:
 
 
 def write_catalogue(tables: dict, path: str) -> None:
-    """Datasets, datablocks, attachments: one folder each, by ingest date."""
+    """Datasets, datablocks, attachments: one folder each, by ingest date.
+
+    Rows of a date come together first, so a date gets few files; a date with very many rows is split between tasks.
+    """
     for name, df in tables.items():
-        df.write.mode("append").partitionBy("ingest_date").parquet(f"{path}/{name}")
+        df.hint("rebalance", F.col("ingest_date")).write.mode("append").partitionBy("ingest_date").parquet(f"{path}/{name}")
 
 
 def named_stack(df: DataFrame, prefix: Column, position: str, start: int = 0, step: int = 1, suffix: str = "") -> DataFrame:
