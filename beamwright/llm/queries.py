@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beamwright.llm import align, bpe, decontam, jaccard, lines, mixing, periodic, quality, spotsigs, tokencount, toxicity, vptree, warc
-from beamwright.llm.common import table
+from beamwright.llm.common import table, written
 from beamwright.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,14 +138,17 @@ def op4(spark, folder):
 @query("op2_token_counts")
 def op2(spark, folder):
     """Three edits a document, by its length: a passage put in at the middle, a tenth cut out from the first quarter on, and a
-    word written over the third character from the end."""
+    word written over the third character from the end. The trees are written first; the edits are applied to the written table."""
     docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n = F.length("text")
     change = lambda start, length, text: F.struct(
         start.cast("int").alias("start"), (start + length).cast("int").alias("end"), F.lit(text).alias("replacement"))
     edits = F.array(change(F.floor(n / 2), F.lit(0), " an added\n\n passage of 12 words"), change(F.floor(n / 4), F.floor(n / 10), ""), change(n - 3, F.lit(1), "X's "))
-    rows = tokencount.recount(docs.withColumn("edits", edits), ENGLISH, public_tokenizers.PATTERN, whole=False)
-    return rows.select("doc.doc_id", "n_tokens", "n_tokens_edited", "n_chars_reencoded", "edited_sha256")
+    store = written(tokencount.stored(docs.withColumn("edits", edits), ENGLISH, public_tokenizers.PATTERN), "segments")
+    rows = tokencount.apply_edits(store, F.col("doc.edits"), ENGLISH, public_tokenizers.PATTERN)
+    return rows.select(
+        "doc.doc_id", F.col("n_tokens_before").alias("n_tokens"), F.col("n_tokens").alias("n_tokens_edited"), "n_chars_reencoded",
+        F.sha2(F.col("text").cast("binary"), 256).alias("edited_sha256"))
 
 
 @query("op11_token_alignment")

@@ -8,6 +8,9 @@ renews the sums on the way up; the rest keeps its counts. The result equals a co
 Defined results: a null text is the empty text with no tokens; edits apply one after the other to the text so far, their bounds
 are drawn into it, and a null replacement is empty; a document without edits keeps its counts; a text without a place to cut is
 one segment. Repeated rows are documents each; an empty table gives an empty table. Other columns pass through.
+
+``stored`` makes the trees a table: a text with the characters and tokens of its segments. ``apply_edits`` takes such a table and gives
+the next one; it encodes nothing but what the edits touch, and documents without edits pass by without leaving the JVM.
 """
 
 import hashlib
@@ -15,7 +18,7 @@ import re
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beamwright.llm.bpe import SPACE, read_ranks
@@ -147,3 +150,75 @@ def recount(docs: DataFrame, path: str, pattern: str, text: str = "text", edits:
     kinds = ["bigint", "bigint", "bigint", "string", "string", "array<int>"]
     fields = ", ".join(f"{n} {k}" for n, k in zip(names, kinds))
     return source.mapInArrow(work, f"doc {source.schema['doc'].dataType.simpleString()}, {fields}")
+
+
+LENGTHS = pa.list_(pa.int32())
+STORE = "text string, segment_chars array<int>, segment_tokens array<int>, n_tokens bigint"
+
+
+def _row(tree: Node | None):
+    """A tree as its text and the leaves' characters and tokens."""
+    leaves = list(segments(tree))
+    return "".join(n.text for n in leaves), [n.chars for n in leaves], [n.tokens for n in leaves], tree.tokens if tree else 0
+
+
+def _tree(text: str, chars: list, tokens: list) -> Node | None:
+    """The tree of a stored row; nothing is encoded."""
+    leaves, start = [], 0
+    for length, count in zip(chars, tokens):
+        leaves.append(Node(length, count, text[start : start + length]))
+        start += length
+    return balanced(leaves)
+
+
+def _with_trees(rows: DataFrame, work, more: list) -> DataFrame:
+    """``work(batch)`` yields, for each row of a batch, the stored row of its tree and the ``more`` numbers."""
+    names = [*(f.split()[0] for f in STORE.split(", ")), *more]
+    kinds = [pa.string(), LENGTHS, LENGTHS, pa.int64(), *[pa.int64()] * len(more)]
+
+    def each(batches):
+        for batch in batches:
+            columns = list(zip(*work(batch))) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], ["doc", *names])
+
+    numbers = "".join(f", {n} bigint" for n in more)
+    return rows.mapInArrow(each, f"doc {rows.schema['doc'].dataType.simpleString()}, {STORE}{numbers}")
+
+
+def stored(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """The segment trees of ``docs``, to be written: other columns under ``doc``, text, segment_chars, segment_tokens and n_tokens.
+
+    The only place where whole texts are encoded. A null text is stored as the empty one, without segments.
+    """
+
+    def work(batch):
+        counter = Counter(path, pattern)
+        for value in batch.column(1):
+            yield _row(counter.build(value.as_py() or ""))
+
+    # an empty struct has no Arrow form, so a row number stands in where the text is the only column
+    others = [c for c in docs.columns if c != text]
+    doc = F.struct(*others) if others else F.struct(F.monotonically_increasing_id().alias("row"))
+    return _with_trees(docs.select(doc.alias("doc"), F.col(text).alias("text")), work, [])
+
+
+def apply_edits(store: DataFrame, edits: Column, path: str, pattern: str) -> DataFrame:
+    """The store after ``edits`` (an array of start, end, replacement; null or empty: none), with n_tokens_before and n_chars_reencoded.
+
+    Only documents with edits are read into trees; their sums follow from the touched segments.
+    """
+    held = ("doc", "text", "segment_chars", "segment_tokens", "n_tokens")
+    rows = store.select(*held, edits.alias("edits"))
+    touched = F.coalesce(F.size("edits") > 0, F.lit(False))
+
+    def work(batch):
+        counter = Counter(path, pattern)
+        for text, chars, tokens, before, changes in zip(*[batch.column(i) for i in range(1, 6)]):
+            tree, counter.encoded = _tree(text.as_py(), chars.as_py(), tokens.as_py()), 0
+            for change in changes.as_py():
+                tree = counter.edit(tree, change["start"], change["end"], change["replacement"] or "")
+            yield *_row(tree), before.as_py(), counter.encoded
+
+    changed = _with_trees(rows.filter(touched), work, ["n_tokens_before", "n_chars_reencoded"])
+    same = rows.filter(~touched).select(*held, F.col("n_tokens").alias("n_tokens_before"), F.lit(0).cast("bigint").alias("n_chars_reencoded"))
+    return changed.unionByName(same)

@@ -77,6 +77,37 @@ def test_token_counts_after_edits(awkward, nothing):
     assert tokencount.recount(nothing.withColumn("edits", edits), ENGLISH, PATTERN).count() == 0
 
 
+def test_stored_trees_take_edits(awkward, nothing):
+    """Two rounds of edits on a stored table against whole counts; unedited documents keep their row; nothing but the edits is encoded."""
+    enc = tiktoken_of(ENGLISH)
+    change = "array(named_struct('start', {}, 'end', {}, 'replacement', {}))"
+    first = F.expr(f"case when doc.n % 3 = 0 then {change.format(3, 9, chr(39) + 'put in' + chr(39))} when doc.n % 3 = 1 then {change.format(0, 0, 'cast(null as string)')} end")
+    second = F.expr(f"case when doc.n % 2 = 0 then {change.format(1, 4, chr(39) + ' x' + chr(39))} end")
+    docs = awkward.select("text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("n"), F.lit(1).alias("n_tokens"), F.lit(2).alias("segment_chars"))
+    start = tokencount.stored(docs, ENGLISH, PATTERN)
+    once = tokencount.apply_edits(start, first, ENGLISH, PATTERN)
+    twice = tokencount.apply_edits(once, second, ENGLISH, PATTERN)
+
+    def after(text, low, high, put):
+        low = min(low, len(text))
+        high = min(max(high, low), len(text))
+        return text[:low] + put + text[high:]
+
+    want = Counter()
+    for r in docs.collect():
+        t = r.text or ""
+        one = after(t, 3, 9, "put in") if r.n % 3 == 0 else t
+        two = after(one, 1, 4, " x") if r.n % 2 == 0 else one
+        want[(r.n, two, len(enc.encode_ordinary(one)), len(enc.encode_ordinary(two)))] += 1
+    rows = twice.collect()
+    assert Counter((r.doc.n, r.text, r.n_tokens_before, r.n_tokens) for r in rows) == want
+    for r in rows:
+        assert sum(r.segment_tokens) == r.n_tokens and sum(r.segment_chars) == len(r.text)
+        assert r.doc.n % 2 == 0 or r.n_chars_reencoded == 0
+    assert tokencount.apply_edits(tokencount.stored(nothing, ENGLISH, PATTERN), F.lit(None).cast("array<struct<start:int,end:int,replacement:string>>"), ENGLISH, PATTERN).count() == 0
+    assert tokencount.stored(docs.select("text"), ENGLISH, PATTERN).count() == docs.count()
+
+
 def test_edits_leave_the_rest_alone():
     counter = tokencount.Counter(ENGLISH, PATTERN, segment=64)
     text = "some words that go on and on " * 400
