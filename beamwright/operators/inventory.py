@@ -107,6 +107,11 @@ def expand_directories(requests: DataFrame, inventory: DataFrame) -> DataFrame:
     keep their path relative to the directory's parent.
     """
     entries = inventory.select("rel_path", F.explode(paths.ancestors(F.col("rel_path"))).alias("dir_path"))
+    return placed_below(entries, requests)
+
+
+def placed_below(entries: DataFrame, requests: DataFrame) -> DataFrame:
+    """Entries ``(rel_path, dir_path)`` with their requests and where they go."""
     parent = F.length(F.col("dir_path")) - F.length(paths.base_name(F.col("dir_path")))
     inner = F.substring(F.col("rel_path"), parent + 1, F.length("rel_path"))
     return entries.join(requests, "dir_path").withColumn("dest_path", paths.full_path(F.col("dest"), inner))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from beamwright import fixed
 from beamwright.functions import paths, text, values
-from beamwright.operators import catalogue, digests, inventory, jobs, retention, routing, transfers
+from beamwright.operators import catalogue, digests, intervals, inventory, jobs, retention, routing, transfers
 from beamwright.plans import registry
 from beamwright.queries import bindings as b
 from beamwright.queries.core import NOW, now, query, stamp
@@ -100,6 +100,22 @@ def _(t):
     return inventory.expand_directories(rq, b.source_files(t)).select("dir_path", "rel_path", "dest_path")
 
 
+@query("expand_directories_deep", f"""WITH {b.SOURCE}, deep AS (SELECT repeat('d/', 28) || rel_path AS rel_path FROM src), rq AS (
+  SELECT DISTINCT repeat('d/', 28) || 'raw/BLS-' || lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') || '_user' || CAST(c_custkey % 50 AS VARCHAR) AS dir_path FROM customer
+  UNION ALL SELECT 'd' UNION ALL SELECT repeat('d/', 14) || 'd')
+SELECT dir_path, rel_path, '/dest/' || substr(rel_path, length(regexp_replace(dir_path, '[^/]+$', '')) + 1) AS dest_path
+FROM deep JOIN rq ON starts_with(rel_path, dir_path || '/')""")
+def _(t):
+    """Folders 30 levels deep; requests for the lowest, for the highest and for one half-way."""
+    below = lambda path: F.concat(F.lit("d/" * 28), path)
+    lowest = t.customer.select(below(F.expr(
+        "concat('raw/BLS-', lpad(cast(c_custkey % 100000 as string), 5, '0'), '_user', cast(c_custkey % 50 as string))")).alias("dir_path")).distinct()
+    higher = t.spark.createDataFrame([("d",), ("d/" * 14 + "d",)], "dir_path string")
+    rq = lowest.unionByName(higher).withColumn("dest", F.lit("/dest/"))
+    files = b.source_files(t).withColumn("rel_path", below(F.col("rel_path")))
+    return intervals.expand_directories(rq, files).select("dir_path", "rel_path", "dest_path")
+
+
 @query("safe_paths", f"WITH {b.SOURCE}, {b.CHECK} SELECT rel_path FROM src INTERSECT SELECT rel_path FROM chk")
 def _(t):
     return inventory.safe_paths(b.source_files(t), b.check_files(t))
