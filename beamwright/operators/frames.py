@@ -132,13 +132,25 @@ def attach_references(tomo: DataFrame, flat: DataFrame, dark: DataFrame, bright_
     return tomo.join(both, ["scan_id", "row"])
 
 
+def issue(severity: str, msg) -> list:
+    """The columns of an issue row after its scan."""
+    return [F.lit(severity).alias("severity"), msg.alias("msg"), F.lit(None).cast("string").alias("exception")]
+
+
 def reference_issues(tomo: DataFrame, flat: DataFrame, dark: DataFrame) -> DataFrame:
     """An error issue for every scan with projections whose detector row has no flat or no dark."""
     both = flat.select("scan_id", "row").join(dark.select("scan_id", "row"), ["scan_id", "row"])
     bare = tomo.select("scan_id", "idx", "row").join(both, ["scan_id", "row"], "left_anti").groupBy("scan_id").agg(F.count(F.lit(1)).alias("n"))
-    return bare.select(
-        "scan_id", F.lit("error").alias("severity"), F.concat("n", F.lit(" detector rows without flat or dark")).alias("msg"),
-        F.lit(None).cast("string").alias("exception"))
+    return bare.select("scan_id", *issue("error", F.concat("n", F.lit(" detector rows without flat or dark"))))
+
+
+def geometry_issues(tomo: DataFrame, scans: DataFrame) -> DataFrame:
+    """An error issue for every scan with projections that has no geometry row, or no centre in it."""
+    centre = F.col("cor") if "cor" in scans.columns else F.lit(None)
+    known = scans.select("scan_id", F.lit(True).alias("_known"), centre.isNotNull().alias("_centred"))
+    found = tomo.select("scan_id").distinct().join(known, "scan_id", "left").filter("_known is null or not _centred")
+    msg = F.when(F.col("_known").isNull(), "no geometry").otherwise("no centre of rotation")
+    return found.select("scan_id", *issue("error", msg))
 
 
 def group_bounds(locations: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from beamwright import fixed
 from beamwright.functions import pixels
 from beamwright.operators import kernels
-from beamwright.operators.frames import numbered_positions
+from beamwright.operators.frames import issue, numbered_positions
 from beamwright.plans.grouped import PROJECTION, SINOGRAM, grouped_kernel, with_halo
 
 
@@ -108,6 +108,30 @@ def overlap_pixels(numrays: int, cor: float, numangles: int) -> int:
     return int(np.round(numrays - cor - (0.5 if numangles % 2 else 0.0)) * 2)
 
 
+def with_overlap(scans: DataFrame, numrays: Column) -> DataFrame:
+    """Scans with the overlap of their half turns, by their centre where none is given."""
+    odd = F.when(F.col("numangles") % 2 == 1, 0.5).otherwise(0.0)
+    centre = F.col("cor") if "cor" in scans.columns else F.lit(None).cast("double")
+    by_centre = (F.rint(numrays - centre - odd) * 2).cast("int")
+    given = F.col("overlap") if "overlap" in scans.columns else F.lit(None).cast("int")
+    return scans.withColumn("overlap", F.coalesce(given, by_centre))
+
+
+def paired_half_turns(projections: DataFrame, scans: DataFrame) -> DataFrame:
+    """Projections of the half turn, from ``(scan_id, idx)`` of the full one, and which of them have both halves."""
+    n = F.floor(F.col("numangles") / 2).cast("int")
+    rows = projections.select("scan_id", "idx").join(scans.select("scan_id", n.alias("_n")), "scan_id")
+    place = F.when(F.col("idx") < 2 * F.col("_n"), F.pmod("idx", "_n")).otherwise(F.col("idx"))
+    return rows.groupBy("scan_id", place.alias("idx")).agg(
+        (F.min(F.col("idx") < F.col("_n")) != F.max(F.col("idx") < F.col("_n"))).alias("paired"))
+
+
+def half_turn_issues(projections: DataFrame, scans: DataFrame) -> DataFrame:
+    """A warning for every scan with projections that meet no opposite one and are left out."""
+    alone = paired_half_turns(projections, scans).filter("not paired").groupBy("scan_id").agg(F.count(F.lit(1)).alias("n"))
+    return alone.select("scan_id", *issue("warning", F.concat("n", F.lit(" projections without an opposite one"))))
+
+
 def join_half_turns(frames: DataFrame, scans: DataFrame, rotation: str = "right") -> DataFrame:
     """A full-turn scan to a half-turn one of almost twice the width.
 

@@ -14,7 +14,7 @@ METHODS = {"gridrec": kernels.grid_project, "fbp": kernels.back_project}
 
 def reconstruct(
     frames: DataFrame, scans: DataFrame, method: str = "gridrec", cutoff: float = 0.25, order: float = 2,
-    angle_chunk: int = 1024, ignore: DataFrame | None = None, before: list = (),
+    angle_chunk: int = 1024, ignore: DataFrame | None = None, before: list = (), used: DataFrame | None = None,
 ) -> DataFrame:
     """Slices ``(scan_id, z, y, values)`` from corrected projections.
 
@@ -24,6 +24,9 @@ def reconstruct(
     partial slices are then added.  A scan of any length is thus spread out.
     ``before`` lists sinogram functions to run in the same task first; they
     need all angles, so with them a group is the whole sinogram.
+    ``used(scan_id, projections)`` gives the number of projections that share
+    the half turn; without it they are counted, which runs whatever made
+    ``frames`` a second time.
     """
     from beamwright.operators.frames import ignore_projections
 
@@ -31,8 +34,8 @@ def reconstruct(
     if ignore is not None:
         frames = ignore_projections(frames, ignore)
     # each of the scan's projections that take part weighs the same; a selection changes their number
-    used = frames.groupBy("scan_id").agg(F.countDistinct("idx").alias("_used"))
-    geo = scans.select("scan_id", "theta", "cor", "npad").join(used, "scan_id")
+    used = projections_of(frames) if used is None else used
+    geo = scans.select("scan_id", "theta", "cor", "npad").join(used.withColumnRenamed("projections", "_used"), "scan_id")
     rows = (
         frames.select("scan_id", "idx", "row", "values").join(geo, "scan_id")
         .withColumn("angle", F.get("theta", F.col("idx")))
@@ -62,6 +65,11 @@ def reconstruct(
     return finish_slices(whole, scans)
 
 
+def projections_of(frames: DataFrame) -> DataFrame:
+    """How many projections each scan has, from ``frames(scan_id, idx)``."""
+    return frames.groupBy("scan_id").agg(F.countDistinct("idx").alias("projections"))
+
+
 def add_parts(parts: DataFrame, keys: list, part: str) -> DataFrame:
     """Element-wise sum of the few partial rows per key, in a fixed order."""
     ordered = F.transform(F.sort_array(F.collect_list(F.struct(part, "values"))), lambda e: e["values"])

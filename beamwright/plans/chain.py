@@ -6,6 +6,7 @@ same axis share one grouped task, and a change of axis is one shuffle.
 """
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +15,9 @@ from beamwright import fixed
 from beamwright.functions import pixels
 from beamwright.functions import values as values_
 from beamwright.operators import frames as fr
-from beamwright.operators import imaging, kernels, recon
+from beamwright.operators import center, imaging, kernels, recon
 from beamwright.plans.grouped import PROJECTION, SINOGRAM, grouped_kernel
+from beamwright.session import materialise
 
 # fixed values: stages in their order, with the axis they work along
 STAGES = {
@@ -76,6 +78,8 @@ class Settings:
     polar: dict = field(default_factory=dict)
     polar_second: dict = field(default_factory=dict)
     cast_range: tuple = (-10.0, 30.0)
+    center: str | None = None
+    center_options: dict = field(default_factory=dict)
 
     @classmethod
     def of(cls, *extra: str, without: tuple = (), **params) -> "Settings":
@@ -110,6 +114,61 @@ class Result:
     raw: DataFrame | None
     normalized: DataFrame | None
     slices: DataFrame | None
+    issues: DataFrame
+
+
+def normalized(
+    rows: DataFrame, frames: DataFrame, scans: DataFrame, s: Settings, bright_scans: DataFrame | None, *more,
+) -> DataFrame:
+    """Rows over the flats and darks of ``frames``, by nearest flats or by means as the settings say, then ``more`` pixel steps."""
+    if "normalize_nearest" in s.on:
+        joined, floor = fr.attach_nearest(rows, frames, scans), 1e-5
+    else:
+        flat, dark = fr.reduce_reference(frames, "flat"), fr.reduce_reference(frames, "dark")
+        joined, floor = fr.attach_references(rows, flat, dark, bright_scans), 1e-6
+    values = pixels.normalize(F.col("values"), F.col("dark"), F.col("flat"), pixels.exposure_scale(s.exposure_ratio), *more, floor=floor)
+    return joined.select("scan_id", "idx", "row", values.alias("values"))
+
+
+def with_centers(frames: DataFrame, scans: DataFrame, s: Settings, bright_scans: DataFrame | None = None) -> DataFrame:
+    """Scans with the centre that each lacks, searched by ``s.center`` in its normalised projections.
+
+    Only the frames of scans without a centre are read: two projections of each for ``pc``, one detector row (the first
+    that is selected, or ``row`` among the options) for ``vo`` and ``nm``.  The centres found, one row per scan, are
+    written once, since several steps of a run use them.
+    """
+    if "cor" not in scans.columns:
+        scans = scans.withColumn("cor", F.lit(None).cast("double"))
+    lacking = scans.filter("cor is null")
+    options = dict(s.center_options)
+    if s.center == "skip":
+        found = center.center_skip(lacking)
+    else:
+        wanted = lacking.select("scan_id")
+        if bright_scans is not None:
+            wanted = wanted.unionByName(bright_scans.join(wanted, "scan_id", "left_semi").select(F.col("bright_scan_id").alias("scan_id")))
+        mine = frames.join(wanted, "scan_id", "left_semi")
+        if s.center == "pc":
+            rows = fr.opposing_pair(mine, lacking).select("scan_id", "idx", "row", "values")
+            # the search picks the pair by its kind, and both are projections
+            rows = normalized(rows, mine, lacking, s, bright_scans).withColumn("kind", F.lit("tomo"))
+            options["normalized"] = True
+        else:
+            row = options.setdefault("row", s.rows[0] if s.rows else 0)
+            mine = mine.filter(F.col("row") == row)
+            rows = mine.filter(F.col("kind") == "tomo").join(lacking.select("scan_id"), "scan_id", "left_semi")
+            if s.projections:
+                rows = rows.filter(values_.strided(F.col("idx"), *s.projections))
+            rows = normalized(rows.select("scan_id", "idx", "row", "values"), mine, lacking, s, bright_scans)
+        if "init" not in lacking.columns:
+            lacking = lacking.withColumn("init", F.lit(None).cast("double"))
+        found = center.find_center(s.center, rows, lacking, **options)
+    found = materialise(found.withColumnRenamed("center", "_center"), "centres")
+    return scans.join(found, "scan_id", "left").withColumn("cor", F.coalesce("cor", "_center")).drop("_center")
+
+
+def no_issues(scans: DataFrame) -> DataFrame:
+    return scans.select("scan_id", *fr.issue("error", F.lit(""))).limit(0)
 
 
 def run(
@@ -123,15 +182,31 @@ def run(
     ``bright_scans(scan_id, bright_scan_id)`` takes flats from another scan.
 
     ``scans`` has one row per scan with the columns the chosen stages use
-    (theta, cor, pxsize_cm, npad; flat_locations; numslices; overlap; …).
+    (theta, cor, pxsize_cm, npad; flat_locations; numslices; overlap; …).  With
+    ``settings.center`` a scan without ``cor`` gets one by that search; half
+    turns without ``overlap`` get it by their centre.  ``issues`` of the result
+    names the scans of which projections are left out, and why.
     """
     s, names = settings, stage_names(settings)
+    if s.center:
+        scans = with_centers(frames, scans, s, bright_scans)
     if s.rows:
         frames = frames.filter(values_.strided(F.col("row"), *s.rows))
     if s.projections:
         frames = frames.filter((F.col("kind") != "tomo") | values_.strided(F.col("idx"), *s.projections))
     tomo = frames.filter(F.col("kind") == "tomo").select("scan_id", "idx", "row", "values")
     raw = frames if "raw_out" in names else None
+    # the projections that take part, read without their pixels and counted before any correction
+    taking = tomo.select("scan_id", "idx")
+    issues = []
+    if "normalize" in names or "normalize_nearest" in names:
+        flat_rows, dark_rows = (frames.filter(F.col("kind") == k).select("scan_id", "row").distinct() for k in ("flat", "dark"))
+        if bright_scans is not None and "normalize" in names:
+            flat_rows = flat_rows.withColumnRenamed("scan_id", "bright_scan_id").join(bright_scans, "bright_scan_id").select("scan_id", "row")
+        issues.append(fr.reference_issues(tomo, flat_rows, dark_rows))
+    if "reconstruct" in names:
+        issues.append(fr.geometry_issues(taking, scans))
+        scans = scans.filter("cor is not null")
     slices, pixel_steps, pending = None, [], []
 
     def numpy_stage(axis, fn):
@@ -175,18 +250,12 @@ def run(
             numpy_stage(PROJECTION, lambda a: kernels.despike_image(a, s.outlier_dif, s.outlier_size))
         elif name in ("normalize", "normalize_nearest"):
             flush()
-            if name == "normalize":
-                flat, dark = fr.reduce_reference(frames, "flat"), fr.reduce_reference(frames, "dark")
-                joined, floor = fr.attach_references(tomo, flat, dark, bright_scans), 1e-6
-            else:
-                joined, floor = fr.attach_nearest(tomo, frames, scans), 1e-5
-            steps = [pixels.exposure_scale(s.exposure_ratio)]
+            steps = []
             if "minus_log" in names:
                 steps.append(pixels.minus_log(s.minimum_transmission))
             if "beam_hardening" in names:
                 steps.append(pixels.beam_hardening(s.hardening))
-            values = pixels.normalize(F.col("values"), F.col("dark"), F.col("flat"), *steps, floor=floor)
-            tomo = joined.select("scan_id", "idx", "row", values.alias("values"))
+            tomo = normalized(tomo, frames, scans, s, bright_scans, *steps)
         elif name == "minus_log" and not {"normalize", "normalize_nearest"} & set(names):
             pixel_stage(pixels.minus_log(s.minimum_transmission))
         elif name == "beam_hardening" and not {"normalize", "normalize_nearest"} & set(names):
@@ -203,7 +272,10 @@ def run(
             numpy_stage(PROJECTION, lambda a: kernels.undistort(a, *s.lens_center, s.lens_factors))
         elif name == "half_turn":
             flush()
-            tomo = imaging.join_half_turns(tomo, scans)
+            issues.append(imaging.half_turn_issues(taking, scans))
+            taking = imaging.paired_half_turns(taking, scans).filter("paired")
+            width = F.col("numrays") if "numrays" in scans.columns else F.lit(None).cast("int")
+            tomo = imaging.join_half_turns(tomo, imaging.with_overlap(scans, width))
             n = F.floor(F.col("numangles") / 2).cast("int")
             scans = scans.withColumn("theta", F.slice("theta", 1, n))
         elif name == "phase_retrieval":
@@ -217,9 +289,12 @@ def run(
             flush_pixels()
             same = bool(pending) and pending[0][0] is SINOGRAM
             before = [f for _, f in pending] if same else []
+            # rows of nearest flats may lack their group, so there the corrected rows are counted
+            used = None if "normalize_nearest" in names else recon.projections_of(taking)
             if not same:
                 flush_kernels()
-            slices = recon.reconstruct(tomo, scans, s.method, s.cutoff, s.order, ignore=ignore, before=before)
+            slices = recon.reconstruct(tomo, scans, s.method, s.cutoff, s.order, ignore=ignore, before=before,
+                                       used=used)
             if "normalized_out" in names:
                 flush_kernels()
             pending.clear()
@@ -230,4 +305,5 @@ def run(
         elif name == "cast_8bit":
             slices = slices.withColumn("values", pixels.apply(F.col("values"), pixels.cast_8bit(*s.cast_range)))
     flush()
-    return Result(raw, tomo if "normalized_out" in names or slices is None else None, slices)
+    return Result(raw, tomo if "normalized_out" in names or slices is None else None, slices,
+                  reduce(DataFrame.unionByName, issues) if issues else no_issues(scans))

@@ -652,6 +652,29 @@ def _(t):
     return out(chain.run(b.frames(t), scans(t)).slices, "scan_id", "z", "y")
 
 
+@query("searched_chain")
+def _(t):
+    """Every second scan comes without a centre, which is searched in its first and opposing projection."""
+    own = F.regexp_extract("scan_id", r"scan(\d+)_", 1).cast("int") % 2 == 0
+    held = scans(t).withColumn("cor", F.when(own, F.col("cor")))
+    s = chain.Settings.of(without=("stripe_fourier_wavelet",), method="fbp", center="pc")
+    return out(chain.run(b.frames(t), held, s).slices, "scan_id", "z", "y")
+
+
+@query("chain_issues", f"""WITH {b.FRAMES}, {SCANS}, tm AS (SELECT scan_id, label, idx, row, n // 2 AS h FROM fr JOIN sc USING (scan_id)
+  WHERE kind = 'tomo' AND NOT (label % 2 = 0 AND idx = 1)),
+hp AS (SELECT scan_id, CASE WHEN idx < 2 * h THEN idx % h ELSE idx END AS place, count(DISTINCT idx) AS halves FROM tm WHERE label % 5 NOT IN (1, 2) GROUP BY 1, 2)
+SELECT scan_id, 'error' AS severity, CAST(count(*) AS VARCHAR) || ' detector rows without flat or dark' AS msg FROM tm WHERE label % 3 = 0 AND row = 1 GROUP BY 1
+UNION ALL SELECT DISTINCT scan_id, 'error', CASE label % 5 WHEN 1 THEN 'no geometry' ELSE 'no centre of rotation' END FROM tm WHERE label % 5 IN (1, 2)
+UNION ALL SELECT scan_id, 'warning', CAST(count(*) AS VARCHAR) || ' projections without an opposite one' FROM hp WHERE halves = 1 GROUP BY 1""")
+def _(t):
+    """What a run leaves out: rows without flats, scans without geometry or centre, half turns without their other half."""
+    label = F.regexp_extract("scan_id", r"scan(\d+)_", 1).cast("int")
+    lost = ((label % 3 == 0) & (F.col("row") == 1) & (F.col("kind") == "flat")) | ((label % 2 == 0) & (F.col("idx") == 1) & (F.col("kind") == "tomo"))
+    held = scans(t).filter(label % 5 != 1).withColumn("cor", F.when(label % 5 != 2, F.col("cor")))
+    return chain.run(b.frames(t).filter(~lost), held, chain.Settings.of("half_turn")).issues.select("scan_id", "severity", "msg")
+
+
 @query("grouped_kernel", f"WITH {b.TILES} SELECT scan_id, idx, row, px, round(v - avg(v) OVER (PARTITION BY scan_id, idx), 6) + 0.0 AS v FROM ti")
 def _(t):
     k = grouped_kernel(b.tiles(t).select("scan_id", "idx", "row", "values"), PROJECTION, lambda a, _: a - a.mean())
