@@ -1,11 +1,14 @@
 """Joins, aggregates, windows and set operations over the given tables."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beamwright import fixed
 from beamwright.functions import paths, text, values
 from beamwright.operators import catalogue, digests, intervals, inventory, jobs, retention, routing, transfers
-from beamwright.plans import registry
+from beamwright.plans import deletions, registry
 from beamwright.queries import bindings as b
 from beamwright.queries.core import NOW, now, query, stamp
 from beamwright.session import scratch_dir
@@ -39,23 +42,40 @@ def _(t):
     return guarded(t).select("rel_path", "verdict")
 
 
-def prune_plan(t):
-    """Which stale files may go from A because B holds a copy, where, and when."""
-    stale = inventory.stale_files(b.source_files(t), now(), 1000)
-    requests = stale.select("rel_path", "size", F.lit("A").alias("source"), F.lit("B").alias("check"))
-    plan = inventory.prune_guard(requests, both(t), now(), 1000).filter(F.col("verdict") == inventory.PRUNE)
-    due = F.col("check_modified") + F.make_dt_interval(F.lit(fixed.RETENTION_DAYS["data832"]))
-    return plan.select("rel_path", paths.full_path(F.lit("/data/"), F.col("rel_path")).alias("path"), "size",
-                       stamp(due).alias("due_at"), paths.prune_run_name(F.col("source"), F.col("rel_path")).alias("run_name"))
+def tiers(t):
+    """The three places of a file: all on the first, most on the second, fewer on the third, each a day later than before."""
+    cols = ["endpoint_key", "rel_path", "last_modified"]
+    third = b.check_files(t).filter("o_orderkey % 3 <> 0").withColumn("last_modified", F.col("last_modified") + F.expr("interval 1 day"))
+    named = [(b.source_files(t), "spot832"), (b.check_files(t), "data832"), (third, "nersc832")]
+    return reduce(DataFrame.unionByName, [f.withColumn("endpoint_key", F.lit(k)).select(*cols) for f, k in named])
+
+
+def tier_config(t):
+    """One configuration row per place, roots by variables."""
+    names = [(k, {"name": k, "root_path": root}) for k, root in (("spot832", "${BASE}/spot/"), ("data832", "${BASE}/data"), ("nersc832", "/cfs"))]
+    return t.spark.createDataFrame(names, "endpoint_key string, props map<string,string>")
+
+
+_TIERS = """tr AS (SELECT 'spot832' AS k, rel_path, last_modified FROM src UNION ALL SELECT 'data832', rel_path, last_modified FROM chk
+  UNION ALL SELECT 'nersc832', rel_path, last_modified + INTERVAL 1 DAY FROM chk WHERE o_orderkey % 3 <> 0)"""
 
 
-@query("prune_plan", f"""WITH {b.SOURCE}, {b.CHECK} SELECT src.rel_path, '/data/' || src.rel_path AS path, src.size,
-  strftime(CAST(chk.last_modified + INTERVAL 3 DAY AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS due_at,
-  'delete A: ' || split_part(src.rel_path, '/', 3) AS run_name
-FROM src JOIN chk USING (rel_path) WHERE src.last_modified < TIMESTAMP '{NOW}' - INTERVAL 1000 DAY
-  AND chk.last_modified < TIMESTAMP '{NOW}' - INTERVAL 1000 DAY""")
+@query("prune_plan", f"""WITH {b.SOURCE}, {b.CHECK}, {_TIERS},
+pl AS (SELECT loc, src.rel_path, root || src.rel_path AS path, src.size, src.last_modified + to_days(days) AS due,
+  CASE WHEN own.rel_path IS NULL THEN 'SOURCE_MISSING' WHEN cp.rel_path IS NULL THEN 'NO_SECOND_COPY'
+    WHEN cp.last_modified < TIMESTAMP '{NOW}' - INTERVAL 1000 DAY THEN 'PRUNE' ELSE 'TOO_NEW' END AS verdict
+  FROM src JOIN (VALUES ('spot832', 'data832', 2, '/als/spot/'), ('data832', 'nersc832', 3, '/als/data/')) v(loc, other, days, root) ON true
+  LEFT JOIN tr own ON own.k = loc AND own.rel_path = src.rel_path LEFT JOIN tr cp ON cp.k = other AND cp.rel_path = src.rel_path
+  WHERE src.last_modified < TIMESTAMP '{NOW}' - INTERVAL 1000 DAY)
+SELECT loc AS endpoint_key, rel_path, CASE verdict WHEN 'PRUNE' THEN 'PRUNE' ELSE 'KEEP' END AS action, path, size, verdict,
+  strftime(CAST(due AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS due_at, 'delete ' || loc || ': ' || split_part(rel_path, '/', 3) AS run_name FROM pl""")
 def _(t):
-    return prune_plan(t)
+    """Which stale files may go from which place because the next place holds a copy, and when: written, then read back."""
+    where = scratch_dir(t.spark, "deletions")
+    registry_ = inventory.endpoint_registry(tier_config(t), {"BASE": "/als"})
+    sinks.write_plan(deletions.deletion_plan(b.source_files(t), tiers(t), registry_, "move", now(), 1000), where)
+    return t.spark.read.parquet(where).select(
+        "endpoint_key", "rel_path", "action", "path", "size", "verdict", stamp("due_at").alias("due_at"), "run_name")
 
 
 @query("present_on", f"WITH {b.SOURCE}, {b.CHECK} SELECT rel_path FROM src SEMI JOIN chk USING (rel_path)")
