@@ -13,7 +13,7 @@ from beamwright.plans.grouped import PROJECTION, grouped_kernel, mean_frame
 from beamwright.queries import bindings as b
 from beamwright.queries.core import query, six
 from beamwright.session import scratch_dir
-from beamwright.sources import readers, sinks
+from beamwright.sources import bricks, readers, sinks
 
 W = 64
 
@@ -627,8 +627,11 @@ l{k} AS (SELECT h.scan_id, m AS z, y, x, sum(v * wz) AS v FROM h{k} h JOIN {_KER
   JOIN y{k} p ON p.scan_id = h.scan_id AND p.z = greatest(0, least(last, 2 * m + dz)) GROUP BY ALL)"""
 
 
-@query("multires_pyramid", f"""WITH {b.TILES}, s AS (SELECT scan_id, max(k) + 1 AS n FROM nb GROUP BY scan_id),
-l0 AS (SELECT scan_id, idx AS z, row AS y, px AS x, v FROM ti)""" + "".join(_level_sql(k) for k in (1, 2, 3)) + " UNION ALL ".join(
+_LEVELS = f"""WITH {b.TILES}, s AS (SELECT scan_id, max(k) + 1 AS n FROM nb GROUP BY scan_id),
+l0 AS (SELECT scan_id, idx AS z, row AS y, px AS x, v FROM ti)""" + "".join(_level_sql(k) for k in (1, 2, 3))
+
+
+@query("multires_pyramid", _LEVELS + " UNION ALL ".join(
     f" SELECT scan_id, {k} AS level, CAST(z AS INTEGER) AS z, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS px, round(v, 6) + 0.0 AS v FROM l{k}"
     for k in range(4)))
 def _(t):
@@ -637,6 +640,24 @@ def _(t):
     return out(levels, "scan_id", "level", "z", "y")
 
 
+@query("pyramid_boxes", _LEVELS + " UNION ALL ".join(
+    f" SELECT 'box' || scan_id || '_{k}' AS box_id, {k} AS level, CAST(z AS INTEGER) AS z, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS px, round(v, 6) + 0.0 AS v"
+    f" FROM l{k} WHERE z >= {5 >> k} AND z < {5 >> k} + 9 AND y >= 1 AND x < {8 >> k} - 1" for k in range(4)))
+def _(t):
+    """Every level written as bricks; one box of each scan and level read back from the files that hold it."""
+    where = scratch_dir(t.spark, "bricks")
+    levels, scales = pyramid.multires_pyramid(volume(t), tile_scans(t), min_size=1)
+    bricks.write_bricks(levels, where, edge=3)
+    level = F.col("level")
+    low, side = F.expr("shiftright(5, level)"), F.expr("shiftright(8, level)")
+    boxes = scales.filter("axis = 'x'").select(
+        F.concat(F.lit("box"), "scan_id", F.lit("_"), level).alias("box_id"), "scan_id", "level", low.alias("z0"), (low + 9).alias("z1"),
+        F.lit(1).alias("y0"), F.lit(99).alias("y1"), F.lit(-2).alias("x0"), (side - 1).alias("x1"))
+    got = bricks.read_boxes(t.spark, where, boxes)
+    px = got.select("box_id", "level", "z", "y", "x0", F.posexplode("values").alias("at", "v"))
+    return px.select("box_id", "level", "z", "y", (F.col("x0") + F.col("at")).alias("px"), six(F.col("v")).alias("v"))
+
+
 # ------------------------------------------------------------ chain and kernels
 @query("correction_chain", NORMAL + f""", {_MED.replace('WHERE kind', "WHERE kind")}, ds AS (SELECT scan_id, idx, row, px, CASE WHEN abs(v - m) >= 40 THEN m ELSE v END AS v FROM md),
 cn AS (SELECT ds.scan_id, ds.idx, ds.row, ds.px, -ln(greatest((v - d) / greatest(f - d, 1e-6) * 1.5, 0.01)) AS v FROM ds JOIN dk USING (scan_id, row, px) JOIN fl USING (scan_id, row, px))
