@@ -42,6 +42,9 @@ PART_STEP = 0x1F3D5B79A1B2D
 BITMAP = 1024
 FILTER_BITS = 24
 CHUNK = 1 << 20
+BLOCK, BLOCK_TEXTS = 1 << 18, 256
+"""Bytes and texts whose shingles are made together."""
+RANK_BITS = 26
 M64 = (1 << 64) - 1
 
 
@@ -122,33 +125,87 @@ class Shingler:
         yield raw[start:]
 
     def __call__(self, text: str | None) -> np.ndarray:
-        raw = np.frombuffer((text or "").encode(), np.uint8)
+        return self._whole(np.frombuffer((text or "").encode(), np.uint8))
+
+    def _whole(self, raw: np.ndarray) -> np.ndarray:
         if not len(raw):
             return np.empty(0, np.uint64)
         parts = list(self.chunks(raw))
         return np.unique(np.concatenate([self._spans(part, len(parts) == 1) for part in parts]))
 
+    def _together(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sets of texts that lie one after another, with a space put after each: a span's hash does not depend on where it starts."""
+        raw = np.insert(raw, bounds[1:], 32)
+        blank = self.space[raw]
+        before = np.concatenate([[True], blank[:-1]])
+        kept = ~blank | ~before
+        place = np.cumsum(kept) - kept
+        at = np.flatnonzero(~blank & before)
+        starts, ends = place[at], place[blank & ~before]
+        own = np.searchsorted(at, bounds + np.arange(len(bounds)))
+        words = np.diff(own)
+        sizes = np.where(words >= self.words, words - self.words + 1, words > 0)
+        cuts = np.concatenate([[0], np.cumsum(sizes)])
+        first = np.arange(cuts[-1]) + np.repeat(own[:-1] - cuts[:-1], sizes)
+        last = np.minimum(first + self.words - 1, np.repeat(own[1:] - 1, sizes))
+        n = int(kept.sum())
+        self._grow(n)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.code[raw[kept]] * self.powers[:n], dtype=np.uint64)])
+        begins = starts[first]
+        shingles = _mixed((sums[ends[last]] - sums[begins]) * self.inverses[begins])
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            shingles[low:high].sort()
+        new = np.ones(len(shingles), bool)
+        new[1:] = shingles[1:] != shingles[:-1]
+        new[cuts[:-1][sizes > 0]] = True
+        return shingles[new], np.concatenate([[0], np.cumsum(new)])[cuts]
+
+    def blocks(self, texts: pa.Array):
+        """The sets of all ``texts`` in order, some texts at a time: their shingles one set after another, and the sets' bounds therein."""
+        if not len(texts):
+            return
+        texts = texts.fill_null("").cast(pa.large_string())
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        first = 0
+        while first < len(texts):
+            full = int(np.searchsorted(bounds, bounds[first] + BLOCK, "right")) - 1
+            last = max(first + 1, min(full, first + BLOCK_TEXTS))
+            part, own = raw[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first]
+            if last == first + 1 and len(part) > CHUNK:
+                shingles = self._whole(part)
+                yield shingles, np.array([0, len(shingles)])
+            else:
+                yield self._together(part, own)
+            first = last
+
 
-def set_digests(shingles: np.ndarray) -> tuple[int, int]:
-    """Two digests of a set, as signed 64-bit numbers."""
-    a = _mixed(np.array([int(np.sum(_mixed(shingles ^ np.uint64(0x9E3779B97F4A7C15)), dtype=np.uint64)) + len(shingles) & M64], np.uint64))
-    b = _mixed(np.array([int(np.sum(_mixed(shingles + np.uint64(0xD1B54A32D192ED03)), dtype=np.uint64))], np.uint64))
-    return int(a.view(np.int64)[0]), int(b.view(np.int64)[0])
+def _totals(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+    return sums[bounds[1:]] - sums[bounds[:-1]]
 
 
-def parities(shingles: np.ndarray) -> np.ndarray:
-    """A bitmap of a set: whether an odd number of its members falls on each place.
+def set_digests(shingles: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two digests of every set, as signed 64-bit numbers."""
+    a = _mixed(_totals(_mixed(shingles ^ np.uint64(0x9E3779B97F4A7C15)), bounds) + np.diff(bounds).astype(np.uint64))
+    b = _mixed(_totals(_mixed(shingles + np.uint64(0xD1B54A32D192ED03)), bounds))
+    return a.view(np.int64), b.view(np.int64)
+
+
+def parities(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A bitmap of every set: whether an odd number of its members falls on each place.
 
     Two sets differ in at least as many members as their bitmaps in places.
     """
-    counts = np.bincount((shingles & np.uint64(BITMAP - 1)).astype(np.int64), minlength=BITMAP)
-    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+    n = len(bounds) - 1
+    places = (shingles & np.uint64(BITMAP - 1)).astype(np.int64) + np.repeat(np.arange(n) * BITMAP, np.diff(bounds))
+    return np.packbits((np.bincount(places, minlength=n * BITMAP) & 1).astype(np.uint8)).view(np.int64)
 
 
 def describe(docs: DataFrame, words: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """One pass over the texts: per document (doc_id, n_shingles, set_id, digest, bits), and each task's part of the sketch (piece, counts)."""
+    """One pass over the texts: per document (doc_id, n_shingles, set_id, digest, text_key, bits), and each task's part of the sketch (piece, counts)."""
     kind = docs.schema["doc_id"].dataType
-    names = ["doc_id", "n_shingles", "set_id", "digest", "bits", "piece", "counts"]
+    names = ["doc_id", "n_shingles", "set_id", "digest", "text_key", "bits", "piece", "counts"]
 
     def work(batches):
         shingler, counts, held, size = Shingler(words, seed), np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
@@ -158,18 +215,22 @@ def describe(docs: DataFrame, words: int, seed: int) -> tuple[DataFrame, DataFra
             counts[:] += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(counts)).astype(np.uint32)
 
         for batch in batches:
-            ids, out, bits = batch.column(0), [], []
-            for text in batch.column(1):
-                shingles = shingler(text.as_py())
-                out.append((len(shingles), *set_digests(shingles)))
-                bits.append(parities(shingles))
+            ids, sizes, digests, bits = batch.column(0), [], [], []
+            for shingles, bounds in shingler.blocks(batch.column(1)):
+                sizes.append(np.diff(bounds))
+                digests.append(set_digests(shingles, bounds))
+                bits.append(parities(shingles, bounds))
                 held.append((shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.uint32))
                 size += len(shingles)
                 if size > 1 << 22:
                     add()
                     held, size = [], 0
-            columns = [pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.nulls(0, pa.int64())] * 3
-            yield pa.RecordBatch.from_arrays([ids, *columns, pa.array(bits, bitmap), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())], names)
+            if not sizes:
+                continue
+            columns = [pa.array(np.concatenate(c), pa.int64()) for c in (sizes, *zip(*digests))]
+            maps = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * (BITMAP // 64), pa.int32()), pa.array(np.concatenate(bits)))
+            yield pa.RecordBatch.from_arrays(
+                [ids, *columns, batch.column(2), maps.cast(bitmap), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())], names)
         if ids is None:
             return
         if held:
@@ -177,11 +238,11 @@ def describe(docs: DataFrame, words: int, seed: int) -> tuple[DataFrame, DataFra
         pieces = [(i, c) for i, c in enumerate(counts.reshape(-1, SKETCH_PART)) if c.any()]
         empty = pa.nulls(len(pieces), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(pieces), ids.type), empty, empty, empty, pa.nulls(len(pieces), bitmap), pa.array([i for i, _ in pieces], pa.int32()),
+            [pa.nulls(len(pieces), ids.type), empty, empty, empty, empty, pa.nulls(len(pieces), bitmap), pa.array([i for i, _ in pieces], pa.int32()),
              pa.array([zlib.compress(c.tobytes(), 1) for _, c in pieces], pa.binary())], names)
 
-    fields = f"doc_id {kind.simpleString()}, n_shingles bigint, set_id bigint, digest bigint, bits array<bigint>, piece int, counts binary"
-    both = written(docs.select("doc_id", "text").mapInArrow(work, fields), "sets")
+    fields = f"doc_id {kind.simpleString()}, n_shingles bigint, set_id bigint, digest bigint, text_key bigint, bits array<bigint>, piece int, counts binary"
+    both = written(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(work, fields), "sets")
     return both.filter("piece IS NULL").drop("piece", "counts"), both.filter("piece IS NOT NULL").select("piece", "counts")
 
 
@@ -217,20 +278,25 @@ def postings(docs: DataFrame, words: int, seed: int, counts: np.ndarray) -> Data
         usual = int(often.mean())
         for batch in batches:
             lists, ids, places = [], [], []
-            for text in batch.column(0):
-                shingles = shingler(text.as_py())
-                n = len(shingles)
-                set_id = set_digests(shingles)[0]
-                if not n or set_id in met:
-                    continue
-                met.add(set_id)
+            for shingles, bounds in shingler.blocks(batch.column(0)):
+                set_ids, sizes = set_digests(shingles, bounds)[0], np.diff(bounds)
                 count = often[(shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.int64)
-                first = np.lexsort((shingles, count))[: n - (3 * n + 3) // 4 + 1]
+                ordered = count << RANK_BITS | np.arange(len(shingles)) - np.repeat(bounds[:-1], sizes)
+                new = np.zeros(len(sizes), bool)
+                for i, (low, high, set_id) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), set_ids.tolist())):
+                    if low < high and set_id not in met:
+                        met.add(set_id)
+                        ordered[low:high].sort()
+                        new[i] = True
+                taken = np.where(new, sizes - (3 * sizes + 3) // 4 + 1, 0)
+                begins, owner = np.repeat(bounds[:-1], taken), np.repeat(set_ids, taken)
+                pos = np.arange(len(owner)) - np.repeat(np.cumsum(taken) - taken, taken)
+                first = begins + (ordered[begins + pos] & (1 << RANK_BITS) - 1)
                 split = np.minimum(1 + np.maximum(0, count[first] - 2 * usual) // SUBLIST, PARTS)
-                part = np.where(split > 1, 1 + set_id % split, 0)
+                part = np.where(split > 1, 1 + owner % split, 0)
                 lists.append(shingles[first].view(np.int64) ^ part * PART_STEP)
-                ids.append(np.full(len(first), set_id, np.int64))
-                places.append((n << 36) | (np.arange(len(first)) << 10) | part)
+                ids.append(owner)
+                places.append(np.repeat(sizes, taken) << 36 | pos << 10 | part)
             if lists:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (lists, ids, places)], ["list", "set_id", "place"])
 
@@ -257,12 +323,13 @@ def index_lists(index: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int, seed: int) -> DataFrame:
-    """The sets (set_id, shingles) of the wanted ids, made again from the texts and dealt by id.
+    """The sets (set_id, shingles) of the wanted texts (text_key), made again and dealt by id; few others are among them.
 
-    A bitmap of the wanted ids, of one fixed size, goes to all tasks and holds back nearly all other sets.
+    A bitmap of the wanted texts' hashes, of one fixed size, goes to all tasks and holds back nearly all other texts, so that
+    these are not cut into shingles once more.
     """
-    place = F.shiftrightunsigned("set_id", 64 - FILTER_BITS)
-    bits = wanted.select(F.shiftrightunsigned("set_id", 64 - FILTER_BITS + 6).cast("int").alias("word"), F.pmod(place, F.lit(64)).cast("int").alias("bit"))
+    place = F.shiftrightunsigned("text_key", 64 - FILTER_BITS)
+    bits = wanted.select(F.shiftrightunsigned("text_key", 64 - FILTER_BITS + 6).cast("int").alias("word"), F.pmod(place, F.lit(64)).cast("int").alias("bit"))
     bits = bits.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
     words_ = np.zeros(1 << FILTER_BITS - 6, np.int64)
     words_[bits.column("word").to_numpy()] = bits.column("bits").to_numpy()
@@ -271,19 +338,19 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int, seed: int) -> DataFr
     def work(batches):
         shingler, known, met = Shingler(words, seed), shared.value.view(np.uint64), set()
         for batch in batches:
-            found = []
-            for text in batch.column(0):
-                shingles = shingler(text.as_py())
-                set_id = set_digests(shingles)[0]
-                at = (set_id & M64) >> 64 - FILTER_BITS
-                if len(shingles) and set_id not in met and int(known[at >> 6]) >> (at & 63) & 1:
-                    met.add(set_id)
-                    found.append((set_id, shingles.view(np.int64)))
-            for some in (found[i : i + 200] for i in range(0, len(found), 200)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i for i, _ in some], pa.int64()), pa.array([x for _, x in some], pa.list_(pa.int64()))], ["set_id", "shingles"])
-
-    made = docs.select("text").mapInArrow(work, "set_id bigint, shingles array<bigint>")
+            at = batch.column(1).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+            asked = known[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
+            for shingles, bounds in shingler.blocks(batch.column(0).filter(pa.array(asked.astype(bool)))):
+                found = []
+                for low, high, set_id in zip(bounds[:-1].tolist(), bounds[1:].tolist(), set_digests(shingles, bounds)[0].tolist()):
+                    if low < high and set_id not in met:
+                        met.add(set_id)
+                        found.append((set_id, shingles[low:high].view(np.int64)))
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([i for i, _ in found], pa.int64()), pa.array([x for _, x in found], pa.list_(pa.int64()))], ["set_id", "shingles"])
+
+    made = docs.select("text", F.xxhash64("text").alias("text_key")).mapInArrow(work, "set_id bigint, shingles array<bigint>")
     return made.dropDuplicates(["set_id"])
 
 
@@ -359,7 +426,7 @@ def classes_and_links(docs: DataFrame, words: int = 5) -> tuple[DataFrame, DataF
         described, counts = describe(docs, words, seed)
         classes = described.filter("n_shingles > 0").groupBy("set_id").agg(
             F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), F.min("digest").alias("lo"), F.max("digest").alias("hi"),
-            F.first("n_shingles").alias("size"), F.first("bits").alias("bits"))
+            F.first("n_shingles").alias("size"), F.first("bits").alias("bits"), F.min("text_key").alias("text_key"))
         classes = written(classes, "classes")
         if classes.filter("lo <> hi").isEmpty():
             break
@@ -367,17 +434,19 @@ def classes_and_links(docs: DataFrame, words: int = 5) -> tuple[DataFrame, DataF
         raise RuntimeError("set digests clash for every seed")
     lists = written(index_lists(postings(docs, words, seed, sketch(counts))), "lists")
     pairs = written(promising(star_pairs(lists), classes), "star-pairs")
-    star = written(overlaps(pairs, sets_of(docs, ids_of(pairs), words, seed)), "star")
+    star = written(overlaps(pairs, sets_of(docs, texts_of(pairs, classes), words, seed)), "star")
     roots = graph.components(star.filter(LIKE).select("a", "b"))
     still = written(open_pairs(lists, star, roots), "open-pairs")
     unsure = written(promising(still.filter("NOT sure").select("a", "b").distinct(), classes), "unsure-pairs")
-    compared = overlaps(unsure, sets_of(docs, ids_of(unsure), words, seed)).filter(LIKE).select("a", "b")
+    compared = overlaps(unsure, sets_of(docs, texts_of(unsure, classes), words, seed)).filter(LIKE).select("a", "b")
     links = star.filter(LIKE).select("a", "b").union(still.filter("sure").select("a", "b")).union(compared)
     return described, classes, graph.components(written(links, "links"))
 
 
-def ids_of(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+def texts_of(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The text_key of one text of every set in the pairs."""
+    ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    return ids.join(classes.select("set_id", "text_key"), "set_id").select("text_key")
 
 
 def components(docs: DataFrame, words: int = 5) -> DataFrame:

@@ -213,6 +213,46 @@ def test_chunks_give_the_same_shingles(monkeypatch):
             assert (jaccard.Shingler()(text) == whole).all()
 
 
+@pytest.mark.parametrize("block,chunk", [(1 << 18, 1 << 20), (64, 1 << 20), (1, 20), (200, 40)])
+def test_blocks_of_texts_give_each_texts_shingles(monkeypatch, block, chunk):
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    rows = [None, "", " \n", "one", *("".join(rng.choice("aBbé  \n\tc") for _ in range(rng.randint(0, 120))) for _ in range(700)), None, "a b c d e", ""]
+    want = [jaccard.Shingler()(t) for t in rows]
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "CHUNK", chunk)
+    shingler = jaccard.Shingler()
+    assert list(shingler.blocks(pa.array([], pa.string()))) == []
+    for first, last in ((0, len(rows)), (3, 500), (0, 3)):
+        got, digests, bits = [], [], []
+        for made, bounds in shingler.blocks(pa.array(rows, pa.string()).slice(first, last - first)):
+            got += [made[low:high] for low, high in zip(bounds[:-1], bounds[1:])]
+            digests += zip(*jaccard.set_digests(made, bounds))
+            bits += [*jaccard.parities(made, bounds).reshape(len(bounds) - 1, -1)]
+        assert len(got) == last - first and all((g == w).all() and len(g) == len(w) for g, w in zip(got, want[first:last]))
+        for g, d, b in zip(got, digests, bits):
+            alone = np.array([0, len(g)])
+            assert d == tuple(x[0] for x in jaccard.set_digests(g, alone)) and (b == jaccard.parities(g, alone)).all()
+
+
+def test_only_the_wanted_texts_are_cut_into_shingles_again(spark):
+    """One text stands for its set, however many copies and spellings there are; none of the other texts comes back."""
+    rows = [(i, f"text number {i} has these words of its own {i * 7}") for i in range(300)]
+    rows += [(300 + i, t.upper() if i % 2 else t.replace(" ", "  ")) for i, t in rows[:40]] + [(400, None), (401, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    described, _ = jaccard.describe(docs, 5, 0)
+    known = {r.doc_id: r for r in described.collect()}
+    classes = described.filter("n_shingles > 0").groupBy("set_id").agg(F.min("text_key").alias("text_key"))
+    pairs = spark.createDataFrame([(known[1].set_id, known[2].set_id), (known[1].set_id, known[299].set_id)], "a bigint, b bigint")
+    got = {r.set_id: sorted(r.shingles) for r in jaccard.sets_of(docs, jaccard.texts_of(pairs, classes), 5, 0).collect()}
+    shingler = jaccard.Shingler(5, 0)
+    assert got == {known[i].set_id: sorted(shingler(rows[i][1]).view("int64").tolist()) for i in (1, 2, 299)}
+
+
 def water(sizes, weights=(1, 2, 3), most=3.0):
     """Targets by repeated sharing: what a stopped source leaves goes to the others by weight."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
