@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from beamwright.llm.common import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SEPARATORS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
-"""ASCII that is no part of a word once A-Z are in lower case."""
+WORD = r"0-9a-z\x{80}-\x{10FFFF}"
+"""What words are made of once A-Z are in lower case. Java matches these ranges five times as fast as all but the separators."""
 SEPARATORS_ANY_CASE = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 WINDOWS_AT_ONCE = 1 << 18
 BYTES_AT_ONCE = 64 << 20
@@ -33,7 +33,7 @@ BYTES_AT_ONCE = 64 << 20
 def words(text: Column) -> Column:
     """Words in lower case (A-Z only); texts that are all ASCII take the short way."""
     low = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.regexp_extract_all(F.coalesce(low, F.lit("")), F.lit(f"[^{SEPARATORS}]+"), F.lit(0))
+    return F.regexp_extract_all(F.coalesce(low, F.lit("")), F.lit(f"[{WORD}]+"), F.lit(0))
 
 
 def item_windows(items: DataFrame, size: int, text: str = "text") -> DataFrame:
@@ -48,32 +48,50 @@ def item_windows(items: DataFrame, size: int, text: str = "text") -> DataFrame:
     return rows.select(F.xxhash64("window").alias("h"), "window", "items", "unnamed", held.alias("held"))
 
 
-def hits(docs: DataFrame, windows: DataFrame, text: str = "text") -> DataFrame:
-    """A row for every place of a document where a window lies: doc_id, text_hash, pos (word number from 0), length, held.
+def _trace(word) -> Column:
+    """A hash of a window's first, middle and last word; ``word`` maps places in it to words."""
+    return F.xxhash64(*[word(place) for place in ("0", "(length - 1) div 2", "length - 1")])
+
+
+def scanned(docs: DataFrame, windows: DataFrame, text: str = "text") -> DataFrame:
+    """A row for every place of a document where a window lies, as ``hits`` gives it, and one for every row of ``docs``, with
+    ``pos`` -1, no ``held``, and its number of words as ``length``.
 
-    ``windows`` is a written table as ``item_windows`` makes it.
+    ``windows`` is a written table as ``item_windows`` makes it. Words are taken from a text once per pass. Places whose first,
+    middle and last words are in no window of the pass are left out by one number before the whole window is looked at.
     """
     bytes_ = F.sum(F.aggregate("window", F.lit(0).cast("long"), lambda n, w: n + F.octet_length(w) + 8))
     n, size, lengths = windows.agg(F.count("*"), F.coalesce(bytes_, F.lit(0)), F.sort_array(F.collect_set(F.size("window")))).first()
     passes = max(1, ceil(n / WINDOWS_AT_ONCE), ceil(size / BYTES_AT_ONCE))
+    first = lengths[0] if lengths else 0
     texts = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), words(F.col(text)).alias("w"))
-    if not lengths:
-        texts, lengths = texts.filter(F.lit(False)), [1]
     if len(lengths) > 1:
         texts = texts.select("*", F.explode(F.array(*map(F.lit, lengths))).alias("length"))
     else:
-        texts = texts.withColumn("length", F.lit(lengths[0]))
-    places = texts.filter(F.size("w") >= F.col("length"))
-    places = places.select("*", F.explode(F.sequence(F.lit(0), F.size("w") - F.col("length"))).alias("pos"))
-    here = F.slice("w", F.col("pos") + 1, F.col("length"))
+        texts = texts.withColumn("length", F.lit(first))
+    last = F.greatest(F.size("w") - F.col("length"), F.lit(-1)) if lengths else F.lit(-1)
+    # a filter on the number of words, or one that Spark infers from an inner explode, would take all words once more
+    places = texts.select("*", F.explode_outer(F.sequence(F.lit(-1), last)).alias("pos"))
+    places = places.withColumn("trace", _trace(lambda place: F.get("w", F.col("pos") + F.expr(f"cast({place} as int)"))))
+    here, is_place = F.slice("w", F.greatest("pos", F.lit(0)) + 1, F.col("length")), F.col("pos") >= 0
     found = []
     for k in range(passes):
-        part = windows.filter(F.pmod("h", F.lit(passes)) == k).select("h", "window", "held")
-        met = places.join(F.broadcast(part), (F.xxhash64(here) == F.col("h")) & (here == F.col("window")))
-        found.append(met.select("doc_id", "text_hash", "pos", "length", "held"))
+        part = windows.filter(F.pmod("h", F.lit(passes)) == k).select("h", "window", "held", F.size("window").alias("length"))
+        traces = part.select(_trace(lambda place: F.get("window", F.expr(f"cast({place} as int)"))).alias("_trace")).distinct()
+        is_doc = (F.col("pos") < 0) & F.lit(k == 0) & (F.col("length") == first)
+        near = places.join(F.broadcast(traces), F.col("trace") == F.col("_trace"), "left").filter(is_doc | (is_place & F.col("_trace").isNotNull()))
+        part = part.select("h", "window", "held")
+        met = near.join(F.broadcast(part), is_place & (F.xxhash64(here) == F.col("h")) & (here == F.col("window")), "left")
+        met = met.filter(~is_place | F.col("held").isNotNull())
+        found.append(met.select("doc_id", "text_hash", "pos", F.when(is_place, F.col("length")).otherwise(F.size("w")).alias("length"), "held"))
     return reduce(DataFrame.unionByName, found)
 
 
+def hits(docs: DataFrame, windows: DataFrame, text: str = "text") -> DataFrame:
+    """A row for every place of a document where a window lies: doc_id, text_hash, pos (word number from 0), length, held."""
+    return scanned(docs, windows, text).filter("pos >= 0")
+
+
 def covered(found: DataFrame) -> DataFrame:
     """Per document the words that hits cover, 64 words to a row: doc_id, text_hash, chunk, bits."""
     chunks = F.explode(F.expr("sequence(cast(pos div 64 as int), cast((pos + length - 1) div 64 as int))")).alias("chunk")
@@ -87,7 +105,9 @@ def covered(found: DataFrame) -> DataFrame:
 def marked(docs: DataFrame, items: DataFrame, size: int = 10, text: str = "text") -> DataFrame:
     """Per document: doc_id, n_words, n_hit (words inside a hit), n_items, items (their ids as sorted strings), contaminated."""
     windows = written(item_windows(items, size, text), "item-windows")
-    found = written(hits(docs, windows, text), "item-hits")
+    # the documents' numbers of words come with the hits, so that their texts are read and cut into words once
+    kept = written(scanned(docs, windows, text), "item-hits")
+    found = kept.filter("pos >= 0")
     key = ["doc_id", "text_hash"]
     n_hit = covered(found).groupBy(*key).agg(F.sum(F.bit_count("bits")).cast("long").alias("n_hit"))
     sets = windows.select("held", "items", "unnamed").dropDuplicates(["held"])
@@ -95,7 +115,7 @@ def marked(docs: DataFrame, items: DataFrame, size: int = 10, text: str = "text"
     ids = met.select(*key, "unnamed", F.explode_outer("items").alias("id")).groupBy(*key).agg(
         F.array_sort(F.collect_set("id")).alias("items"), F.max("unnamed").cast("int").alias("unnamed"))
     same = lambda other: [F.col("d.doc_id").eqNullSafe(F.col(f"{other}.doc_id")), F.col("d.text_hash") == F.col(f"{other}.text_hash")]
-    rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.size(words(F.col(text))).cast("long").alias("n_words")).alias("d")
+    rows = kept.filter("pos < 0").select(*key, F.col("length").cast("long").alias("n_words")).alias("d")
     rows = rows.join(n_hit.alias("h"), same("h"), "left").join(ids.alias("i"), same("i"), "left")
     hit = F.coalesce("h.n_hit", F.lit(0).cast("long"))
     held = F.coalesce("i.items", F.array().cast("array<string>"))

@@ -218,6 +218,27 @@ def test_benchmark_windows_stay_native(leaky, items):
     assert "Python" not in plan and "MapInArrow" not in plan and "Cartesian" not in plan
 
 
+def test_texts_are_cut_into_words_once(monkeypatch, leaky, items):
+    """One scan of the documents gives hits and numbers of words; no filter beside it takes the words again."""
+    windows = decontam.written(decontam.item_windows(items[0], 10), "item-windows")
+    seen = decontam.scanned(leaky, windows)
+    docs = seen.filter("pos < 0")
+    assert sorted(r.length for r in docs.collect()) == sorted(len(low(r.text)) for r in leaky.collect())
+    assert sorted(map(key, seen.filter("pos >= 0").collect())) == sorted(map(key, decontam.hits(leaky, windows).collect()))
+    plan = decontam.scanned(decontam.written(leaky, "leaky"), windows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    cut, words = [], decontam.words
+    monkeypatch.setattr(decontam, "words", lambda text: cut.append(text) or words(text))
+    decontam.marked(leaky, items[0])
+    assert len(cut) == 2  # of the items and of the documents
+
+
+def test_words_hold_what_is_no_separator(spark):
+    every = [chr(c) for c in [*range(1, 0x2100), 0xD7FF, 0xE000, 0xFFFD, 0x10000, 0x1F600, 0x10FFFF]]
+    text = "".join(f"a{c}b " for c in every)
+    assert spark.createDataFrame([(text,)], "t string").select(decontam.words(F.col("t"))).first()[0] == low(text)
+
+
 # -- periodic runs ---------------------------------------------------------------------------------------------------------------
 
 
