@@ -41,7 +41,7 @@ def center_phase_corr(frames: DataFrame, scans: DataFrame, tol: float = 0.25, no
 
 
 def _scored(sinos: DataFrame, candidates: Column, score, batch: int, extra: list) -> DataFrame:
-    """Score candidate centres of each scan's one sinogram in parallel batches."""
+    """Score candidate centres of each scan's one sinogram in parallel batches; ``score`` gives None if it cannot tell."""
     many = sinos.withColumn("_c", candidates)
     batches = F.sequence(F.lit(0), F.floor((F.size("_c") - 1) / batch).cast("int"))
     spread = many.withColumn("batch", F.explode(batches)).withColumn("_c", F.slice("_c", F.col("batch") * batch + 1, F.lit(batch)))
@@ -53,7 +53,7 @@ def _scored(sinos: DataFrame, candidates: Column, score, batch: int, extra: list
         scores = score(to_matrix(table), centers, info)
         return pa.table({
             "scan_id": pa.array([table.column("scan_id")[0].as_py()] * len(centers)),
-            "center": pa.array(centers), "score": pa.array(np.asarray(scores, "f8")),
+            "center": pa.array(centers), "score": pa.nulls(len(centers), pa.float64()) if scores is None else pa.array(np.asarray(scores, "f8")),
         })
 
     cols = ["scan_id", "batch", "idx", "values", "_c", *extra]
@@ -61,7 +61,9 @@ def _scored(sinos: DataFrame, candidates: Column, score, batch: int, extra: list
 
 
 def _best(scores: DataFrame) -> DataFrame:
-    return scores.groupBy("scan_id").agg(F.min_by("center", F.struct("score", "center")).alias("center"))
+    """The centre of least score per scan; null for a scan without scores."""
+    rank = F.when(F.col("score").isNotNull(), F.struct("score", "center"))
+    return scores.groupBy("scan_id").agg(F.min_by("center", rank).alias("center"))
 
 
 def _steps(middle: Column, reach: Column, step: float) -> Column:
@@ -73,7 +75,10 @@ def center_vo(
     frames: DataFrame, row: int = 0, reach: float = 150, radius: float = 6, step: float = 0.25, ratio: float = 0.5,
     drop: int = 20, batch: int = 16,
 ) -> DataFrame:
-    """Coarse then fine search on one detector row's sinogram per scan."""
+    """Coarse then fine search on one detector row's sinogram per scan.
+
+    A scan with too few projections (``drop`` or fewer beside the first) comes out with a null centre; all others get theirs.
+    """
     sino = frames.filter(F.col("row") == row).select("scan_id", "idx", "values")
     middle = (F.size("values") - 1) / 2
     # a centre further out than the detector's edge leaves no overlap to score

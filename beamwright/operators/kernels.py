@@ -271,8 +271,11 @@ def register(a: np.ndarray, b: np.ndarray, upsample: int) -> float:
     return float(shift[1])
 
 
-def mirror_scores(sino: np.ndarray, centers: np.ndarray, ratio: float, drop: int) -> np.ndarray:
-    """For each centre: Fourier energy outside the double wedge of the full-turn sinogram."""
+def mirror_scores(sino: np.ndarray, centers: np.ndarray, ratio: float, drop: int) -> np.ndarray | None:
+    """For each centre: Fourier energy outside the double wedge of the full-turn sinogram.
+
+    None if the sinogram has so few projections that ``drop`` leaves no frequency to tell centres apart.
+    """
     n, w = sino.shape
     flipped = sino[1:, ::-1]
     rows = 2 * n - 1
@@ -280,7 +283,7 @@ def mirror_scores(sino: np.ndarray, centers: np.ndarray, ratio: float, drop: int
     v = np.abs(np.fft.fftfreq(rows) * rows)[:, None]
     u = np.abs(np.fft.rfftfreq(w))[None, :]
     if drop >= rows // 2:
-        raise ValueError(f"dropping {drop} of {rows // 2} frequencies leaves none")
+        return None
     mask = (v > ratio * np.pi * w * u) & (v > drop)
     scores = []
     for c in centers:

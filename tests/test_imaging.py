@@ -155,6 +155,19 @@ def test_centres(spark, method, cor):
         center.find_center("zz", None, None)
 
 
+def test_short_scans_have_no_centre_and_stop_no_others(spark):
+    """``drop`` frequencies of a scan with too few projections are all it has; the others keep the centre they have alone."""
+    sino, _ = phantom(31.25, np.pi)
+    whole = to_df(spark, sino[:, None, :]).withColumn("scan_id", F.lit("whole"))
+    alone = center.center_vo(whole, radius=2, reach=10, drop=4).first().center
+    frames = whole
+    for n in (1, 5, 6):
+        frames = frames.unionByName(to_df(spark, sino[:n, None, :]).withColumn("scan_id", F.lit(f"short{n}")))
+    got = {r.scan_id: r.center for r in center.center_vo(frames, radius=2, reach=10, drop=4).collect()}
+    assert got["whole"] == alone and got["short1"] is None and got["short5"] is None
+    assert len(got) == 4 and abs(got["short6"] - 31.5) <= 12
+
+
 def test_half_turn_pair(spark):
     w, n, cor = 48, 40, 41.0
     wide = 2 * np.sqrt(np.clip(30.0**2 - (np.arange(-100, 100)) ** 2, 0, None))
