@@ -1,9 +1,10 @@
 """Stateful processors: one decision per task, job, deletion or sinogram."""
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -138,35 +139,82 @@ def job_monitor(events: DataFrame, max_retries: int = 5, terminal: list = fixed.
 class _DueProcessor(StatefulProcessor):
     """Holds back rows until event time passes their due time.
 
-    Rows lie in state by their due time, one timer each, so a timer reads what
-    is due and nothing else.
+    Rows lie in state as Arrow blocks, by slots of due time: a slot of one level is as wide as ``FAN`` of the level below, those of
+    level 0 a millisecond. A slot has a timer at its first due time. When that fires, all that is due leaves the slot's
+    blocks at once and the rest goes down a level, so a row is written again once per level at most, and a call
+    to the state serves many rows.
     """
 
+    FAN, BLOCK = 64, 50_000
+    ROWS = pa.schema([("due_ms", pa.int64())] + [(c, pa.string()) for c in ("path", "location", "source", "check")])
+
+    def __init__(self, span_ms: int):
+        self.top = 0
+        while self.FAN ** (self.top + 1) < span_ms:
+            self.top += 1
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        row = "struct<path: string, location: string, source: string, target: string>"
-        self.held = handle.getMapState("held", "due bigint", f"rows array<{row}>")
+        self.slots = handle.getMapState("slots", "level int, slot bigint", "blocks int, first bigint")
+        self.blocks = handle.getMapState("blocks", "level int, slot bigint, block int", "rows binary")
+
+    def _keep(self, tables: Iterable[pa.Table], level: int) -> None:
+        """Rows into slots of a level, up to ``BLOCK`` rows at a time and whatever is left at the end."""
+        held: list[pa.Table] = []
+        for table in tables:
+            held.append(table)
+            if sum(map(len, held)) >= self.BLOCK:
+                self._put(pa.concat_tables(held), level)
+                held = []
+        if held:
+            self._put(pa.concat_tables(held), level)
+
+    def _put(self, table: pa.Table, level: int) -> None:
+        table = table.sort_by("due_ms").combine_chunks()
+        due = table.column("due_ms").to_numpy()
+        slot = due // self.FAN**level
+        cuts = [0, *(np.flatnonzero(np.diff(slot)) + 1).tolist(), len(due)]
+        for low, high in zip(cuts, cuts[1:]):
+            if low == high:
+                continue
+            at, first = (level, int(slot[low])), int(due[low])
+            n, known = self.slots.getValue(at) if self.slots.containsKey(at) else (0, None)
+            for batch in table.slice(low, high - low).to_batches(max_chunksize=self.BLOCK):
+                self.blocks.updateValue((*at, n), (batch.serialize().to_pybytes(),))
+                n += 1
+            if known is None or first < known:
+                self.handle.registerTimer(first)
+                known = first
+            self.slots.updateValue(at, (n, known))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for chunk in rows:
-            targets = [None if pd.isna(c) else c for c in chunk["check"]]
-            chunk = chunk.assign(check=targets)
-            for due, own in chunk.groupby("due_ms"):
-                at = (int(due),)
-                known = self.held.containsKey(at)
-                more = list(zip(own["path"], own["location"], own["source"], own["check"]))
-                before = [tuple(r) for r in self.held.getValue(at)[0]] if known else []
-                self.held.updateValue(at, (before + more,))
-                if not known:
-                    self.handle.registerTimer(int(due))
+        chunks = (c[c["due_ms"].notna()] for c in rows)
+        self._keep((pa.Table.from_pandas(c[self.ROWS.names], self.ROWS, preserve_index=False) for c in chunks), self.top)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        due = int(expiredTimerInfo.getExpiryTimeInMs())
-        if self.held.containsKey((due,)):
-            rows = [(due, *r) for r in self.held.getValue((due,))[0]]
-            self.held.removeKey((due,))
-            yield pd.DataFrame(rows, columns=["due_ms", "path", "location", "source", "check"])
+        at_ms = int(expiredTimerInfo.getExpiryTimeInMs())
+        now = max(at_ms, int(timerValues.getCurrentWatermarkInMs()))
+        for level in range(self.top + 1):
+            at = (level, at_ms // self.FAN**level)
+            if not self.slots.containsKey(at):
+                continue
+            later: list[pa.Table] = []
+            for block in range(self.slots.getValue(at)[0]):
+                raw = self.blocks.getValue((*at, block))[0]
+                self.blocks.removeKey((*at, block))
+                table = pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(raw), self.ROWS)])
+                # blocks are sorted by due time
+                n = int(np.searchsorted(table.column("due_ms").to_numpy(), now, side="right"))
+                if n:
+                    yield table.slice(0, n).to_pandas()
+                if n < len(table):
+                    later.append(table.slice(n))
+                if sum(map(len, later)) >= self.BLOCK:
+                    self._keep(later, level - 1)
+                    later = []
+            self.slots.removeKey(at)
+            self._keep(later, level - 1)
 
     def close(self) -> None:
         pass
@@ -183,7 +231,7 @@ def deferred_prune(schedule: DataFrame, delay: str = "1 hour", bucket_seconds: i
         F.floor(due_ms / (bucket_seconds * 1000)).alias("bucket"), F.pmod(F.xxhash64("path"), F.lit(spread)).alias("part"),
         "created_at", due_ms.alias("due_ms"), "path", "location", "source", "check")
     return rows.groupBy("bucket", "part").transformWithStateInPandas(
-        _DueProcessor(), "due_ms bigint, path string, location string, source string, check string", "Append", "EventTime")
+        _DueProcessor(bucket_seconds * 1000), "due_ms bigint, path string, location string, source string, check string", "Append", "EventTime")
 
 
 class _SinogramProcessor(StatefulProcessor):

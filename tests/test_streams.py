@@ -1,6 +1,10 @@
 """Streams in several micro-batches equal the batch result."""
 
 import datetime as dt
+import random
+
+import pandas as pd
+import pytest
 
 from beamwright import fixed
 from beamwright.operators import jobs
@@ -96,6 +100,60 @@ def test_deferred_rows_wait_for_event_time(spark):
     assert [r.path for r in out.collect()] == ["p"]
 
 
+class Held:
+    """State and timers of one key in memory; counts the calls."""
+
+    def __init__(self):
+        self.maps, self.timers, self.calls = {}, set(), 0
+
+    def getMapState(self, name, *_):
+        held, outer = self.maps.setdefault(name, {}), self
+
+        class State:
+            def __getattr__(self, call):
+                outer.calls += 1
+                return {"containsKey": held.__contains__, "getValue": held.__getitem__, "removeKey": held.pop, "updateValue": held.__setitem__}[call]
+
+        return State()
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+
+class Clock:
+    def __init__(self, at):
+        self.at = at
+
+    getCurrentWatermarkInMs = getExpiryTimeInMs = lambda self: self.at
+
+
+@pytest.mark.parametrize("block", [7, 50_000])
+def test_deferred_rows_leave_state_when_due_in_few_calls(monkeypatch, block):
+    monkeypatch.setattr(monitors._DueProcessor, "BLOCK", block)
+    rng, held, span = random.Random(5), Held(), 400_000
+    keeper = monitors._DueProcessor(span)
+    keeper.init(held)
+    waiting, got, want, mark = [], [], [], -1
+    n = 20 if block == 7 else 3000
+    for batch in range(6):
+        rows = [(rng.choice([rng.randrange(-span, span), 1234]), f"p{batch}_{i}" if i % 9 else None, "L", None if i % 2 else "A", None if i % 3 else "B") for i in range(n)]
+        frame = pd.DataFrame([*rows, (None, "never", "L", "A", "B")], columns=["due_ms", "path", "location", "source", "check"])
+        calls = held.calls
+        list(keeper.handleInputRows(None, iter([frame[: n // 2], frame[n // 2 :]]), Clock(mark)))
+        assert block == 7 or held.calls - calls < n / 2  # rows of one slot share a call
+        mark, waiting = rng.randrange(mark, span) if batch < 5 else 2 * span, waiting + rows
+        want.append(sorted((r for r in waiting if r[0] <= mark), key=repr))
+        waiting, out = [r for r in waiting if r[0] > mark], []
+        while due := sorted(t for t in held.timers if t <= mark):
+            for t in due:
+                held.timers.remove(t)
+                for frame in keeper.handleExpiredTimer(None, Clock(mark), Clock(t)):
+                    out += [tuple(None if pd.isna(x) else x for x in r) for r in frame.itertuples(index=False)]
+        got.append(sorted(out, key=repr))
+    assert got == want and not any(held.maps.values()) and not held.timers
+
+
 def test_a_repeated_row_does_not_complete_a_sinogram(spark):
     schema = "scan_id string, row int, idx int, values array<float>, ts timestamp, want int"
     row = lambda i, s, v=1.0: ("s", 0, i, [float(i), v], at(s), 3)
