@@ -23,21 +23,35 @@ def missing_fields(scans: DataFrame, meta: DataFrame, keys: list) -> DataFrame:
     Only the set of held keys (at most the allow-list) travels per scan.
     """
     held = extract_fields(meta, keys).groupBy("scan_id").agg(F.collect_set("key").alias("held"))
-    none = F.array().cast("array<string>")
-    absent = F.filter(F.array(*map(F.lit, keys)), lambda k: ~F.array_contains(F.coalesce("held", none), k))
-    return scans.join(held, "scan_id", "left").select("scan_id", F.explode(absent).alias("key")).select(
-        "scan_id", F.lit("warning").alias("severity"),
-        F.concat(F.lit("dataset not found "), "key").alias("msg"),
-        F.lit(None).cast("string").alias("exception"),
-    )
+    return absent_fields(scans.join(held, "scan_id", "left"), keys)
+
+
+def absent_fields(scans: DataFrame, keys: list) -> DataFrame:
+    """The warnings of ``missing_fields`` for scans with their set of held keys, ``held``."""
+    known = F.coalesce("held", F.array().cast("array<string>"))
+    named = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(f"dataset not found {k}").alias("msg")) for k in keys])
+    absent = F.filter(named, lambda k: ~F.array_contains(known, k["key"]))["msg"]
+    return scans.select("scan_id", F.explode(absent).alias("msg")).select(
+        "scan_id", F.lit("warning").alias("severity"), "msg", F.lit(None).cast("string").alias("exception"))
+
+
+def _text_columns(columns: dict) -> list[Column]:
+    """Aggregates: chosen text keys as columns."""
+    value = values.coerce_value(*[F.col(c) for c in ("str_value", "num_value", "str_list", "num_list")])["str_value"]
+    return [F.max(F.when(F.col("key") == k, value)).alias(c) for c, k in columns.items()]
 
 
 def pivot_text(meta: DataFrame, columns: dict) -> DataFrame:
     """One row per scan with chosen text keys as columns."""
-    value = values.coerce_value(*[F.col(c) for c in ("str_value", "num_value", "str_list", "num_list")])["str_value"]
-    rows = meta.filter(F.col("key").isin(list(columns.values())))
-    aggs = [F.max(F.when(F.col("key") == k, value)).alias(c) for c, k in columns.items()]
-    return rows.groupBy("scan_id").agg(*aggs)
+    return meta.filter(F.col("key").isin(list(columns.values()))).groupBy("scan_id").agg(*_text_columns(columns))
+
+
+def described(meta: DataFrame, files: DataFrame, keys: list) -> DataFrame:
+    """``files`` with the catalogue's text columns and the keys of the allow-list that their scan holds, ``held``, in one pass
+    over the metadata."""
+    held = F.collect_set(F.when(F.col("key").isin(distinct_keys(keys)), F.col("key"))).alias("held")
+    rows = extract_fields(meta, [*keys, *CATALOGUE_COLUMNS.values()])
+    return files.join(rows.groupBy("scan_id").agg(*_text_columns(CATALOGUE_COLUMNS), held), "scan_id", "left")
 
 
 CATALOGUE_COLUMNS = {
@@ -72,7 +86,11 @@ def data_sample(meta: DataFrame, n: int = 10, keys: list = fixed.SAMPLE_KEYS) ->
 
 def dataset_records(meta: DataFrame, files: DataFrame, user: str = fixed.DEFAULT_USER) -> DataFrame:
     """Raw-dataset records for ``files(scan_id, path, size, last_modified)``."""
-    wide = files.join(pivot_text(meta, CATALOGUE_COLUMNS), "scan_id", "left")
+    return records_of(files.join(pivot_text(meta, CATALOGUE_COLUMNS), "scan_id", "left"), user)
+
+
+def records_of(wide: DataFrame, user: str = fixed.DEFAULT_USER) -> DataFrame:
+    """Raw-dataset records for files with their catalogue columns."""
     owner = values.or_unknown(F.col("pi"))
     place = values.or_unknown(F.col("instrument"))
     terms = text.search_terms(F.col("file_name"))

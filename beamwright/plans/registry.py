@@ -20,15 +20,18 @@ def run_ingestor(name: str, *inputs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def scan_ingestor(meta: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The built-in ingestor for scan files."""
+    """The built-in ingestor for scan files.
+
+    The metadata is read once: files with what it says about them are written, and records and issues come from that table.
+    """
     from beamwright import fixed
     from beamwright.operators import catalogue
+    from beamwright.session import materialise
 
-    records = catalogue.dataset_records(meta, files)
-    issues = catalogue.missing_fields(files, meta, fixed.CATALOGUE_KEYS).unionByName(
-        catalogue.missing_fields(files, meta, fixed.SCIENTIFIC_KEYS)
-    ).unionByName(catalogue.name_issues(records))
-    return records, issues
+    keys = [*fixed.CATALOGUE_KEYS, *fixed.SCIENTIFIC_KEYS]
+    wide = materialise(catalogue.described(meta, files, keys), "described")
+    records = catalogue.records_of(wide)
+    return records, catalogue.absent_fields(wide, keys).unionByName(catalogue.name_issues(records))
 
 
 register_ingestor("scan", scan_ingestor)

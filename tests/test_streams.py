@@ -5,9 +5,10 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from beamwright import fixed
-from beamwright.operators import jobs
+from beamwright.operators import catalogue, jobs
 from beamwright.session import scratch_dir
 from beamwright.streaming import monitors, streams
 
@@ -163,6 +164,30 @@ def test_a_repeated_row_does_not_complete_a_sinogram(spark):
     assert got == [(0, [0.0, 1.0]), (1, [1.0, 9.0]), (2, [2.0, 1.0])]
 
 
+def test_a_batch_reads_its_metadata_once(spark, monkeypatch):
+    """Records and issues of all files, from one pass over the metadata; a batch without offsite files takes none."""
+    schema = "file_path string, arrived_at timestamp, is_export_control boolean, send_offsite boolean"
+    pi, name = fixed.CATALOGUE_KEYS[3], fixed.CATALOGUE_KEYS[7]
+    meta = spark.createDataFrame(
+        [("a", pi, "Ann"), ("a", name, "one_two"), ("a", "else", "x"), ("b", pi, "Bo"), ("b", pi, "Al"), ("z", name, "z"), (None, name, "none")],
+        "scan_id string, key string, str_value string").withColumns({
+            "num_value": F.lit(None).cast("double"), "str_list": F.lit(None).cast("array<string>"), "num_list": F.lit(None).cast("array<double>")})
+    passes, one = [], catalogue.described
+    monkeypatch.setattr(catalogue, "described", lambda rows, *more: passes.append(rows) or one(rows, *more))
+    batches = [[("/global/x/a.h5", at(0), False, True), ("/global/y/a.h5", at(1), False, True), ("/global/x/b.h5", at(2), False, True), ("/global/x/c.h5", at(3), False, True)],
+               [("/global/x/d.h5", at(4), False, False)]]
+    flows = streams.intake_stream(staged(spark, batches, schema), {fixed.NEW_FILE_FLOW: True})
+    where = streams.run_batches(flows, "i", lambda batch, folder: streams.write_intake(batch, folder, meta), 2)
+    got = sorted((r.scan_id, r.source_folder, r.owner, r.dataset_name) for r in spark.read.parquet(f"{where}/datasets").collect())
+    assert [(r[0], *r[2:]) for r in got] == [("a", "Ann", "one_two")] * 2 + [("b", "Bo", None), ("c", "Unknown", None)]
+    issues = [(r.scan_id, r.severity, r.msg, r.exception) for r in spark.read.parquet(f"{where}/issues").collect()]
+    keys, has = [*fixed.CATALOGUE_KEYS, *fixed.SCIENTIFIC_KEYS], {"a": {pi, name}, "b": {pi}, "c": set()}
+    want = [(s, "warning", f"dataset not found {k}", None) for s in "aabc" for k in keys if k not in has[s]]
+    want += [(s, "error", "no file name", None) for s in "bc"]
+    assert sorted(map(str, issues)) == sorted(map(str, want))
+    assert len(passes) >= 2 and passes[0].count() == 5 and not any(p.count() for p in passes[1:])
+
+
 def test_late_new_files_are_taken_in(spark):
     schema = "file_path string, arrived_at timestamp, is_export_control boolean, send_offsite boolean"
     batches = [[("/g/x/a.h5", at(1_000_000), False, True)], [("/g/x/b.h5", at(2_000_000), False, True)], [("/g/x/late.h5", at(0), False, True)], [("/g/x/a.h5", at(5), False, True)]]
